@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from platewise.session import checkpoint_root
+from platewise.session import materialize
 
 
 def top_per_key(df: DataFrame, keys: list[str], order: list, limit: int, rank: str | None = None) -> DataFrame:
@@ -32,13 +32,12 @@ def positions(df: DataFrame, keys: list[str], order: list[Column], name: str = "
     """Rank from 1 within the keys, without sending a whole group through one task.
 
     ``order`` must be unique within the keys. The rows are range-partitioned by keys and order, so
-    a large group is cut into several ranges. The ranges are checkpointed, counted per key, and
+    a large group is cut into several ranges. The ranges are written down, counted per key, and
     each one starts at the number of rows in the ranges before it.
     """
-    checkpoint_root(df.sparkSession)
     key_columns = [F.col(k) for k in keys]
     ranged = df.repartitionByRange(*key_columns, *order)
-    ranges = ranged.withColumn("_range", F.spark_partition_id()).checkpoint()
+    ranges = materialize(ranged.withColumn("_range", F.spark_partition_id()), "ranges")
     before = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     starts = (ranges.groupBy(*keys, "_range").agg(F.count(F.lit(1)).alias("_rows"))
               .select(*keys, "_range", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start")))

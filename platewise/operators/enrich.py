@@ -25,14 +25,14 @@ def ingredient_terms(menus: DataFrame, lexicon: DataFrame) -> DataFrame:
     terms = (menus.select(*MENU_KEYS, F.posexplode_outer(F.split("ingredients", ",")).alias("pos", "term"))
              .withColumn("term", F.lower(F.trim("term"))))
     known = lexicon.select("term", "base", "food_group")
-    return (lookup_join(terms, known, "term", "left")
+    return (lookup_join(terms, known, "term", "left", stored=True)
             .withColumn("base", F.when(not_blank("term"), F.coalesce("base", "term")))
             .withColumn("food_group", F.coalesce("food_group", F.lit("other"))))
 
 
 def cuisine_per_menu(terms: DataFrame, cuisines: DataFrame) -> DataFrame:
     """The cuisine that most ingredients of a menu point to; the first name wins a tie."""
-    votes = (lookup_join(terms.where(F.col("base").isNotNull()).select("item_id", "base"), cuisines, "base")
+    votes = (lookup_join(terms.where(F.col("base").isNotNull()).select("item_id", "base"), cuisines, "base", stored=True)
              .groupBy("item_id", "cuisine").agg(F.count(F.lit(1)).alias("votes")))
     return top_per_key(votes, ["item_id"], [F.desc("votes"), "cuisine"], 1).select("item_id", "cuisine")
 

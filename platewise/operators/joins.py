@@ -6,6 +6,8 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from platewise.session import materialize
+
 MAX_BROADCAST_ROWS = 500_000
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 HOT_SHARE = 0.01  # a key with at least this share of the rows counts as hot
@@ -37,16 +39,20 @@ def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> list:
     return list(found[0]) if found and found[0] else []
 
 
-def lookup_join(left: DataFrame, lookup: DataFrame, key: str, how: str = "inner",
+def lookup_join(left: DataFrame, lookup: DataFrame, key: str, how: str = "inner", stored: bool = False,
                 max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
     """Join ``left`` with a lookup that has one or few rows per key; ``how`` is inner or left.
 
+    A computed lookup is written once, so that measuring it does not compute it twice; ``stored``
+    says that it is a plain table already.
     A lookup of measured small size is broadcast. Otherwise the rows of ``left`` whose key is hot
     (or null) never meet in one shuffle partition: they are joined to a broadcast of just the
     lookup rows of those at most ``1 / HOT_SHARE`` keys, and only the rest is shuffled.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"unsupported join type {how}")
+    if not stored:
+        lookup = materialize(lookup, "lookup")
     if fits_broadcast(lookup, max_rows, max_bytes):
         return left.join(F.broadcast(lookup), key, how)
     hot = hot_keys(left, key)

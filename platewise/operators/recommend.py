@@ -8,6 +8,7 @@ from platewise.operators.audience import audience_per_item
 from platewise.operators.dedup import positions, top_per_key
 from platewise.operators.joins import lookup_join
 from platewise.operators.views import top_ranked
+from platewise.session import materialize
 
 RESULTS = 5
 RUN = 1000  # places generated by one array
@@ -27,11 +28,13 @@ def picks_affinity(interactions: DataFrame, menus: DataFrame, limit: int = RESUL
     equality: the work grows with the interactions, not with users times menus.
     """
     segments = menus.select("item_id", F.col("genres").alias("segment"))
-    pairs = interactions.groupBy("user_id", "item_id").agg(F.max("liked").alias("liked"))
-    audience = audience_per_item(pairs)
-    ranked = positions(lookup_join(audience, segments, "item_id"), ["segment"],
-                       [F.desc("users"), F.col("item_id")], "place")
-    taste = (lookup_join(pairs, segments, "item_id").groupBy("user_id", "segment")
+    pairs = materialize(
+        lookup_join(interactions.groupBy("user_id", "item_id").agg(F.max("liked").alias("liked")),
+                    segments, "item_id"), "pairs")
+    audience = (pairs.where(F.col("liked") == 1).groupBy("segment", "item_id")
+                .agg(F.count(F.lit(1)).alias("users")))
+    ranked = positions(materialize(audience, "audience"), ["segment"], [F.desc("users"), F.col("item_id")], "place")
+    taste = (pairs.groupBy("user_id", "segment")
              .agg(F.count(F.lit(1)).alias("seen"), F.count_if(F.col("liked") == 1).alias("likes"))
              .where("likes > 0"))
     slots = ranked.select(_slot().alias("slot"), "item_id", "users")

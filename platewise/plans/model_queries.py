@@ -9,6 +9,7 @@ from platewise.operators.recommend import most_popular as popular, picks_affinit
 from platewise.plans.bridge import Tables
 from platewise.plans.registry import query
 from platewise.plans.table_queries import COMPARED_HITS, joined, menu_hits, names, records
+from platewise.session import materialize
 
 
 @query
@@ -65,7 +66,7 @@ def picks_affinity(t: Tables) -> DataFrame:
 def search_with_audience(t: Tables) -> DataFrame:
     """Search hits with the users who liked each menu, their share of all users, and the users reached
     by all hits of the search together."""
-    interactions, hits = t.interactions(), menu_hits(t, COMPARED_HITS)
+    interactions, hits = t.interactions_table(), materialize(menu_hits(t, COMPARED_HITS), "hits")
     per_hit = audience.with_reach(audience.with_audience(hits, interactions), t.users_raw())
     together = (audience.audience_by_group(interactions, hits, "query_id")
                 .withColumnRenamed("users", "search_users"))
@@ -76,7 +77,7 @@ def search_with_audience(t: Tables) -> DataFrame:
 @query
 def user_view(t: Tables) -> DataFrame:
     """Latest events and picks of every user, and the popular menus once for everybody."""
-    interactions, menus = t.interactions(), t.menus_enriched()
+    interactions, menus = t.interactions_table(), t.menus_table()
 
     def section(name: str, rows: DataFrame, user=F.col("user_id")) -> DataFrame:
         return rows.select(F.lit(name).alias("section"), user.alias("user_id"), "rank", "item_id")

@@ -181,7 +181,7 @@ def parse_answer(t: Tables) -> DataFrame:
 @query
 def lookup_by_key(t: Tables) -> DataFrame:
     """All interactions of the busiest user, by key equality."""
-    interactions = t.interactions().drop("raw_id")
+    interactions = t.interactions_table()
     busiest = (interactions.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
                .orderBy(F.desc("n"), "user_id").limit(1).select("user_id"))
     return views.lookup(interactions, "user_id", busiest.scalar())

@@ -87,8 +87,7 @@ def quarantine(t: Tables) -> DataFrame:
     schema = t.spark.createDataFrame([], "event_id bigint, event_type string, score double").schema
     good, bad = read_typed(t.spark, path, schema)
     return (good.select("event_id", "score", F.lit("").alias("record"))
-            .unionByName(bad.select("event_id", F.lit(None).cast("double").alias("score"),
-                                    F.col("_corrupt_record").alias("record"))))
+            .unionByName(bad.select("event_id", F.lit(None).cast("double").alias("score"), "record")))
 
 
 @query

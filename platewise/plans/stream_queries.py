@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from platewise.contracts import CHOICE_COLUMNS, RATING_COLUMNS
-from platewise.operators.normalize import choices_to_interactions, ratings_to_interactions
 from platewise.plans.bridge import TIES, Tables
 from platewise.plans.registry import query
 from platewise.session import scratch_dir
@@ -18,17 +16,16 @@ from platewise.streaming import ingest
 def stream_ingest(t: Tables) -> DataFrame:
     """Raw rating and choice files to one folder of interactions, file by file."""
     root = scratch_dir(t.spark, "ingest")
-    write_delimited(t.ratings().withColumn("date", F.col("date").cast("string")), f"{root}/raw/ratings")
+    write_delimited(t.ratings().withColumn("date", F.col("date").cast("string")), f"{root}/raw/user_ratings")
     write_delimited(t.choices().withColumn("created_at", F.col("created_at").cast("string")), f"{root}/raw/choices")
-    stages = (("ratings", RATING_COLUMNS, ratings_to_interactions),
-              ("choices", CHOICE_COLUMNS, choices_to_interactions))
-    running = [
-        ingest.start_append(normalise(ingest.stream_csv(t.spark, f"{root}/raw/{name}", columns)),
-                            f"{root}/formated/{name}", f"{root}/progress/{name}")
-        for name, columns, normalise in stages]
-    for stage in running:
-        stage.awaitTermination()
-    return t.spark.read.parquet(*[f"{root}/formated/{name}" for name, _, _ in stages])
+    handle = ingest.raw_stage(f"{root}/raw", f"{root}/formated")
+    lines = ingest.stream_lines(t.spark, f"{root}/raw")
+    ingest.start_batches(lines, handle, f"{root}/progress/raw").awaitTermination()
+    # The next stage is a stream over what this one wrote.
+    formated = ingest.read_stage(t.spark, f"{root}/formated", "interactions")
+    arriving = ingest.stream_parquet(t.spark, f"{root}/formated/interactions", formated.schema)
+    ingest.start_append(arriving.select(formated.columns), f"{root}/curated", f"{root}/progress/formated").awaitTermination()
+    return t.spark.read.parquet(f"{root}/curated")
 
 
 @query

@@ -56,7 +56,7 @@ def menus_by_ids(t: Tables) -> DataFrame:
 
 @query
 def users_liking_items(t: Tables) -> DataFrame:
-    interactions = t.interactions()
+    interactions = t.interactions_table()
     return audience.users_liking(t.users(), interactions, popular(interactions)).select(
         "user_id", "shipping_city", "shipping_state", "locale", "created_at")
 
@@ -81,13 +81,13 @@ def menus_with_scores(t: Tables) -> DataFrame:
 
 @query
 def role_counts(t: Tables) -> DataFrame:
-    menus = t.menus_enriched()
+    menus = t.menus_table()
     return ingredients.role_counts(menus, ingredients.ingredient_counts(menus))
 
 
 @query
 def other_ingredients(t: Tables) -> DataFrame:
-    menus = t.menus_enriched()
+    menus = t.menus_table()
     return ingredients.other_ingredients(menus, ingredients.ingredient_counts(menus))
 
 
@@ -115,7 +115,7 @@ def count_users(t: Tables) -> DataFrame:
 
 @query
 def audience_size(t: Tables) -> DataFrame:
-    interactions = t.interactions()
+    interactions = t.interactions_table()
     return audience.audience_size(interactions, popular(interactions, 3))
 
 

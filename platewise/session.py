@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "platewise", master: str = "local[*]", **conf) -> SparkSession:
@@ -16,6 +16,7 @@ def build_session(app: str = "platewise", master: str = "local[*]", **conf) -> S
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.shuffle.partitions": "8",
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
     }
     settings.update({k.replace("__", "."): str(v) for k, v in conf.items()})
     builder = SparkSession.builder.master(master).appName(app)
@@ -52,3 +53,14 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new, unused path below the shared folder."""
     return f"{checkpoint_root(spark).rstrip('/')}/platewise/{label}-{uuid.uuid4().hex}"
+
+
+def materialize(df: DataFrame, label: str) -> DataFrame:
+    """Write an intermediate result once and read it back.
+
+    For results that are used more than once or measured first. Their inputs are not computed again,
+    lost executors cost nothing, and later reads still prune columns and know the real size.
+    """
+    path = scratch_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

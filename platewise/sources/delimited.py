@@ -9,8 +9,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F,
 from platewise.contracts import CHOICE_COLUMNS, RATING_COLUMNS, USER_COLUMNS, keep_columns, require_columns
 from platewise.functions.scalars import not_blank
 from platewise.operators.joins import lookup_join
+from platewise.session import materialize
 
 _QUOTING = {"quote": '"', "escape": '"'}
+BYTE_ORDER_MARK = "\ufeff"
 
 
 def read_delimited(spark: SparkSession, path: str, columns: Iterable[str], required: Iterable[str] = (),
@@ -22,7 +24,7 @@ def read_delimited(spark: SparkSession, path: str, columns: Iterable[str], requi
     """
     options = {"header": True, "sep": sep, **_QUOTING}
     header = spark.read.options(**options).csv(path).schema
-    names = [name.lstrip("﻿").strip() for name in header.fieldNames()]
+    names = [name.lstrip(BYTE_ORDER_MARK).strip() for name in header.fieldNames()]
     rows = spark.read.options(**options, enforceSchema=False).schema(header).csv(path).toDF(*names)
     return keep_columns(require_columns(rows, required), columns if isinstance(columns, dict) else list(columns))
 
@@ -40,16 +42,20 @@ def read_users(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
 
 
 def read_typed(spark: SparkSession, path: str, schema: T.StructType, sep: str = ",") -> tuple[DataFrame, DataFrame]:
-    """Good rows under the schema; rows that do not fit it, with their text in ``_corrupt_record``.
+    """Good rows under the schema; and the lines that do not fit it, as ``record`` beside whatever of
+    them could be read.
 
-    Whole lines are parsed whatever columns are used later, so a row is good or bad once and for all.
+    Whole lines are parsed whatever columns are used later, so a line is good or bad once and for all.
+    A header line that is not the expected one shows up among the bad lines.
     """
-    checked = T.StructType([*schema.fields, T.StructField("_corrupt_record", T.StringType())])
-    rows = (spark.read.schema(checked)
-            .options(header=True, sep=sep, mode="PERMISSIVE", columnPruning=False, **_QUOTING).csv(path))
-    good = rows.where(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
-    bad = rows.where(F.col("_corrupt_record").isNotNull())
-    return good, bad
+    checked = T.StructType([*schema.fields, T.StructField("_bad", T.StringType())])
+    options = {"sep": sep, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad", **_QUOTING}
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in checked.fields)
+    rows = (spark.read.text(path).where(not_blank("value") & (F.col("value") != sep.join(schema.fieldNames())))
+            .select("value", F.from_csv("value", ddl, options).alias("row")))
+    names = [F.col(f"row.`{name}`") for name in schema.fieldNames()]
+    good = rows.where(F.col("row._bad").isNull()).select(*names)
+    return good, rows.where(F.col("row._bad").isNotNull()).select(*names, F.col("value").alias("record"))
 
 
 def write_delimited(df: DataFrame, path: str, sep: str = ",") -> None:
@@ -71,38 +77,59 @@ def merge_headers(first: Column, second: Column) -> Column:
     return F.when(gap > 0, F.slice(merged, F.lit(1), (gap - 1).cast("int"))).otherwise(merged)
 
 
-def read_sheets(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
-    """Rows of sheet files, each with two header rows: ``(sheet, header, cells)``.
+def file_lines(text: DataFrame) -> DataFrame:
+    """Lines of text files with the file they come from and where their part of the file starts."""
+    return text.select(F.col("_metadata.file_path").alias("sheet"),
+                       F.col("_metadata.file_block_start").alias("start"), F.col("value").alias("line"))
+
+
+def rows_by_header(lines: DataFrame, sep: str = ",", header_rows: int = 1) -> DataFrame:
+    """Rows of delimited files, each under its own header: ``(sheet, header, cells)``.
 
-    Every file keeps its own header, so sheets with other columns or another column order can lie in
-    one folder. Only the first two lines of each file are grouped.
+    Files of one folder may differ in their columns and in the column order. Only the first lines of
+    each file are grouped; all other lines go through without a shuffle.
     """
-    lines = spark.read.text(path).select(
-        F.col("_metadata.file_path").alias("sheet"), F.col("_metadata.file_block_start").alias("start"),
-        F.col("value").alias("line"), F.monotonically_increasing_id().alias("at"))
     in_file = Window.partitionBy("sheet").orderBy("at")
-    top = lines.where(F.col("start") == 0).withColumn("n", F.row_number().over(in_file)).where(F.col("n") <= 2)
-    heads = top.groupBy("sheet").agg(
-        F.max(F.when(F.col("n") == 1, F.col("line"))).alias("line1"),
-        F.max(F.when(F.col("n") == 2, F.col("line"))).alias("line2"))
+    top = (lines.withColumn("at", F.monotonically_increasing_id()).where(F.col("start") == 0)
+           .withColumn("n", F.row_number().over(in_file)).where(F.col("n") <= header_rows))
+    names = [f"line{n}" for n in range(1, header_rows + 1)]
+    heads = materialize(top.groupBy("sheet").agg(
+        *[F.max(F.when(F.col("n") == n, F.col("line"))).alias(name) for n, name in enumerate(names, 1)]), "heads")
+
+    def written(line: str) -> Column:
+        return F.coalesce(F.size(F.split(line, _literal(sep))), F.lit(0))
+
     # Quotes can only lower the number of cells, so the widest header line bounds the cells of all.
-    width = heads.agg(F.max(F.greatest(F.size(F.split("line1", _literal(sep))),
-                                       F.size(F.split("line2", _literal(sep)))))).first()[0] or 1
+    width = heads.agg(*[F.max(written(name)) for name in names]).first()
+    width = max([w for w in width if w] or [1])
     schema = ", ".join(f"c{i} string" for i in range(width))
 
     def cells(line: str) -> Column:
         parsed = F.from_csv(F.col(line), schema, {"sep": sep, **_QUOTING})
         return F.array(*[parsed[f"c{i}"] for i in range(width)])
 
-    def written(line: str) -> Column:
-        return F.size(F.split(line, _literal(sep)))
-
-    heads = heads.select("sheet", "line1", "line2", merge_headers(
-        F.slice(cells("line1"), F.lit(1), written("line1")), cells("line2")).alias("header"))
-    rows = lookup_join(lines.select("sheet", "line"), heads, "sheet")
-    return (rows.where((F.col("line") != F.col("line1")) & (F.col("line") != F.coalesce("line2", F.lit("")))
-                       & not_blank("line"))
-            .select("sheet", "header", cells("line").alias("cells")))
+    if header_rows == 1:
+        header = F.transform(cells("line1"), lambda name: F.trim(F.replace(name, F.lit(BYTE_ORDER_MARK), F.lit(""))))
+    else:
+        header = merge_headers(F.slice(cells("line1"), F.lit(1), written("line1")), cells("line2"))
+    rows = lookup_join(lines.select("sheet", "line"), heads.withColumn("header", header), "sheet", stored=True)
+    is_data = not_blank("line")
+    for name in names:
+        is_data = is_data & ~F.col("line").eqNullSafe(F.col(name))
+    return rows.where(is_data).select("sheet", "header", cells("line").alias("cells"))
+
+
+def read_sheets(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
+    """Rows of sheet files with two header rows each."""
+    return rows_by_header(file_lines(spark.read.text(path)), sep, 2)
+
+
+def read_mixed(spark: SparkSession, path: str, columns: Iterable[str], required: Iterable[str] = (),
+               sep: str = ",") -> tuple[DataFrame, DataFrame]:
+    """Like ``read_delimited`` for folders whose files differ: each file is read by its own header, and
+    files without a required column are set aside instead of stopping the others."""
+    rows = rows_by_header(file_lines(spark.read.text(path)), sep)
+    return project_sheets(rows, {name: name for name in columns}, required)
 
 
 def _literal(sep: str) -> str:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from platewise.operators.dedup import keep_first, top_per_key
+from platewise.operators.joins import fits_broadcast
 
 
 def upsert_latest(base: DataFrame, new: DataFrame, keys: list[str], time: str, ties: list,
@@ -21,8 +22,17 @@ def upsert_latest(base: DataFrame, new: DataFrame, keys: list[str], time: str, t
 
 
 def absent_rows(base: DataFrame, new: DataFrame, keys: list[str], order: list) -> DataFrame:
-    """New rows whose key the base does not have; the first one where the new rows repeat a key."""
-    return keep_first(new, keys, order).join(base.select(*keys), keys, "left_anti")
+    """New rows whose key the base does not have; the first one where the new rows repeat a key.
+
+    The base is the large side: it is filtered to the keys of the new rows where it lies when those
+    are few enough to broadcast, and only what is left of it meets the new rows.
+    """
+    first = keep_first(new, keys, order)
+    wanted = new.select(*keys).distinct()
+    if fits_broadcast(wanted):
+        wanted = F.broadcast(wanted)
+    known = base.select(*keys).join(wanted, keys, "left_semi").distinct()
+    return first.join(known, keys, "left_anti")
 
 
 def insert_absent(base: DataFrame, new: DataFrame, keys: list[str], order: list) -> DataFrame:

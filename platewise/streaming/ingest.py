@@ -4,25 +4,33 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from platewise.contracts import CHOICE_COLUMNS, RATING_COLUMNS, USER_COLUMNS
+from platewise.functions.scalars import not_blank
+from platewise.operators.aliases import resolve
 from platewise.operators.dedup import keep_newest
 from platewise.operators.ingredients import ingredient_counts
-from platewise.operators.aliases import resolve
+from platewise.operators.normalize import choices_to_interactions, ratings_to_interactions, users_formated
+from platewise.sources.delimited import file_lines, project_sheets, rows_by_header
+from platewise.sources.routes import route_of
 from platewise.sources.tables import absent_rows, read_batches, write_batch
 
-MENU_BATCH = "item_id string, name string, genres string, genre_l2 string, genre_l3 string, " \
-             "product_description array<string>"
 FILES_PER_BATCH = 1000
 
+# Raw datasets that arrive as plain CSV: columns, required columns, normalisation, target folder.
+RAW_STAGES = {
+    "ratings": (RATING_COLUMNS, RATING_COLUMNS, ratings_to_interactions, "interactions"),
+    "choices": (CHOICE_COLUMNS, CHOICE_COLUMNS, choices_to_interactions, "interactions"),
+    "users": (USER_COLUMNS, ("user_id",), users_formated, "users"),
+}
+
 
-def stream_csv(spark: SparkSession, path: str, columns, files_per_batch: int = FILES_PER_BATCH) -> DataFrame:
-    """New CSV files below a folder; all columns as text, header names checked per file."""
-    schema = T.StructType([T.StructField(name, T.StringType()) for name in columns])
-    return (spark.readStream.schema(schema)
-            .options(header=True, quote='"', escape='"', enforceSchema=False,
-                     maxFilesPerTrigger=files_per_batch).csv(path))
+def stream_lines(spark: SparkSession, path: str, files_per_batch: int = FILES_PER_BATCH) -> DataFrame:
+    """Lines of new text files anywhere below a folder."""
+    return file_lines(spark.readStream.options(recursiveFileLookup=True, maxFilesPerTrigger=files_per_batch)
+                      .text(path))
 
 
 def stream_parquet(spark: SparkSession, path: str, schema, files_per_batch: int = FILES_PER_BATCH) -> DataFrame:
@@ -40,6 +48,31 @@ def start_batches(stream: DataFrame, handle: Callable[[DataFrame, int], None], p
             .option("checkpointLocation", progress).trigger(availableNow=True).start())
 
 
+def raw_stage(root: str, target: str) -> Callable[[DataFrame, int], None]:
+    """Batch handler of the raw stage: lines of files below ``root`` are routed by file name, read by
+    their own header and normalised. A file without the required columns is listed under ``rejected``
+    and does not stop the others; a file no route wants is left alone."""
+    tail = root.rstrip("/").rsplit("/", 1)[-1]
+
+    def handle(batch: DataFrame, number: int) -> None:
+        named = batch.withColumn("dataset", route_of(F.substring_index("sheet", f"/{tail}/", -1)))
+        for dataset, (columns, required, normalise, folder) in RAW_STAGES.items():
+            lines = named.where(F.col("dataset") == dataset).drop("dataset")
+            if lines.isEmpty():
+                continue
+            rows, rejected = project_sheets(rows_by_header(lines), {c: c for c in columns}, required)
+            clean = normalise(rows.where(not_blank("user_id")).drop("sheet"))
+            write_batch(clean, f"{target}/{folder}/source={dataset}", number)
+            write_batch(rejected, f"{target}/rejected/source={dataset}", number)
+    return handle
+
+
+def read_stage(spark: SparkSession, target: str, folder: str) -> DataFrame:
+    """What the raw stage wrote to one folder, over all sources and batches."""
+    path = f"{target}/{folder}"
+    return spark.read.option("basePath", path).parquet(path).drop("source", "batch")
+
+
 def interaction_upsert(aliases: DataFrame, target: str, ties: list) -> Callable[[DataFrame, int], None]:
     """Batch handler: resolve ids, keep the newest event per user and menu, write the batch folder.
     Reading the table with ``read_latest`` then gives the newest over all batches."""
@@ -60,8 +93,7 @@ def ingredient_counters(spark: SparkSession, menus_path: str, counts_path: str)
             known = batch.select("item_id").limit(0)
         else:
             known = read_batches(spark, menus_path).where(F.col("batch") < number).select("item_id")
-        fresh = absent_rows(known, batch, ["item_id"], [F.to_json(F.struct("*"))])
-        write_batch(fresh, menus_path, number)
+        write_batch(absent_rows(known, batch, ["item_id"], [F.to_json(F.struct("*"))]), menus_path, number)
         added = spark.read.parquet(f"{menus_path}/batch={number}")
         write_batch(ingredient_counts(added), counts_path, number)
     return handle
