@@ -55,6 +55,6 @@ def menus_with_ids(raw: DataFrame, per_row: int = IDS_PER_ROW) -> DataFrame:
     return lookup_join(packed_aliases(menu_aliases(raw, menus), per_row), menus, "item_id")
 
 
-def resolve(events: DataFrame, aliases: DataFrame) -> DataFrame:
-    """Replace ``raw_id`` by the menu it stands for; events of unknown ids are dropped."""
-    return lookup_join(events, alias_map(aliases), "raw_id")
+def resolve(events: DataFrame, mapping: DataFrame, stored: bool = False) -> DataFrame:
+    """Add the menu that ``raw_id`` stands for by an alias map; events of unknown ids are dropped."""
+    return lookup_join(events, mapping, "raw_id", stored=stored)

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from platewise.session import materialize
+from platewise.session import materialize_measured
 
 MAX_BROADCAST_ROWS = 500_000
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
@@ -26,11 +26,15 @@ def _row_bytes(schema: T.StructType):
     return reduce(lambda a, b: a + b, sizes)
 
 
+def _size(df: DataFrame) -> dict[str, Column]:
+    return {"rows": F.count(F.lit(1)), "bytes": F.coalesce(F.sum(_row_bytes(df.schema)), F.lit(0))}
+
+
 def fits_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
                    max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
     """Measure the rows and bytes of ``df``; only one row with two numbers reaches the driver."""
-    rows, size = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(_row_bytes(df.schema)), F.lit(0))).first()
-    return rows <= max_rows and size <= max_bytes
+    size = df.agg(*[value.alias(name) for name, value in _size(df).items()]).first()
+    return size["rows"] <= max_rows and size["bytes"] <= max_bytes
 
 
 def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> list:
@@ -51,9 +55,12 @@ def lookup_join(left: DataFrame, lookup: DataFrame, key: str, how: str = "inner"
     """
     if how not in ("inner", "left"):
         raise ValueError(f"unsupported join type {how}")
-    if not stored:
-        lookup = materialize(lookup, "lookup")
-    if fits_broadcast(lookup, max_rows, max_bytes):
+    if stored:
+        small = fits_broadcast(lookup, max_rows, max_bytes)
+    else:
+        lookup, size = materialize_measured(lookup, "lookup", **_size(lookup))
+        small = size["rows"] <= max_rows and size["bytes"] <= max_bytes
+    if small:
         return left.join(F.broadcast(lookup), key, how)
     hot = hot_keys(left, key)
     is_hot = F.col(key).isNull() | F.col(key).isin(hot) if hot else F.col(key).isNull()

@@ -6,12 +6,12 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from platewise.operators.aliases import collapse_menus, menu_aliases, resolve
+from platewise.operators.aliases import alias_map, collapse_menus, menu_aliases, resolve
 from platewise.operators.dedup import keep_last, keep_newest
 from platewise.operators.enrich import enrich_menus
 from platewise.operators.joins import lookup_join
 from platewise.operators.normalize import as_events, choices_to_interactions, ratings_to_interactions
-from platewise.session import materialize, use_utc
+from platewise.session import materialize, spread_scan, use_utc
 
 # Ingredient term, base name, food group.
 LEXICON = (
@@ -59,6 +59,10 @@ class Tables:
     def __getitem__(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self.path(name))
 
+    @once
+    def documents(self) -> DataFrame:
+        return spread_scan(self["documents"], "doc_id")
+
     @once
     def lexicon(self) -> DataFrame:
         return self.spark.createDataFrame(LEXICON, "term string, base string, food_group string")
@@ -115,9 +119,14 @@ class Tables:
         raw = self.menus_raw()
         return menu_aliases(raw, collapse_menus(raw))
 
+    @once
+    def alias_map(self) -> DataFrame:
+        return materialize(alias_map(self.aliases()), "aliases")
+
     @once
     def ratings(self) -> DataFrame:
-        lines = self["lineitem"].select(F.col("l_orderkey").alias("o_orderkey"), "l_partkey", "l_quantity", "l_shipdate")
+        lines = spread_scan(self["lineitem"], "l_orderkey", "l_partkey").select(
+            F.col("l_orderkey").alias("o_orderkey"), "l_partkey", "l_quantity", "l_shipdate")
         orders = self["orders"].select("o_orderkey", "o_custkey")
         return lookup_join(lines, orders, "o_orderkey", stored=True).select(
             F.col("o_custkey").cast("string").alias("user_id"),
@@ -141,7 +150,7 @@ class Tables:
 
     @once
     def resolved(self) -> DataFrame:
-        return resolve(self.events(), self.aliases())
+        return resolve(self.events(), self.alias_map(), stored=True)
 
     @once
     def interactions(self) -> DataFrame:

@@ -19,21 +19,21 @@ def enrich_menus(t: Tables) -> DataFrame:
 
 @query
 def embed_passages(t: Tables) -> DataFrame:
-    passages = t["documents"].select("doc_id", "text")
+    passages = t.documents().select("doc_id", "text")
     return similarity.embed(similarity.fit_embedder(passages), passages).select("doc_id", "vector")
 
 
 @query
 def embed_queries(t: Tables) -> DataFrame:
     """Query texts in the vector space that was fitted on the passages."""
-    model = similarity.fit_embedder(t["documents"].select("doc_id", "text"))
+    model = similarity.fit_embedder(t.documents().select("doc_id", "text"))
     return similarity.embed(model, t["benchmark"]).select("item_id", "vector")
 
 
 @query
 def search_texts(t: Tables) -> DataFrame:
     """Semantic search end to end: the best documents for every query text."""
-    passages = t["documents"].select("doc_id", "text", "source")
+    passages = t.documents().select("doc_id", "text", "source")
     model = similarity.fit_embedder(passages)
     index = similarity.vector_records(similarity.embed(model, passages), "doc_id", "vector", "source")
     queries = similarity.embed(model, t["benchmark"]).select(F.col("item_id").alias("query_id"), "vector")

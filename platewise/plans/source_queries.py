@@ -96,7 +96,7 @@ def upsert_latest(t: Tables) -> DataFrame:
     keys = ["user_id", "item_id"]
     batches = (ratings_to_interactions(t.ratings()), choices_to_interactions(t.choices()))
     for number, batch in enumerate(batches):
-        resolved = resolve(as_events(batch), t.aliases())
+        resolved = resolve(as_events(batch), t.alias_map(), stored=True)
         write_batch(keep_newest(resolved, keys, "created_at", TIES), path, number)
     return read_latest(t.spark, path, keys, "created_at", TIES).drop("raw_id")
 

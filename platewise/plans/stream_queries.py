@@ -33,8 +33,8 @@ def stream_upsert(t: Tables) -> DataFrame:
     """The interactions table kept by a stream of unresolved events."""
     root = scratch_dir(t.spark, "upsert")
     replace_table(t.events(), f"{root}/events")
-    events = ingest.stream_parquet(t.spark, f"{root}/events", t.events().schema, files_per_batch=4)
-    handle = ingest.interaction_upsert(t.aliases(), f"{root}/interactions", TIES)
+    events = ingest.stream_parquet(t.spark, f"{root}/events", t.events().schema)
+    handle = ingest.interaction_upsert(t.alias_map, f"{root}/interactions", TIES)
     ingest.start_batches(events, handle, f"{root}/progress").awaitTermination()
     return read_latest(t.spark, f"{root}/interactions", ["user_id", "item_id"], "created_at", TIES).drop("raw_id")
 

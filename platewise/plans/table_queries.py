@@ -31,7 +31,7 @@ def menu_hits(t: Tables, k: int) -> DataFrame:
     """Best menus for the mean vector of every label; hits on aliases count for their menu."""
     index = records(t)
     hits = knn(index, centroids(index), k).select("query_id", F.col("item_id").alias("raw_id"), "score")
-    return (A.resolve(hits, t.aliases()).groupBy("query_id", "item_id")
+    return (A.resolve(hits, t.alias_map(), stored=True).groupBy("query_id", "item_id")
             .agg(F.round(F.max("score"), 4).alias("score")))
 
 

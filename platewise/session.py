@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 
 def build_session(app: str = "platewise", master: str = "local[*]", **conf) -> SparkSession:
@@ -64,3 +64,20 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = scratch_dir(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def materialize_measured(df: DataFrame, label: str, **measures: Column) -> tuple[DataFrame, dict]:
+    """Like ``materialize``, with aggregates over the rows taken while they are written."""
+    seen = Observation()
+    stored = materialize(df.observe(seen, *[value.alias(name) for name, value in measures.items()]), label)
+    return stored, seen.get
+
+
+def spread_scan(table: DataFrame, *keys: str) -> DataFrame:
+    """A plain table scan, spread by keys when its files give fewer partitions than there are cores.
+
+    For tables that a CPU-heavy step follows. Large tables have more partitions than that and stay as
+    they are, without a shuffle.
+    """
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    return table.repartition(cores, *keys) if table.rdd.getNumPartitions() < cores else table

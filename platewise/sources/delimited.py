@@ -102,11 +102,13 @@ def rows_by_header(lines: DataFrame, sep: str = ",", header_rows: int = 1) -> Da
     # Quotes can only lower the number of cells, so the widest header line bounds the cells of all.
     width = heads.agg(*[F.max(written(name)) for name in names]).first()
     width = max([w for w in width if w] or [1])
-    schema = ", ".join(f"c{i} string" for i in range(width))
+    schema, options = ", ".join(f"c{i} string" for i in range(width)), {"sep": sep, **_QUOTING}
 
     def cells(line: str) -> Column:
-        parsed = F.from_csv(F.col(line), schema, {"sep": sep, **_QUOTING})
-        return F.array(*[parsed[f"c{i}"] for i in range(width)])
+        """Only a line with quotes needs the CSV parser; others are split."""
+        parsed = F.from_csv(F.col(line), schema, options)
+        quoted = F.array(*[parsed[f"c{i}"] for i in range(width)])
+        return F.when(F.contains(F.col(line), F.lit('"')), quoted).otherwise(F.split(line, _literal(sep), -1))
 
     if header_rows == 1:
         header = F.transform(cells("line1"), lambda name: F.trim(F.replace(name, F.lit(BYTE_ORDER_MARK), F.lit(""))))
@@ -142,6 +144,9 @@ def project_sheets(rows: DataFrame, names: dict, required: Iterable[str] = ()) -
     complete = F.lit(True)
     for name in required:
         complete = complete & F.array_contains("header", name)
-    picked = [F.try_element_at(F.col("cells"), F.nullif(F.array_position("header", F.lit(src)), F.lit(0)).cast("int"))
-              .alias(dst) for src, dst in names.items()]
+    def cell(name: str) -> Column:
+        place = F.nullif(F.array_position("header", F.lit(name)), F.lit(0)).cast("int")
+        return F.nullif(F.try_element_at(F.col("cells"), place), F.lit(""))
+
+    picked = [cell(src).alias(dst) for src, dst in names.items()]
     return rows.where(complete).select("sheet", *picked), rows.where(~complete).select("sheet").distinct()

@@ -73,11 +73,12 @@ def read_stage(spark: SparkSession, target: str, folder: str) -> DataFrame:
     return spark.read.option("basePath", path).parquet(path).drop("source", "batch")
 
 
-def interaction_upsert(aliases: DataFrame, target: str, ties: list) -> Callable[[DataFrame, int], None]:
+def interaction_upsert(mapping: Callable[[], DataFrame], target: str, ties: list) -> Callable[[DataFrame, int], None]:
     """Batch handler: resolve ids, keep the newest event per user and menu, write the batch folder.
-    Reading the table with ``read_latest`` then gives the newest over all batches."""
+    Reading the table with ``read_latest`` then gives the newest over all batches. ``mapping`` gives
+    the stored alias map and is asked again for every batch, so that later menus are known."""
     def handle(batch: DataFrame, number: int) -> None:
-        resolved = resolve(batch, aliases)
+        resolved = resolve(batch, mapping(), stored=True)
         write_batch(keep_newest(resolved, ["user_id", "item_id"], "created_at", ties), target, number)
     return handle
 
