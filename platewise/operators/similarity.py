@@ -59,9 +59,14 @@ def centroids(records: DataFrame) -> DataFrame:
             .select("query_id", vector_to_array("_mean").alias("vector")))
 
 
-def _matrix(arrays, dimension: int) -> np.ndarray:
-    flat = pa.concat_arrays([a.flatten() for a in arrays]) if isinstance(arrays, list) else arrays.flatten()
-    return flat.to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dimension)
+def _matrix(column) -> np.ndarray:
+    """A list column as a matrix, one row per list."""
+    return np.array(column.combine_chunks().flatten() if isinstance(column, pa.ChunkedArray) else column.flatten(),
+                    ).reshape(len(column), -1)
+
+
+def _text(column) -> np.ndarray:
+    return np.array(column.to_pylist(), dtype=object)
 
 
 def _unit_rows(matrix: np.ndarray) -> np.ndarray:
@@ -92,21 +97,29 @@ def _block_hits(vectors, ids, names, codes, queries, query_codes, k):
         yield q, ids[rows[best]], names[rows[best]], scores[best]
 
 
-def _hits_frame(query_ids, found) -> pd.DataFrame:
-    parts = [(np.repeat(query_ids[q], len(i)), i, n, s) for q, i, n, s in found if len(i)]
+def _join_hits(parts: list, k: int) -> tuple | None:
+    """Hits of several blocks, cut to the k best per query: parallel arrays query, id, name, score."""
     if not parts:
-        return pd.DataFrame({"query_id": [], "item_id": [], "name": [], "score": []})
-    columns = [np.concatenate(c) for c in zip(*parts)]
-    return pd.DataFrame(dict(zip(("query_id", "item_id", "name", "score"), columns)))
+        return None
+    query, ids, names, scores = (np.concatenate(column) for column in zip(*parts))
+    order = np.lexsort((ids, -scores, query))
+    query = query[order]
+    place = np.arange(len(query)) - np.searchsorted(query, query, side="left")
+    kept = order[place < k]
+    return query[place < k], ids[kept], names[kept], scores[kept]
 
 
-def _trim(hits: pd.DataFrame, k: int) -> pd.DataFrame:
-    ordered = hits.sort_values(["query_id", "score", "item_id"], ascending=[True, False, True])
-    return ordered.groupby("query_id", sort=False).head(k)
+def _hits_of(vectors, ids, names, codes, queries, query_codes, k) -> tuple | None:
+    found = _block_hits(vectors, ids, names, codes, queries, query_codes, k)
+    return _join_hits([(np.full(len(i), q), i, n, s) for q, i, n, s in found if len(i)], k)
 
 
-def _text(values) -> np.ndarray:
-    return np.array(values.to_pylist(), dtype=object)
+def _hits_table(query_ids: np.ndarray, hits: tuple | None) -> pa.Table:
+    query, ids, names, scores = hits if hits else ([], [], [], [])
+    return pa.table({
+        "query_id": pa.array(query_ids[query].tolist() if len(query) else [], pa.string()),
+        "item_id": pa.array(list(ids), pa.string()), "name": pa.array(list(names), pa.string()),
+        "score": pa.array(scores, pa.float64())})
 
 
 def _shared_queries_search(records: DataFrame, queries: DataFrame, k: int) -> DataFrame:
@@ -114,7 +127,6 @@ def _shared_queries_search(records: DataFrame, queries: DataFrame, k: int) -> Da
     rows = queries.collect()  # at most MAX_QUERIES, checked by the caller
     if not rows:
         return records.sparkSession.createDataFrame([], _HIT_SCHEMA)
-    dimension = len(rows[0]["vector"])
     probes = [r["codes"] for r in rows]
     shared = records.sparkSession.sparkContext.broadcast((
         np.array([r["query_id"] for r in rows], dtype=object),
@@ -125,20 +137,13 @@ def _shared_queries_search(records: DataFrame, queries: DataFrame, k: int) -> Da
         query_ids, matrix, query_codes = shared.value
         best = None
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            vectors = _unit_rows(_matrix(batch.column("vector"), dimension))
-            codes = None
-            if query_codes is not None:
-                codes = np.array(batch.column("codes").flatten()).reshape(batch.num_rows, -1)
-            found = _block_hits(vectors, _text(batch.column("id")), _text(batch.column("name")), codes,
+            if batch.num_rows:
+                hits = _hits_of(_unit_rows(_matrix(batch.column("vector")).astype(np.float64)),
+                                _text(batch.column("id")), _text(batch.column("name")),
+                                _matrix(batch.column("codes")) if query_codes is not None else None,
                                 matrix, query_codes, k)
-            hits = _hits_frame(query_ids, found)
-            best = hits if best is None else _trim(pd.concat([best, hits], ignore_index=True), k)
-        if best is not None and len(best):
-            yield pa.RecordBatch.from_pandas(best, preserve_index=False, schema=pa.schema([
-                ("query_id", pa.string()), ("item_id", pa.string()),
-                ("name", pa.string()), ("score", pa.float64())]))
+                best = _join_hits([h for h in (best, hits) if h], k)
+        yield from _hits_table(query_ids, best).to_batches()
 
     return records.mapInArrow(scan, _HIT_SCHEMA)
 
@@ -146,28 +151,30 @@ def _shared_queries_search(records: DataFrame, queries: DataFrame, k: int) -> Da
 def _block_search(records: DataFrame, queries: DataFrame, k: int, query_blocks: int, vector_blocks: int) -> DataFrame:
     """Many queries: vectors and queries are cut into blocks, each pair of blocks is one task's work."""
     def block(column: str, blocks: int):
-        return F.pmod(F.xxhash64(column), F.lit(blocks))
+        return F.pmod(F.xxhash64(column), F.lit(blocks)).cast("bigint")
+
+    def every(blocks: int):
+        return F.sequence(F.lit(0).cast("bigint"), F.lit(blocks - 1).cast("bigint"))
 
     left = (records.withColumn("vb", block("id", vector_blocks))
-            .withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))).cast("bigint")))
+            .withColumn("qb", F.explode(every(query_blocks))))
     right = (queries.withColumn("qb", block("query_id", query_blocks))
-             .withColumn("vb", F.explode(F.sequence(F.lit(0), F.lit(vector_blocks - 1))).cast("bigint")))
-
-    def product(vectors: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
-        if vectors.empty or asked.empty:
-            return _hits_frame([], [])
-        probes = asked["codes"].tolist()
-        coded = len(probes[0]) > 0
-        found = _block_hits(
-            _unit_rows(np.stack(vectors["vector"]).astype(np.float64)),
-            vectors["id"].to_numpy(dtype=object), vectors["name"].to_numpy(dtype=object),
-            np.stack(vectors["codes"]) if coded else None,
-            _unit_rows(np.stack(asked["vector"]).astype(np.float64)),
-            np.stack(probes) if coded else None, k)
-        return _hits_frame(asked["query_id"].to_numpy(dtype=object), found)
+             .withColumn("vb", F.explode(every(vector_blocks))))
+
+    def product(vectors: pa.Table, asked: pa.Table) -> pa.Table:
+        query_ids = _text(asked.column("query_id"))
+        if not vectors.num_rows or not asked.num_rows:
+            return _hits_table(query_ids, None)
+        probes = _matrix(asked.column("codes"))
+        coded = probes.shape[1] > 0
+        return _hits_table(query_ids, _hits_of(
+            _unit_rows(_matrix(vectors.column("vector")).astype(np.float64)),
+            _text(vectors.column("id")), _text(vectors.column("name")),
+            _matrix(vectors.column("codes")) if coded else None,
+            _unit_rows(_matrix(asked.column("vector"))), probes if coded else None, k))
 
     return (left.groupBy("vb", "qb").cogroup(right.groupBy("vb", "qb"))
-            .applyInPandas(product, _HIT_SCHEMA))
+            .applyInArrow(product, _HIT_SCHEMA))
 
 
 def knn(records: DataFrame, queries: DataFrame, k: int = TOP_K, max_queries: int = MAX_QUERIES,
