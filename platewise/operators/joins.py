@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from platewise.session import materialize_measured
+from platewise.session import materialize, materialize_measured
 
 MAX_BROADCAST_ROWS = 500_000
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
@@ -43,15 +43,20 @@ def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> list:
     return list(found[0]) if found and found[0] else []
 
 
+def splits_skew(spark: SparkSession) -> bool:
+    """Does the session split the hot partitions of a sort-merge join at run time?"""
+    return all(spark.conf.get(name, "true").lower() == "true"
+               for name in ("spark.sql.adaptive.enabled", "spark.sql.adaptive.skewJoin.enabled"))
+
+
 def lookup_join(left: DataFrame, lookup: DataFrame, key: str, how: str = "inner", stored: bool = False,
                 max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
     """Join ``left`` with a lookup that has one or few rows per key; ``how`` is inner or left.
 
-    A computed lookup is written once, so that measuring it does not compute it twice; ``stored``
-    says that it is a plain table already.
-    A lookup of measured small size is broadcast. Otherwise the rows of ``left`` whose key is hot
-    (or null) never meet in one shuffle partition: they are joined to a broadcast of just the
-    lookup rows of those at most ``1 / HOT_SHARE`` keys, and only the rest is shuffled.
+    A lookup of measured small size is broadcast; a computed lookup is written once, so that measuring
+    it does not compute it twice (``stored``: it is a plain table already). A larger lookup is joined
+    by a shuffle: adaptive execution cuts the partition of a hot key into many tasks, and where the
+    session has that switched off, ``split_join`` keeps hot keys out of the shuffle.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"unsupported join type {how}")
@@ -62,12 +67,21 @@ def lookup_join(left: DataFrame, lookup: DataFrame, key: str, how: str = "inner"
         small = size["rows"] <= max_rows and size["bytes"] <= max_bytes
     if small:
         return left.join(F.broadcast(lookup), key, how)
+    if splits_skew(left.sparkSession):
+        return left.join(lookup, key, how)
+    return split_join(left, lookup, key, how, max_rows, max_bytes)
+
+
+def split_join(left: DataFrame, lookup: DataFrame, key: str, how: str = "inner",
+               max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """Rows with a hot or null key meet a broadcast of just the lookup rows of those at most
+    ``1 / HOT_SHARE`` keys where they lie; only the other rows are shuffled. ``left`` is written once,
+    because it is read three times."""
+    left = materialize(left, "left")
     hot = hot_keys(left, key)
-    is_hot = F.col(key).isNull() | F.col(key).isin(hot) if hot else F.col(key).isNull()
     hot_lookup = lookup.where(F.col(key).isin(hot)) if hot else lookup.limit(0)
+    if not fits_broadcast(hot_lookup, max_rows, max_bytes):
+        return left.join(lookup, key, how)  # many lookup rows per key: their product is the result's own size
+    is_hot = F.col(key).isNull() | F.col(key).isin(hot) if hot else F.col(key).isNull()
     cold = left.where(~is_hot).join(lookup, key, how)
-    if not hot and how == "inner":
-        return cold
-    if hot and not fits_broadcast(hot_lookup, max_rows, max_bytes):
-        return left.join(lookup, key, how)
     return cold.unionByName(left.where(is_hot).join(F.broadcast(hot_lookup), key, how))

@@ -74,10 +74,10 @@ def materialize_measured(df: DataFrame, label: str, **measures: Column) -> tuple
 
 
 def spread_scan(table: DataFrame, *keys: str) -> DataFrame:
-    """A plain table scan, spread by keys when its files give fewer partitions than there are cores.
+    """A plain table scan, spread by keys when its files would leave three quarters of the cores idle.
 
-    For tables that a CPU-heavy step follows. Large tables have more partitions than that and stay as
-    they are, without a shuffle.
+    For tables that a CPU-heavy step follows. Large tables have enough partitions and stay as they
+    are, without a shuffle.
     """
     cores = table.sparkSession.sparkContext.defaultParallelism
-    return table.repartition(cores, *keys) if table.rdd.getNumPartitions() < cores else table
+    return table.repartition(cores, *keys) if 4 * table.rdd.getNumPartitions() <= cores else table

@@ -9,7 +9,7 @@ from platewise.operators import aliases as A
 from platewise.operators import audience, ingredients, normalize, views
 from platewise.operators.dedup import first_rows, keep_first, keep_last, keep_newest, positions
 from platewise.operators.enrich import enrich_menus, enrich_with_model
-from platewise.operators.joins import fits_broadcast, hot_keys, lookup_join
+from platewise.operators.joins import fits_broadcast, hot_keys, lookup_join, split_join
 
 
 def skewed(spark, total=3000):
@@ -19,28 +19,37 @@ def skewed(spark, total=3000):
     return spark.createDataFrame([(k, i % 7) for i, k in enumerate(keys)], "key string, v int")
 
 
+@pytest.fixture(params=["true", "false"])
+def adaptive_skew(spark, request):
+    """With Spark's own handling of hot partitions, and without it."""
+    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", request.param)
+    yield request.param
+    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+
+
 @pytest.mark.parametrize("how", ["inner", "left"])
-@pytest.mark.parametrize("limits", [{}, {"max_rows": 50}, {"max_bytes": 200}, {"max_rows": 0}])
-def test_lookup_join_is_exact_on_every_path(spark, rows, how, limits):
+@pytest.mark.parametrize("limits", [{}, {"max_rows": 120}, {"max_bytes": 200}, {"max_rows": 0}])
+def test_lookup_join_is_exact_on_every_path(spark, rows, adaptive_skew, how, limits):
     left = skewed(spark)
     lookup = spark.createDataFrame([("hot", "H")] + [(f"k{i}", f"n{i}") for i in range(300)], "key string, name string")
     expected = rows(left.join(lookup, "key", how))
     assert rows(lookup_join(left, lookup, "key", how, **limits)) == expected
 
 
-def test_lookup_join_without_hot_keys(spark, rows):
+def test_split_join_without_hot_keys(spark, rows):
     left = spark.createDataFrame([(f"k{i}", i) for i in range(500)] + [(None, 0)], "key string, v int")
     lookup = left.where("v < 100").select("key", F.lit(1).alias("one"))
     for how in ("inner", "left"):
-        assert rows(lookup_join(left, lookup, "key", how, max_rows=10)) == rows(left.join(lookup, "key", how))
+        assert rows(split_join(left, lookup, "key", how)) == rows(left.join(lookup, "key", how))
     with pytest.raises(ValueError):
         lookup_join(left, lookup, "key", "full")
 
 
-def test_hot_keys_keep_large_lookups_out_of_broadcast_and_hot_rows_out_of_the_shuffle(spark):
-    left, lookup = skewed(spark), spark.createDataFrame([(f"k{i}", i) for i in range(400)] + [("hot", -1)], "key string, n int")
+def test_split_join_broadcasts_only_the_hot_rows_of_the_lookup(spark):
+    left = skewed(spark)
+    lookup = spark.createDataFrame([(f"k{i}", i) for i in range(400)] + [("hot", -1)], "key string, n int")
     assert "hot" in hot_keys(left, "key") and len(hot_keys(left, "key")) <= 100
-    plan = lookup_join(left, lookup, "key", max_rows=120)._jdf.queryExecution().optimizedPlan().toString()
+    plan = split_join(left, lookup, "key", max_rows=120)._jdf.queryExecution().optimizedPlan().toString()
     assert "Union" in plan and plan.count("Join Inner") == 2 and plan.count("strategy=broadcast") == 1
 
 
