@@ -8,10 +8,15 @@ from platewise.session import materialize
 
 
 def top_per_key(df: DataFrame, keys: list[str], order: list, limit: int, rank: str | None = None) -> DataFrame:
-    """The first ``limit`` rows per key; each map task already cuts its rows to that many."""
+    """The first ``limit`` rows per key; each map task already cuts its rows to that many.
+
+    A hash of the key leads the sort, so that almost all comparisons are between two numbers and the
+    text of the keys is compared only inside a key.
+    """
     name = rank or "_rank"
-    window = Window.partitionBy(*keys).orderBy(*order)
-    ranked = df.withColumn(name, F.row_number().over(window)).where(F.col(name) <= limit)
+    window = Window.partitionBy("_hash", *keys).orderBy(*order)
+    ranked = (df.withColumn("_hash", F.xxhash64(*keys)).withColumn(name, F.row_number().over(window))
+              .where(F.col(name) <= limit).drop("_hash"))
     return ranked.withColumn(name, F.col(name).cast("bigint")) if rank else ranked.drop(name)
 
 

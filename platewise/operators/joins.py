@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from platewise.session import materialize, materialize_measured
 
-MAX_BROADCAST_ROWS = 500_000
+MAX_BROADCAST_ROWS = 2_000_000
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 HOT_SHARE = 0.01  # a key with at least this share of the rows counts as hot
 

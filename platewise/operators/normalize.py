@@ -109,6 +109,13 @@ def menus_table(curated: DataFrame) -> DataFrame:
         F.col("CONTENT_CLASSIFICATION").alias("content_classification"))
 
 
+def users_table(curated: DataFrame) -> DataFrame:
+    return curated.select(
+        F.col("USER_ID").alias("user_id"), F.col("CITY").alias("shipping_city"),
+        F.col("STATE").alias("shipping_state"), F.col("LOCALE").alias("locale"),
+        F.col("CREATED_AT").alias("created_at"))
+
+
 def unusable_dates(df: DataFrame, text: str) -> DataFrame:
     """How many rows have a date text that cannot be read."""
     return df.agg(

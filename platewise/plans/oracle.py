@@ -300,10 +300,11 @@ SQL = {
         select h.query_id, h.item_id, h.score, coalesce(a.users, 0) as users
         from menu_hits h left join audience a on a.item_id = h.item_id""",
     "collapse_menus": """
-        select m.item_id, cast(0 as bigint) as chunk_no, string_agg(a.raw_id, '|' order by a.ord) as other_ids,
-               m.meal, m.ingredients, m.creation_ts
-        from menus m join aliases a on a.item_id = m.item_id
-        group by m.item_id, m.meal, m.ingredients, m.creation_ts""",
+        select m.item_id, cast((a.position - 1) // 1000 as bigint) as chunk_no,
+               string_agg(a.raw_id, '|' order by a.position) as other_ids, m.meal, m.ingredients, m.creation_ts
+        from menus m join (select *, row_number() over (partition by item_id order by ord) as position
+                           from aliases) a on a.item_id = m.item_id
+        group by m.item_id, (a.position - 1) // 1000, m.meal, m.ingredients, m.creation_ts""",
     "ingredient_counts": "select * from counts",
     "count_users": "select total as users from total_users",
     "audience_size": """

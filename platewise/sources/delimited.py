@@ -84,14 +84,15 @@ def file_lines(text: DataFrame) -> DataFrame:
 
 
 def rows_by_header(lines: DataFrame, sep: str = ",", header_rows: int = 1) -> DataFrame:
-    """Rows of delimited files, each under its own header: ``(sheet, header, cells)``.
+    """Rows of delimited files, each under its own header: ``(sheet, at, header, cells)``; ``at`` grows with
+    the line within a file.
 
     Files of one folder may differ in their columns and in the column order. Only the first lines of
     each file are grouped; all other lines go through without a shuffle.
     """
     in_file = Window.partitionBy("sheet").orderBy("at")
-    top = (lines.withColumn("at", F.monotonically_increasing_id()).where(F.col("start") == 0)
-           .withColumn("n", F.row_number().over(in_file)).where(F.col("n") <= header_rows))
+    lines = lines.withColumn("at", F.monotonically_increasing_id())
+    top = (lines.where(F.col("start") == 0).withColumn("n", F.row_number().over(in_file)).where(F.col("n") <= header_rows))
     names = [f"line{n}" for n in range(1, header_rows + 1)]
     heads = materialize(top.groupBy("sheet").agg(
         *[F.max(F.when(F.col("n") == n, F.col("line"))).alias(name) for n, name in enumerate(names, 1)]), "heads")
@@ -114,11 +115,11 @@ def rows_by_header(lines: DataFrame, sep: str = ",", header_rows: int = 1) -> Da
         header = F.transform(cells("line1"), lambda name: F.trim(F.replace(name, F.lit(BYTE_ORDER_MARK), F.lit(""))))
     else:
         header = merge_headers(F.slice(cells("line1"), F.lit(1), written("line1")), cells("line2"))
-    rows = lookup_join(lines.select("sheet", "line"), heads.withColumn("header", header), "sheet", stored=True)
+    rows = lookup_join(lines.select("sheet", "at", "line"), heads.withColumn("header", header), "sheet", stored=True)
     is_data = not_blank("line")
     for name in names:
         is_data = is_data & ~F.col("line").eqNullSafe(F.col(name))
-    return rows.where(is_data).select("sheet", "header", cells("line").alias("cells"))
+    return rows.where(is_data).select("sheet", "at", "header", cells("line").alias("cells"))
 
 
 def read_sheets(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
@@ -149,4 +150,4 @@ def project_sheets(rows: DataFrame, names: dict, required: Iterable[str] = ()) -
         return F.nullif(F.try_element_at(F.col("cells"), place), F.lit(""))
 
     picked = [cell(src).alias(dst) for src, dst in names.items()]
-    return rows.where(complete).select("sheet", *picked), rows.where(~complete).select("sheet").distinct()
+    return rows.where(complete).select("sheet", "at", *picked), rows.where(~complete).select("sheet").distinct()

@@ -61,7 +61,7 @@ def raw_stage(root: str, target: str) -> Callable[[DataFrame, int], None]:
             if lines.isEmpty():
                 continue
             rows, rejected = project_sheets(rows_by_header(lines), {c: c for c in columns}, required)
-            clean = normalise(rows.where(not_blank("user_id")).drop("sheet"))
+            clean = normalise(rows.where(not_blank("user_id")).drop("sheet", "at"))
             write_batch(clean, f"{target}/{folder}/source={dataset}", number)
             write_batch(rejected, f"{target}/rejected/source={dataset}", number)
     return handle
