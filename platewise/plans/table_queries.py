@@ -13,6 +13,7 @@ from platewise.functions.scalars import not_blank
 from platewise.operators.joins import lookup_join
 from platewise.plans.bridge import Tables
 from platewise.plans.registry import query
+from platewise.session import materialize
 
 COMPARED_HITS = 200
 VECTOR_LIMIT = 100_000
@@ -184,7 +185,8 @@ def ingredients_top50(t: Tables) -> DataFrame:
 @query
 def users_page(t: Tables) -> DataFrame:
     """The second page of users: the rows behind the last key of the first page."""
-    users = t.users().select("user_id", "shipping_city", "shipping_state", "locale", "created_at")
+    users = materialize(
+        t.users().select("user_id", "shipping_city", "shipping_state", "locale", "created_at"), "users")
     last = views.page_after(users, "user_id", limit=USERS_PAGE).agg(F.max("user_id").alias("last"))
     return views.page_after(users, "user_id", last.scalar(), USERS_PAGE)
 

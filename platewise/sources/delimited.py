@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from platewise.contracts import CHOICE_COLUMNS, RATING_COLUMNS, USER_COLUMNS, keep_columns, require_columns
 from platewise.functions.scalars import not_blank
+from platewise.operators.dedup import top_per_key
 from platewise.operators.joins import lookup_join
 from platewise.session import materialize
 
@@ -83,16 +84,19 @@ def file_lines(text: DataFrame) -> DataFrame:
                        F.col("_metadata.file_block_start").alias("start"), F.col("value").alias("line"))
 
 
+def numbered(lines: DataFrame) -> DataFrame:
+    """Add ``at``, which grows with the line within a file."""
+    return lines.withColumn("at", F.monotonically_increasing_id())
+
+
 def rows_by_header(lines: DataFrame, sep: str = ",", header_rows: int = 1) -> DataFrame:
-    """Rows of delimited files, each under its own header: ``(sheet, at, header, cells)``; ``at`` grows with
-    the line within a file.
+    """Rows of delimited files, out of numbered lines, each under its own header:
+    ``(sheet, at, header, cells)``.
 
     Files of one folder may differ in their columns and in the column order. Only the first lines of
     each file are grouped; all other lines go through without a shuffle.
     """
-    in_file = Window.partitionBy("sheet").orderBy("at")
-    lines = lines.withColumn("at", F.monotonically_increasing_id())
-    top = (lines.where(F.col("start") == 0).withColumn("n", F.row_number().over(in_file)).where(F.col("n") <= header_rows))
+    top = top_per_key(lines.where(F.col("start") == 0), ["sheet"], ["at"], header_rows, "n")
     names = [f"line{n}" for n in range(1, header_rows + 1)]
     heads = materialize(top.groupBy("sheet").agg(
         *[F.max(F.when(F.col("n") == n, F.col("line"))).alias(name) for n, name in enumerate(names, 1)]), "heads")
@@ -124,14 +128,14 @@ def rows_by_header(lines: DataFrame, sep: str = ",", header_rows: int = 1) -> Da
 
 def read_sheets(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
     """Rows of sheet files with two header rows each."""
-    return rows_by_header(file_lines(spark.read.text(path)), sep, 2)
+    return rows_by_header(numbered(file_lines(spark.read.text(path))), sep, 2)
 
 
 def read_mixed(spark: SparkSession, path: str, columns: Iterable[str], required: Iterable[str] = (),
                sep: str = ",") -> tuple[DataFrame, DataFrame]:
     """Like ``read_delimited`` for folders whose files differ: each file is read by its own header, and
     files without a required column are set aside instead of stopping the others."""
-    rows = rows_by_header(file_lines(spark.read.text(path)), sep)
+    rows = rows_by_header(numbered(file_lines(spark.read.text(path))), sep)
     return project_sheets(rows, {name: name for name in columns}, required)
 
 

@@ -13,7 +13,8 @@ from platewise.operators.aliases import resolve
 from platewise.operators.dedup import keep_newest
 from platewise.operators.ingredients import ingredient_counts
 from platewise.operators.normalize import choices_to_interactions, ratings_to_interactions, users_formated
-from platewise.sources.delimited import file_lines, project_sheets, rows_by_header
+from platewise.session import materialize
+from platewise.sources.delimited import file_lines, numbered, project_sheets, rows_by_header
 from platewise.sources.routes import route_of
 from platewise.sources.tables import absent_rows, read_batches, write_batch
 
@@ -55,11 +56,13 @@ def raw_stage(root: str, target: str) -> Callable[[DataFrame, int], None]:
     tail = root.rstrip("/").rsplit("/", 1)[-1]
 
     def handle(batch: DataFrame, number: int) -> None:
-        named = batch.withColumn("dataset", route_of(F.substring_index("sheet", f"/{tail}/", -1)))
-        for dataset, (columns, required, normalise, folder) in RAW_STAGES.items():
-            lines = named.where(F.col("dataset") == dataset).drop("dataset")
-            if lines.isEmpty():
-                continue
+        dataset_of = route_of(F.substring_index("sheet", f"/{tail}/", -1))
+        named = numbered(batch).withColumn("dataset", dataset_of).where(F.col("dataset").isin(*RAW_STAGES))
+        lines_by_dataset = materialize(named, "lines")  # the raw text is read once for all datasets
+        arrived = {r["dataset"] for r in lines_by_dataset.select("dataset").distinct().collect()}
+        for dataset in sorted(arrived):
+            columns, required, normalise, folder = RAW_STAGES[dataset]
+            lines = lines_by_dataset.where(F.col("dataset") == dataset).drop("dataset")
             rows, rejected = project_sheets(rows_by_header(lines), {c: c for c in columns}, required)
             clean = normalise(rows.where(not_blank("user_id")).drop("sheet", "at"))
             write_batch(clean, f"{target}/{folder}/source={dataset}", number)
