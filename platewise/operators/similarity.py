@@ -18,7 +18,8 @@ from platewise.operators.dedup import top_per_key
 DIMENSION = 1024
 TOP_K = 5
 SCORE_DECIMALS = 6
-MAX_QUERIES = 4096      # queries that one task multiplies at once
+MAX_QUERIES = 4096      # queries that every task gets as a whole
+QUERIES_AT_ONCE = 256   # rows of one product, so that its size is bounded by the batch
 VECTORS_PER_BLOCK = 32_768
 _HIT_SCHEMA = "query_id string, item_id string, name string, score double"
 
@@ -65,6 +66,11 @@ def _matrix(column) -> np.ndarray:
                     ).reshape(len(column), -1)
 
 
+def _with_vector(rows):
+    """Rows that have a vector. Asked here and not in a filter, which would compute the vectors twice."""
+    return rows.filter(rows.column("vector").is_valid())
+
+
 def _text(column) -> np.ndarray:
     return np.array(column.to_pylist(), dtype=object)
 
@@ -86,10 +92,11 @@ def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
 
 def _block_hits(vectors, ids, names, codes, queries, query_codes, k):
     """Best rows of one block of unit vectors for every query: lists of row index and score."""
-    product = None if codes is not None else np.round(vectors @ queries.T, SCORE_DECIMALS)
     for q in range(len(queries)):
         if codes is None:
-            rows, scores = np.arange(len(ids)), product[:, q]
+            if q % QUERIES_AT_ONCE == 0:
+                product = np.round(queries[q:q + QUERIES_AT_ONCE] @ vectors.T, SCORE_DECIMALS)
+            rows, scores = np.arange(len(ids)), product[q % QUERIES_AT_ONCE]
         else:
             rows = np.flatnonzero((codes == query_codes[q]).any(axis=1))
             scores = np.round(vectors[rows] @ queries[q], SCORE_DECIMALS)
@@ -137,6 +144,7 @@ def _shared_queries_search(records: DataFrame, queries: DataFrame, k: int) -> Da
         query_ids, matrix, query_codes = shared.value
         best = None
         for batch in batches:
+            batch = _with_vector(batch)
             if batch.num_rows:
                 hits = _hits_of(_unit_rows(_matrix(batch.column("vector")).astype(np.float64)),
                                 _text(batch.column("id")), _text(batch.column("name")),
@@ -162,7 +170,7 @@ def _block_search(records: DataFrame, queries: DataFrame, k: int, query_blocks:
              .withColumn("vb", F.explode(every(vector_blocks))))
 
     def product(vectors: pa.Table, asked: pa.Table) -> pa.Table:
-        query_ids = _text(asked.column("query_id"))
+        query_ids, vectors = _text(asked.column("query_id")), _with_vector(vectors)
         if not vectors.num_rows or not asked.num_rows:
             return _hits_table(query_ids, None)
         probes = _matrix(asked.column("codes"))
@@ -183,8 +191,7 @@ def knn(records: DataFrame, queries: DataFrame, k: int = TOP_K, max_queries: int
     carry that column. Scores are rounded to six decimals; equal scores rank by id."""
     coded = "codes" in records.columns and "codes" in queries.columns
     codes = F.col("codes") if coded else F.array().cast("array<int>").alias("codes")
-    slim = (records.where(F.col("vector").isNotNull())
-            .select("id", F.col("metadata.name").alias("name"), "vector", codes))
+    slim = records.select("id", F.col("metadata.name").alias("name"), "vector", codes)
     asked = (queries.where(F.col("vector").isNotNull())
              .select(F.col("query_id").cast("string").alias("query_id"),
                      F.col("vector").cast("array<double>").alias("vector"), codes))

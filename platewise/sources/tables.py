@@ -60,7 +60,8 @@ def read_latest(spark: SparkSession, path: str, keys: list[str], time: str, ties
 
 
 def compact(spark: SparkSession, path: str, target: str, keys: list[str], time: str, ties: list) -> None:
-    """Fold all batches into batch 0 of a new table, laid out by key so that key filters skip files."""
+    """Fold all batches into batch 0 of a new table, laid out by key so that key filters skip files.
+    Until the next batch arrives, ``read_batches`` of the new table needs no merging."""
     latest = read_latest(spark, path, keys, time, ties)
     write_batch(latest.repartitionByRange(*keys).sortWithinPartitions(*keys), target, 0)
 

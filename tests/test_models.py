@@ -45,6 +45,9 @@ def test_knn_edge_cases(spark):
     assert S.knn(records, none).count() == 0
     one = spark.createDataFrame([(1, [1.0, 0.0, 0.0, 0.0]), (2, None)], "query_id int, vector array<double>")
     assert S.knn(records, one, 50).count() == 6
+    gap = records.unionByName(records.limit(1).withColumn("vector", F.lit(None).cast("array<float>")))
+    two = spark.createDataFrame([(1, [1.0, 0.0, 0.0, 0.0]), (2, [0.0, 1.0, 0.0, 0.0])], "query_id int, vector array<double>")
+    assert S.knn(gap, two, 50).count() == 12 and S.knn(gap, two, 50, max_queries=1).count() == 12
     zero = spark.createDataFrame([(1, [0.0] * 4)], "query_id int, vector array<double>")
     assert {r["score"] for r in S.knn(records, zero).collect()} == {0.0}
 
