@@ -8,13 +8,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from platewise.contracts import (
     CHOICE_COLUMNS, INTERACTIONS, INTERACTIONS_TABLE, MENU_SHEET_COLUMNS, MENU_SHEET_REQUIRED, MENUS_TABLE,
     RATING_COLUMNS, USER_COLUMNS, USERS_TABLE, to_contract)
-from platewise.functions.scalars import epoch_seconds, not_blank, passage_text
+from platewise.functions.scalars import passage_text
 from platewise.operators import normalize, similarity
 from platewise.operators.aliases import alias_map, collapse_menus, menu_aliases, resolve
 from platewise.operators.audience import with_audience, with_reach
@@ -24,6 +25,7 @@ from platewise.operators.ingredients import ingredient_counts
 from platewise.session import materialize, use_utc
 from platewise.sources.delimited import project_sheets, read_mixed, read_sheets
 from platewise.sources.tables import absent_rows, read_batches, read_latest, write_batch
+from platewise.streaming.ingest import start_batches, stream_parquet
 
 PAIR = ["user_id", "item_id"]
 TIES = ["event_type", "event_value", "raw_id"]
@@ -41,13 +43,17 @@ def _known(spark: SparkSession, path: str, batch: int, empty: DataFrame) -> Data
 
 
 def load_menus(spark: SparkSession, root: str, sheets: str, enrich: Enricher, batch: int = 0) -> DataFrame:
-    """Menu sheets to the tables ``menus``, ``menu_aliases`` and ``ingredients``. Only menus that are not
-    known yet are enriched, added and counted. Returns the sheets left out for missing columns."""
+    """Menu sheets to the tables ``menus``, ``menu_aliases`` and ``ingredients``. Returns the sheets left
+    out for missing columns."""
     use_utc(spark)
     rows, rejected = project_sheets(read_sheets(spark, sheets), MENU_SHEET_COLUMNS, MENU_SHEET_REQUIRED)
-    raw = materialize(rows.where(not_blank("ITEM_ID")).select(
-        F.struct("sheet", "at").alias("ord"), F.col("ITEM_ID").alias("item_id"), F.col("Meal").alias("meal"),
-        F.col("Ingredients").alias("ingredients"), epoch_seconds("CREATION_TIMESTAMP").alias("creation_ts")), "raw")
+    add_menus(spark, root, normalize.menus_formated(rows), enrich, batch)
+    return rejected
+
+
+def add_menus(spark: SparkSession, root: str, formated: DataFrame, enrich: Enricher, batch: int = 0) -> None:
+    """Raw menus to the tables: only menus that are not known yet are enriched, added and counted."""
+    raw = materialize(formated, "raw")
     first = materialize(collapse_menus(raw), "first")
     known = _known(spark, f"{root}/menus", batch, first)
     fresh = absent_rows(known, first, ["item_id"], ["ord"])
@@ -57,26 +63,28 @@ def load_menus(spark: SparkSession, root: str, sheets: str, enrich: Enricher, ba
     write_batch(ingredient_counts(added), f"{root}/ingredients", batch)
     ids = menu_aliases(raw, first).select("item_id", "raw_id")
     write_batch(ids.join(added.select("item_id"), "item_id", "left_semi").distinct(), f"{root}/menu_aliases", batch)
-    return rejected
 
 
 def load_users(spark: SparkSession, root: str, files: str, batch: int = 0) -> DataFrame:
     """User files to the table ``users``: the last row of a user wins. Returns the files left out."""
     use_utc(spark)
     rows, rejected = read_mixed(spark, files, USER_COLUMNS, ["user_id"])
-    last = top_per_key(rows.where(not_blank("user_id")), ["user_id"], [F.desc("sheet"), F.desc("at")], 1)
-    table = normalize.users_table(normalize.users_curated(normalize.users_formated(last)))
-    write_batch(to_contract(table, USERS_TABLE), f"{root}/users", batch)
+    add_users(root, normalize.users_last(rows), batch)
     return rejected
 
 
+def add_users(root: str, formated: DataFrame, batch: int = 0) -> None:
+    """Formated users, one row per user, to the table."""
+    table = normalize.users_table(normalize.users_curated(formated))
+    write_batch(to_contract(table, USERS_TABLE), f"{root}/users", batch)
+
+
 def load_events(spark: SparkSession, root: str, ratings: str, choices: str, batch: int = 0) -> DataFrame:
     """Rating and choice files to the table ``interactions``. Returns the files left out."""
     use_utc(spark)
     rated, bad_ratings = read_mixed(spark, ratings, RATING_COLUMNS, RATING_COLUMNS)
     chosen, bad_choices = read_mixed(spark, choices, CHOICE_COLUMNS, CHOICE_COLUMNS)
-    both = normalize.interactions_union(rated.where(not_blank("user_id")), chosen.where(not_blank("user_id")))
-    add_interactions(spark, root, both, batch)
+    add_interactions(spark, root, normalize.interactions_union(rated, chosen), batch)
     return bad_ratings.unionByName(bad_choices)
 
 
@@ -87,6 +95,35 @@ def add_interactions(spark: SparkSession, root: str, interactions: DataFrame, ba
     write_batch(keep_newest(resolve(events, mapping), PAIR, "created_at", TIES), f"{root}/interactions", batch)
 
 
+def stream_tables(spark: SparkSession, formated: str, root: str, enrich: Enricher, progress: str) -> list[str]:
+    """Everything that arrived in the formated stage to the tables, as streams that stop when nothing is
+    left. Menus go first, because events need their ids. Returns the datasets that had arrived."""
+    use_utc(spark)
+
+    def newest_users(batch: DataFrame, number: int) -> None:
+        # One micro-batch can hold several batches of the raw stage; the later one wins.
+        latest = top_per_key(batch, ["user_id"], [F.desc("batch")], 1)
+        add_users(root, latest, number)
+
+    handlers = {
+        "menus": lambda batch, number: add_menus(spark, root, batch, enrich, number),
+        "users": newest_users,
+        "interactions": lambda batch, number: add_interactions(spark, root, batch, number),
+    }
+    arrived = []
+    for dataset, handle in handlers.items():
+        path = f"{formated}/{dataset}"
+        try:
+            schema = spark.read.option("basePath", path).parquet(path).schema
+        except AnalysisException as error:
+            if error.getCondition() == "PATH_NOT_FOUND":
+                continue
+            raise
+        start_batches(stream_parquet(spark, path, schema), handle, f"{progress}/{dataset}").awaitTermination()
+        arrived.append(dataset)
+    return arrived
+
+
 def menus(spark: SparkSession, root: str) -> DataFrame:
     return read_batches(spark, f"{root}/menus").drop("batch")
 

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from platewise.contracts import CHOICE_EVENT, RATING_EVENT, USER_COLUMNS, USER_DATE_COLUMNS, keep_columns
 from platewise.functions.scalars import (
     comma_to_space, epoch_seconds, int_prefix, interest_tags, not_blank, or_default)
+from platewise.operators.dedup import top_per_key
 
 
 def _interaction(event_type: str, value: Column, time: Column, liked: Column) -> list[Column]:
@@ -26,7 +27,7 @@ def ratings_to_interactions(ratings: DataFrame) -> DataFrame:
     if dict(ratings.dtypes)["rating"] == "string":
         stars = int_prefix(stars)
     liked = F.when(stars > 3, 1).otherwise(0)
-    return (ratings.where(not_blank("menu_item_id"))
+    return (ratings.where(not_blank("menu_item_id") & not_blank("user_id"))
             .select(_interaction(RATING_EVENT, stars * 20, _time(ratings, "date"), liked)))
 
 
@@ -36,7 +37,7 @@ def manual_choices(choices: DataFrame) -> DataFrame:
 
 def choices_to_interactions(choices: DataFrame) -> DataFrame:
     """A choice made by hand is a click and a like."""
-    return manual_choices(choices).select(
+    return manual_choices(choices).where(not_blank("user_id")).select(
         _interaction(CHOICE_EVENT, F.lit(1), _time(choices, "created_at"), F.lit(1)))
 
 
@@ -61,6 +62,19 @@ def as_events(interactions: DataFrame) -> DataFrame:
         F.col("TIMESTAMP").alias("created_at"), F.col("LIKED").alias("liked"))
 
 
+def menus_formated(rows: DataFrame) -> DataFrame:
+    """Sheet rows as raw menus; their place is the file and the line in it. Rows without an id go."""
+    return rows.where(not_blank("ITEM_ID")).select(
+        F.struct("sheet", "at").alias("ord"), F.col("ITEM_ID").alias("item_id"), F.col("Meal").alias("meal"),
+        F.col("Ingredients").alias("ingredients"), epoch_seconds("CREATION_TIMESTAMP").alias("creation_ts"))
+
+
+def users_last(rows: DataFrame) -> DataFrame:
+    """User rows of files, formated; the last line of a user wins."""
+    return users_formated(top_per_key(rows.where(not_blank("user_id")), ["user_id"],
+                                      [F.desc("sheet"), F.desc("at")], 1))
+
+
 def users_formated(raw: DataFrame) -> DataFrame:
     """Keep-list for users: dates to epoch seconds by name, commas out of text, blank keys out."""
     kept = keep_columns(raw, USER_COLUMNS).where(not_blank("user_id"))

@@ -7,12 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from platewise.contracts import CHOICE_COLUMNS, RATING_COLUMNS, USER_COLUMNS
-from platewise.functions.scalars import not_blank
+from platewise.contracts import (
+    CHOICE_COLUMNS, MENU_SHEET_COLUMNS, MENU_SHEET_REQUIRED, RATING_COLUMNS, USER_COLUMNS)
 from platewise.operators.aliases import resolve
 from platewise.operators.dedup import keep_newest
 from platewise.operators.ingredients import ingredient_counts
-from platewise.operators.normalize import choices_to_interactions, ratings_to_interactions, users_formated
+from platewise.operators.normalize import (
+    choices_to_interactions, menus_formated, ratings_to_interactions, users_last)
 from platewise.session import materialize
 from platewise.sources.delimited import file_lines, numbered, project_sheets, rows_by_header
 from platewise.sources.routes import route_of
@@ -20,11 +21,12 @@ from platewise.sources.tables import absent_rows, read_batches, write_batch
 
 FILES_PER_BATCH = 1000
 
-# Raw datasets that arrive as plain CSV: columns, required columns, normalisation, target folder.
+# Raw datasets: wanted columns, required columns, header rows, normalisation, target folder.
 RAW_STAGES = {
-    "ratings": (RATING_COLUMNS, RATING_COLUMNS, ratings_to_interactions, "interactions"),
-    "choices": (CHOICE_COLUMNS, CHOICE_COLUMNS, choices_to_interactions, "interactions"),
-    "users": (USER_COLUMNS, ("user_id",), users_formated, "users"),
+    "ratings": (RATING_COLUMNS, RATING_COLUMNS, 1, ratings_to_interactions, "interactions"),
+    "choices": (CHOICE_COLUMNS, CHOICE_COLUMNS, 1, choices_to_interactions, "interactions"),
+    "users": (USER_COLUMNS, ("user_id",), 1, users_last, "users"),
+    "menus": (MENU_SHEET_COLUMNS, MENU_SHEET_REQUIRED, 2, menus_formated, "menus"),
 }
 
 
@@ -61,11 +63,11 @@ def raw_stage(root: str, target: str) -> Callable[[DataFrame, int], None]:
         lines_by_dataset = materialize(named, "lines")  # the raw text is read once for all datasets
         arrived = {r["dataset"] for r in lines_by_dataset.select("dataset").distinct().collect()}
         for dataset in sorted(arrived):
-            columns, required, normalise, folder = RAW_STAGES[dataset]
+            columns, required, header_rows, normalise, folder = RAW_STAGES[dataset]
+            names = columns if isinstance(columns, dict) else {name: name for name in columns}
             lines = lines_by_dataset.where(F.col("dataset") == dataset).drop("dataset")
-            rows, rejected = project_sheets(rows_by_header(lines), {c: c for c in columns}, required)
-            clean = normalise(rows.where(not_blank("user_id")).drop("sheet", "at"))
-            write_batch(clean, f"{target}/{folder}/source={dataset}", number)
+            rows, rejected = project_sheets(rows_by_header(lines, header_rows=header_rows), names, required)
+            write_batch(normalise(rows), f"{target}/{folder}/source={dataset}", number)
             write_batch(rejected, f"{target}/rejected/source={dataset}", number)
     return handle
 

@@ -5,6 +5,7 @@ import pytest
 from platewise import lake
 from platewise.operators.enrich import enrich_with_model
 from platewise.operators.recommend import most_popular
+from platewise.streaming import ingest
 
 
 def put(path, text):
@@ -80,3 +81,32 @@ def test_menus_through_a_text_model(spark, tmp_path, rows):
     lake.load_menus(spark, str(tmp_path / "t"), str(tmp_path / "sheets"), enrich)
     assert rows(lake.menus(spark, str(tmp_path / "t")), "item_id", "genres", "product_description") == [
         ("10", "p", ["x, y"]), ("11", "p", ["x, y"])]
+
+
+def test_streams_give_the_same_tables(spark, root, tmp_path, rows):
+    raw, formated, tables = tmp_path / "landing", str(tmp_path / "formated"), str(tmp_path / "tables")
+    put(raw / "week1.xlsx.csv", SHEET)
+    put(raw / "users_a.csv", "user_id,shipping_city,locale,created_at\n1,Rome,it,2024-05-06\n2,Oslo,no,bad\n1,Bari,it,2024-05-07\n")
+    put(raw / "rating.csv", "user_id,menu_item_id,rating,date\n1,12,5,2024-05-06\n1,10,2,2024-05-05\n2,99,5,2024-05-06\n,10,5,2024-05-06\n")
+    lexicon = spark.createDataFrame([("pork", "pork", "protein"), ("potato", "potato", "grain"), ("leek", "leek", "vegetable")],
+                                    "term string, base string, food_group string")
+    cuisines = spark.createDataFrame([("pork", "german"), ("leek", "french")], "base string, cuisine string")
+    enrich = lake.lexicon_enricher(lexicon, cuisines)
+
+    def run():
+        lines = ingest.stream_lines(spark, str(raw), 1)
+        ingest.start_batches(lines, ingest.raw_stage(str(raw), formated), str(tmp_path / "p" / "raw")).awaitTermination()
+        return lake.stream_tables(spark, formated, tables, enrich, str(tmp_path / "p"))
+
+    assert run() == ["menus", "users", "interactions"]
+    assert rows(lake.menus(spark, tables)) == rows(lake.menus(spark, root))
+    assert rows(lake.ingredients(spark, tables)) == rows(lake.ingredients(spark, root))
+    assert rows(lake.users(spark, tables)) == [("1", "Bari", None, "it", 1715040000), ("2", "Oslo", None, "no", None)]
+    assert rows(lake.interactions(spark, tables)) == [("10", "1", "Watch", 100.0, 1714953600, 1)]
+    put(raw / "choice_late.csv", "user_id,menu_item_id,manual,created_at\n2,11,true,2024-05-06\n")
+    put(raw / "users_b.csv", "user_id,shipping_city,locale,created_at\n2,Bergen,no,2024-05-08\n")
+    put(raw / "week2.xlsx.csv", SHEET)
+    run()
+    assert rows(lake.ingredients(spark, tables)) == rows(lake.ingredients(spark, root))
+    assert rows(lake.users(spark, tables), "user_id", "shipping_city") == [("1", "Bari"), ("2", "Bergen")]
+    assert rows(lake.interactions(spark, tables), "user_id", "item_id") == [("1", "10"), ("2", "11")]
