@@ -66,6 +66,23 @@ def text_chunks(texts: pa.Array, most_bytes: int = 4 << 20):
         first = end
 
 
+def hash_slices(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each byte slice: eight bytes a step are taken in and spread; the length takes part."""
+    sizes = (ends - starts).astype(np.int64)
+    words = np.lib.stride_tricks.sliding_window_view(np.concatenate([raw, np.zeros(8, np.uint8)]), 8)
+    h = mix(sizes.astype(np.uint64) + PRIME)
+    rows, step = np.flatnonzero(sizes > 0), 0
+    while len(rows):
+        block = np.ascontiguousarray(words[starts[rows] + step]).view(np.uint64).ravel()
+        left = sizes[rows] - step
+        keep = np.where(left >= 8, np.uint64(0xFFFFFFFFFFFFFFFF),
+                        (np.uint64(1) << (np.minimum(left, 7).astype(np.uint64) * np.uint64(8))) - np.uint64(1))
+        h[rows] = mix((h[rows] ^ (block & keep)) * PRIME + np.uint64(step + 1))
+        rows = rows[left > 8]
+        step += 8
+    return h
+
+
 class Words:
     """The words (runs without ASCII white space) of a block of texts: places, document numbers, 64-bit hashes."""
 
@@ -86,24 +103,7 @@ class Words:
         self.ends = np.flatnonzero(inside & (~after | edge[1:])) + 1
         self.bounds = np.searchsorted(self.starts, offsets)  # first word of each text, and the end
         self.doc = np.repeat(np.arange(len(offsets) - 1), np.diff(self.bounds))
-        self.hashes = self._hashes(raw)
-
-    def _hashes(self, raw: np.ndarray) -> np.ndarray:
-        """Polynomial hash of each word's bytes, eight bytes a step, then spread; the length takes part."""
-        sizes = (self.ends - self.starts).astype(np.int64)
-        padded = np.concatenate([raw, np.zeros(8, np.uint8)])
-        words = np.lib.stride_tricks.sliding_window_view(padded, 8)
-        h = mix(sizes.astype(np.uint64) + PRIME)
-        rows, at, step = np.arange(len(sizes)), self.starts, 0
-        while len(rows):
-            block = np.ascontiguousarray(words[at[rows] + step]).view(np.uint64).ravel()
-            left = sizes[rows] - step
-            keep = np.where(left >= 8, np.uint64(0xFFFFFFFFFFFFFFFF),
-                            (np.uint64(1) << (np.minimum(left, 7).astype(np.uint64) * np.uint64(8))) - np.uint64(1))
-            h[rows] = mix((h[rows] ^ (block & keep)) * PRIME + np.uint64(step + 1))
-            rows = rows[left > 8]
-            step += 8
-        return h
+        self.hashes = hash_slices(raw, self.starts, self.ends)
 
     def grams(self, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Hashes of all runs of k words inside one text, and the number of each run's first word."""

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from platewise.llm import mixing, secrets, sharding
-from platewise.llm.common import scratch_dir, table
+from platewise.llm import bpe, langid, mixing, quality, secrets, sharding
+from platewise.llm.common import crc_of, scratch_dir, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -40,6 +41,37 @@ def op2_kd_shards(spark: SparkSession, folder: str) -> DataFrame:
                          F.lit(None).cast("int").alias("grown_shard"))
 
 
+@query
+def op5_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    model = langid.train(docs.where(crc_of(F.col("doc_id")) % 4 != 2))
+    return langid.identify(docs, model).select(
+        "doc_id", (crc_of(F.col("doc_id")) % 4 == 2).alias("held_out"), "lang_pred", "score", "accepted")
+
+
+@query
+def op6_quality(spark: SparkSession, folder: str) -> DataFrame:
+    stats = quality.with_statistics(table(spark, folder, "documents"))
+    labels = table(spark, folder, "labels").where(crc_of(F.col("doc_id")) % 5 != 0)
+    scored = quality.score(stats, quality.train(stats, labels))
+    return scored.select("doc_id", (crc_of(F.col("doc_id")) % 5 == 0).alias("held_out"), "score",
+                         (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+
+
+@query
+def op8_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    tokenizer = bpe.Tokenizer(spark, VOCABULARY)
+    docs = table(spark, folder, "documents").select("doc_id", "text").withColumn("ids", tokenizer.encode(F.col("text")))
+    docs = docs.withColumn("decoded", tokenizer.decode(F.col("ids")))
+    digest = lambda column: F.sha2(column.cast("binary"), 256)
+    return docs.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                       digest(F.concat_ws(",", F.col("ids").cast("array<string>"))).alias("ids_sha256"),
+                       digest(F.col("decoded")).alias("decoded_sha256"))
+
+
 @query
 def op9_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     found = secrets.scan_secrets(table(spark, folder, "documents").select("doc_id", "text"), scratch_dir(spark, "ledger"))
