@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from platewise.llm import bpe, langid, mixing, quality, secrets, sharding
+from platewise.llm import bpe, langid, mixing, neardup, quality, secrets, sharding, topk
 from platewise.llm.common import crc_of, scratch_dir, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -41,6 +41,12 @@ def op2_kd_shards(spark: SparkSession, folder: str) -> DataFrame:
                          F.lit(None).cast("int").alias("grown_shard"))
 
 
+@query
+def op4_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    rows = topk.integer_vectors(table(spark, folder, "embeddings").select("vec_id", "embedding"), "embedding")
+    return topk.top_k(rows, rows.where("vec_id % 100 = 0"), k=10).select("query_id", "rank", "vec_id", "score")
+
+
 @query
 def op5_language(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
@@ -80,3 +86,8 @@ def op9_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", *[count(kind) for kind in base],
                         F.sha2(secrets.span_text(F.col("secrets"), base).cast("binary"), 256).alias("base_sha256"),
                         secrets.span_text(F.col("secrets")).alias("spans"))
+
+
+@query
+def op10_near_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, folder, "embeddings"), threshold=0.98)

@@ -52,5 +52,26 @@ SELECT doc_id, {counts}, sha256({joined.format(f' FILTER (no < {base})')}) AS ba
 FROM texts LEFT JOIN spans USING (doc_id) GROUP BY doc_id"""
 
 
+OP4 = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS x FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(embedding) > 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.x, c.x)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.x) = len(c.x) WHERE q.vec_id % 100 = 0)
+SELECT query_id, row_number() OVER w::INT AS rank, vec_id, score FROM s
+WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id) QUALIFY rank <= 10"""
+
+OP10 = """
+WITH RECURSIVE v AS (SELECT vec_id, label, embedding::DOUBLE[] AS x FROM embeddings WHERE embedding IS NOT NULL AND label IS NOT NULL
+  AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+  AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.x) = len(b.x)
+  WHERE list_cosine_similarity(a.x, b.x) >= 0.98),
+reach AS (SELECT a AS vec_id, a AS other FROM links UNION SELECT r.vec_id, l.b FROM reach r JOIN links l ON r.other = l.a),
+low AS (SELECT vec_id, min(other) AS low FROM reach GROUP BY vec_id),
+n AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a)
+SELECT e.vec_id, coalesce(n, 0)::BIGINT AS n_links, coalesce(low, e.vec_id) AS component_id, coalesce(low, e.vec_id) = e.vec_id AS kept
+FROM embeddings e LEFT JOIN low USING (vec_id) LEFT JOIN n USING (vec_id)"""
+
+
 def oracle_queries() -> dict[str, str]:
-    return {"op1_mix_sources": _op1(), "op9_secret_scan": _op9()}
+    return {"op1_mix_sources": _op1(), "op4_top_k": OP4, "op9_secret_scan": _op9(), "op10_near_vectors": OP10}
