@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from platewise.llm import bpe, langid, mixing, neardup, quality, secrets, sharding, topk
+from platewise.llm import bpe, jaccard, langid, mixing, neardup, quality, secrets, sharding, topk
 from platewise.llm.common import crc_of, scratch_dir, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -41,6 +41,11 @@ def op2_kd_shards(spark: SparkSession, folder: str) -> DataFrame:
                          F.lit(None).cast("int").alias("grown_shard"))
 
 
+@query
+def op3_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.jaccard_classes(table(spark, folder, "documents"), k=3, percent=90)
+
+
 @query
 def op4_top_k(spark: SparkSession, folder: str) -> DataFrame:
     rows = topk.integer_vectors(table(spark, folder, "embeddings").select("vec_id", "embedding"), "embedding")

@@ -73,5 +73,22 @@ SELECT e.vec_id, coalesce(n, 0)::BIGINT AS n_links, coalesce(low, e.vec_id) AS c
 FROM embeddings e LEFT JOIN low USING (vec_id) LEFT JOIN n USING (vec_id)"""
 
 
+OP3 = r"""
+WITH RECURSIVE words AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+  'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+sets AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')] ELSE
+  list_distinct(list_transform(generate_series(1, len(w) - 2), lambda i: array_to_string(w[i:i + 2], ' '))) END AS s FROM words),
+kinds AS (SELECT min(doc_id) AS id, s FROM (SELECT doc_id, list_sort(s) AS s FROM sets) WHERE len(s) > 0 GROUP BY s),
+grams AS (SELECT id, len(s) AS n, unnest(s) AS g FROM kinds),
+common AS (SELECT a.id AS a, b.id AS b, a.n AS na, b.n AS nb, count(*) AS joint FROM grams a JOIN grams b
+  ON a.g = b.g AND a.id < b.id AND a.n * 100 >= 90 * b.n AND b.n * 100 >= 90 * a.n GROUP BY ALL),
+links AS (SELECT a, b FROM common WHERE 100 * joint >= 90 * (na + nb - joint)),
+two AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reach AS (SELECT id, id AS other FROM kinds UNION SELECT r.id, t.b FROM reach r JOIN two t ON r.other = t.a),
+low AS (SELECT id, min(other) AS low FROM reach GROUP BY id)
+SELECT x.doc_id, len(x.s)::BIGINT AS n_shingles, coalesce(low, x.doc_id) AS component_id
+FROM sets x LEFT JOIN kinds k ON list_sort(x.s) = k.s LEFT JOIN low ON low.id = k.id"""
+
+
 def oracle_queries() -> dict[str, str]:
-    return {"op1_mix_sources": _op1(), "op4_top_k": OP4, "op9_secret_scan": _op9(), "op10_near_vectors": OP10}
+    return {"op1_mix_sources": _op1(), "op3_jaccard_join": OP3, "op4_top_k": OP4, "op9_secret_scan": _op9(), "op10_near_vectors": OP10}
