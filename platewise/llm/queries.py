@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from platewise.llm import bpe, jaccard, langid, mixing, neardup, quality, secrets, sharding, topk
+from platewise.llm import bpe, jaccard, langid, mixing, neardup, quality, secrets, sharding, substrings, topk
 from platewise.llm.common import crc_of, scratch_dir, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -69,6 +69,12 @@ def op6_quality(spark: SparkSession, folder: str) -> DataFrame:
                          (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+@query
+def op7_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    out = substrings.remove_repeats(table(spark, folder, "documents"), window=13)
+    return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
 

@@ -90,5 +90,18 @@ SELECT x.doc_id, len(x.s)::BIGINT AS n_shingles, coalesce(low, x.doc_id) AS comp
 FROM sets x LEFT JOIN kinds k ON list_sort(x.s) = k.s LEFT JOIN low ON low.id = k.id"""
 
 
+OP7 = r"""
+WITH words AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents),
+windows AS (SELECT doc_id, unnest(generate_series(1, len(w) - 12)) AS i, w FROM words WHERE len(w) >= 13),
+keyed AS (SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS g FROM windows),
+judged AS (SELECT doc_id, i FROM (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY g) AS low FROM keyed) WHERE low < doc_id),
+gone AS (SELECT DISTINCT doc_id, unnest(generate_series(i, i + 12)) AS i FROM judged),
+gone_lists AS (SELECT doc_id, list(i) AS l FROM gone GROUP BY doc_id),
+kept AS (SELECT doc_id, len(w)::BIGINT AS n, coalesce(len(l), 0)::BIGINT AS r, list_filter(w, lambda x, i: l IS NULL OR NOT list_contains(l, i)) AS k
+  FROM words LEFT JOIN gone_lists USING (doc_id))
+SELECT doc_id, n AS n_words, r AS n_removed, sha256(array_to_string(k, ' ')) AS kept_sha256 FROM kept"""
+
+
 def oracle_queries() -> dict[str, str]:
-    return {"op1_mix_sources": _op1(), "op3_jaccard_join": OP3, "op4_top_k": OP4, "op9_secret_scan": _op9(), "op10_near_vectors": OP10}
+    return {"op1_mix_sources": _op1(), "op3_jaccard_join": OP3, "op4_top_k": OP4, "op7_repeats": OP7, "op9_secret_scan": _op9(), "op10_near_vectors": OP10}
