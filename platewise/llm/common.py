@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import gc
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from platewise.session import materialize, scratch_dir  # noqa: F401  (used by the operators)
+from platewise.session import scratch_dir
 
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -20,6 +22,29 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def materialize(df: DataFrame, label: str) -> DataFrame:
+    """Write a result to the shared folder and read it back; ``discard`` removes it when nothing needs it any more.
+
+    The shuffle files behind it are of no use from then on. Spark removes them when the driver has
+    collected its garbage, which a driver with little to do puts off; so this asks for it.
+    """
+    spark, path = df.sparkSession, scratch_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    stored = spark.read.schema(df.schema).parquet(path)
+    stored.scratch_path = path
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+    return stored
+
+
+def discard(*stored: DataFrame) -> None:
+    """Remove written results that no later result reads."""
+    for frame in stored:
+        spark = frame.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(frame.scratch_path)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def hash52(*parts: Column | str) -> Column:
     """52 even bits of the parts' md5 as a long: the same number in any engine."""
     text = F.concat_ws(":", *[F.coalesce((F.col(p) if isinstance(p, str) else p).cast("string"), F.lit("null"))

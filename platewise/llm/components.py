@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from platewise.llm.common import materialize
+from platewise.llm.common import discard, materialize
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -17,8 +17,9 @@ def connected_components(edges: DataFrame) -> DataFrame:
     """
     edges = edges.select("a", "b").where("a is not null and b is not null and a <> b")
     both = materialize(edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
-    labels = materialize(both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("component")).withColumnRenamed(
-        "a", "node"), "labels")
+    labels = materialize(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("least")).select(
+        "node", F.least("node", "least").alias("component")), "labels")
+    stored = labels
     while True:
         near = both.join(labels, F.col("b") == F.col("node")).groupBy("a").agg(F.min("component").alias("near"))
         lower = labels.join(near, F.col("node") == F.col("a")).select(
@@ -27,6 +28,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
         step = materialize(lower.join(roots, F.col("lower") == F.col("root"), "left").select(
             "node", "component", F.least("lower", F.coalesce("above", "lower")).alias("next")), "labels")
         moved = not step.where("next <> component").limit(1).isEmpty()
-        labels = step.select("node", F.col("next").alias("component"))
+        discard(stored)
+        labels, stored = step.select("node", F.col("next").alias("component")), step
         if not moved:
+            discard(both)
             return labels

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, Window as W
 
-from platewise.llm.common import PRIME, Words, materialize, mix, ragged, text_chunks
+from platewise.llm.common import PRIME, Words, discard, materialize, mix, ragged, text_chunks
 from platewise.llm.components import connected_components
 
 BITS = 2048  # of a token bitmap
@@ -15,6 +15,7 @@ HEAVY = 64  # a root shingle in more documents than this moves to the end of the
 MAX_HEAVY = 1 << 16  # such shingles at most: 512 KB of broadcast
 LEAF = 32  # sets of a leaf
 STARS = 3  # centres that a set is compared with first
+MAX_FETCH = 200_000  # sets whose ids (24 bytes each) are broadcast to fetch their texts; more are joined by a shuffle
 
 
 def shingle_sets(texts: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -140,13 +141,21 @@ def nodes_may_link(a: str, b: str, share: int) -> Column:
     return fit & apart & (possible >= need)
 
 
-def _verified(pairs: DataFrame, tokens: DataFrame, share: int) -> DataFrame:
-    """The pairs (a, b) whose whole sets link."""
+def _verified(pairs: DataFrame, source: DataFrame, sets: DataFrame, k: int, share: int) -> DataFrame:
+    """The pairs (a, b) whose whole sets link; the sets are taken from the texts again, for these pairs alone."""
+    pairs = materialize(pairs, "pairs")
+    needed = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    needed = materialize(needed.join(sets.select("node", "least", "s1"), "node"), "needed")
+    few = needed.count() <= MAX_FETCH
+    texts = source.join(F.broadcast(needed) if few else needed, F.col("id").eqNullSafe(F.col("least"))).select("node", "s1", "text")
+    tokens = materialize(texts.mapInArrow(_tokens(k), "node long, n long, tokens array<long>").dropDuplicates(["node"]), "tokens")
     a = tokens.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("tokens").alias("ta"))
     b = tokens.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("tokens").alias("tb"))
     both = F.size(F.array_intersect("ta", "tb"))
-    return pairs.join(a, "a").join(b, "b").withColumn("both", both).where(
-        F.col("both") * 100 >= (F.col("na") + F.col("nb") - F.col("both")) * share).select("a", "b")
+    links = materialize(pairs.join(a, "a").join(b, "b").withColumn("both", both).where(
+        F.col("both") * 100 >= (F.col("na") + F.col("nb") - F.col("both")) * share).select("a", "b"), "links")
+    discard(pairs, needed, tokens)
+    return links
 
 
 def jaccard_classes(docs: DataFrame, k: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -182,35 +191,43 @@ def jaccard_classes(docs: DataFrame, k: int = 5, percent: int = 80, doc_id: str
     sets = materialize(rows.where("n > 0").groupBy("s1", "s2", "n").agg(
         F.min("id").alias("least"), *[F.first(c).alias(c) for c in ("roots", "bitmap", "hidden")]).withColumn(
         "node", F.monotonically_increasing_id()), "sets")
+    light = materialize(rows.select("id", "n", "s1", "s2"), "sizes")
+    discard(rows)
     band = F.floor(F.log(F.col("n")) / F.log(F.lit(100 / percent))).cast("int")
     members = sets.select("node", "n", band.alias("band"), F.explode("roots").alias("token"))
     shared = members.groupBy("token").agg(F.count(F.lit(1)).alias("sets")).where("sets > 1").select("token")
     members = materialize(members.join(shared, "token"), "members")
 
-    wanted = members.select("node").distinct().join(sets.select("node", "least", "s1"), "node")
-    fetched = source.join(wanted, F.col("id").eqNullSafe(F.col("least"))).select("node", "s1", "text")
-    tokens = materialize(fetched.mapInArrow(_tokens(k), "node long, n long, tokens array<long>").dropDuplicates(["node"]), "tokens")
     maps = sets.select("node", "n", "bitmap", "hidden")
 
-    # First every set with a few centres: the first sets below its roots.
-    centres = members.groupBy("token", "band").agg(F.min("node").alias("centre"), F.max("node").alias("last")).where(
-        "last > centre").select("token", "band", "centre")
-    stars = members.join(centres, ["token", "band"]).where("node <> centre").groupBy("node").agg(
-        F.slice(F.array_sort(F.collect_set("centre")), 1, STARS).alias("centres")).select(
-        F.explode("centres").alias("a"), F.col("node").alias("b"))
+    # First every set with a few centres: the first sets below its roots that it may link with.
+    centres = members.groupBy("token", "band").agg(F.min("node").alias("a"), F.max("node").alias("last")).where(
+        "last > a").select("token", "band", "a")
     a_maps = maps.select(F.col("node").alias("a"), F.struct("n", "bitmap").alias("x"))
     b_maps = maps.select(F.col("node").alias("b"), F.struct("n", "bitmap").alias("y"))
-    stars = stars.join(a_maps, "a").join(b_maps, "b").where(sets_may_link("x", "y", percent)).select("a", "b")
-    first = materialize(_verified(stars, tokens, percent), "links")
+    stars = members.join(centres, ["token", "band"]).where("node <> a").select("a", F.col("node").alias("b")).distinct()
+    stars = stars.join(a_maps, "a").join(b_maps, "b").where(sets_may_link("x", "y", percent)).groupBy("b").agg(
+        F.slice(F.array_sort(F.collect_list("a")), 1, STARS).alias("centres")).select(F.explode("centres").alias("a"), "b")
+    first = _verified(stars, source, sets, k, percent)
     classes = connected_components(first)
 
-    # Then the roots over more than one class.
-    placed = members.join(classes, "node", "left").withColumn("class", F.coalesce("component", "node")).drop("component")
-    mixed = placed.groupBy("token").agg(F.min("class").alias("low"), F.max("class").alias("high")).where(
-        "low < high").select("token")
-    leaves = placed.join(mixed, "token")
-    crowd = leaves.groupBy("token", "band").agg(F.ceil(F.count(F.lit(1)) / LEAF).cast("int").alias("leaves"))
-    leaves = materialize(leaves.join(crowd, ["token", "band"]).withColumn(
+    # Then the roots over more than one class. A root of few sets is a leaf itself.
+    placed = materialize(members.join(classes, "node", "left").withColumn("class", F.coalesce("component", "node")).drop(
+        "component"), "placed")
+    mixed = placed.groupBy("token").agg(F.min("class").alias("low"), F.max("class").alias("high"), F.count(F.lit(1)).alias("sets")).where(
+        "low < high").select("token", (F.col("sets") > LEAF).alias("tall"))
+    placed_mixed = materialize(placed.join(mixed, "token"), "mixed")
+    discard(members, placed)
+    x, y = placed_mixed.where("not tall").alias("x"), placed_mixed.where("not tall").alias("y")
+    need = _needed(F.col("x.n"), F.col("y.n"), percent)
+    low_pairs = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.node") < F.col("y.node")) & (
+        F.col("x.class") != F.col("y.class")) & (need <= F.least("x.n", "y.n"))).select(
+        F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
+    low_pairs = low_pairs.join(a_maps, "a").join(b_maps, "b").where(sets_may_link("x", "y", percent)).select("a", "b")
+
+    tall = placed_mixed.where("tall")
+    crowd = tall.groupBy("token", "band").agg(F.ceil(F.count(F.lit(1)) / LEAF).cast("int").alias("leaves"))
+    leaves = materialize(tall.join(crowd, ["token", "band"]).withColumn(
         "leaf", F.pmod(F.xxhash64("class"), F.col("leaves")).cast("int")).join(maps.drop("n"), "node").drop("leaves"), "leaves")
     tree = materialize(leaves.groupBy("token", "band", "leaf").agg(
         F.min("n").alias("least"), F.max("n").alias("most"), F.min("class").alias("low"), F.max("class").alias("high"),
@@ -226,14 +243,34 @@ def jaccard_classes(docs: DataFrame, k: int = 5, percent: int = 80, doc_id: str
     pairs = open_.join(left, (F.col("x.token") == open_["token"]) & (F.col("x.band") == F.col("xb")) & (F.col("x.leaf") == F.col("xl")))
     pairs = pairs.join(right, (F.col("y.token") == open_["token"]) & (F.col("y.band") == F.col("yb")) & (F.col("y.leaf") == F.col("yl"))
                        & (F.col("x.class") != F.col("y.class")) & sets_may_link("x", "y", percent))
-    pairs = pairs.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
-    second = materialize(_verified(pairs, tokens, percent), "links")
-    classes = connected_components(first.unionByName(second))
+    pairs = pairs.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).unionByName(
+        low_pairs).distinct()
+    open_pairs = materialize(pairs, "open-pairs")
+    discard(placed_mixed, leaves, tree)
+    # A set is compared with its few partners of the smallest classes first: most pairs are one class after that.
+    links, partners = first, STARS
+    while not open_pairs.isEmpty():
+        one = classes.select(F.col("node").alias("a"), F.col("component").alias("ca"))
+        two = classes.select(F.col("node").alias("b"), F.col("component").alias("cb"))
+        apart = materialize(open_pairs.join(one, "a", "left").join(two, "b", "left").select(
+            "a", "b", F.coalesce("ca", "a").alias("ca"), F.coalesce("cb", "b").alias("cb")).where("ca <> cb"), "apart")
+        if apart.isEmpty():
+            discard(apart)
+            break
+        place = F.row_number().over(W.partitionBy("b").orderBy("ca", "a"))
+        chosen = materialize(apart.withColumn("place", place).where(F.col("place") <= partners).select("a", "b"), "chosen")
+        rest = materialize(apart.select("a", "b").join(chosen, ["a", "b"], "left_anti"), "open-pairs")
+        links = links.unionByName(_verified(chosen, source, sets, k, percent))
+        classes = connected_components(links)
+        discard(open_pairs, apart, chosen)
+        open_pairs, partners = rest, partners * 4
 
     smallest = sets.select("node", "least").join(classes, "node").groupBy("component").agg(F.min("least").alias("smallest"))
     known = sets.select("node", "s1", "s2", "n", "least").join(classes, "node", "left").join(smallest, "component", "left").select(
         "s1", "s2", "n", F.coalesce("smallest", "least").alias("class_id"))
-    out = rows.select("id", "n", "s1", "s2").join(known, ["s1", "s2", "n"], "left")
+    known = materialize(known, "known")
+    discard(sets)
+    out = light.join(known, ["s1", "s2", "n"], "left")
     return out.select(F.col("id").alias(doc_id), F.col("n").alias("n_shingles"),
                       F.coalesce("class_id", "id").alias("component_id"))
 

@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from platewise.llm.common import Words, materialize, mix, ragged, text_chunks
+from platewise.llm.common import PRIME, Words, discard, materialize, mix, ragged, text_chunks
 
 ANCHOR = 4  # words of an anchor
 SHARD_WORDS = 100_000  # words of a reference shard, about
@@ -141,17 +141,39 @@ def _passages(window: int):
                 keys, first, size, doc = keys[some], first[some], size[some], doc[some]
                 bounds = np.concatenate([[0], np.cumsum(size)])
                 place = np.repeat(first - bounds[:-1], size) + np.arange(bounds[-1])
-                symbols = words.hashes[place]
-                step = mix(symbols + (np.arange(bounds[-1]) - np.repeat(bounds[:-1], size)).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-                sums = [np.add.reduceat(mix(step + np.uint64(c)), bounds[:-1]).view(np.int64) if len(size) else np.zeros(0, np.int64)
-                        for c in (1, 2)]
+                step = mix(words.hashes[place] + (np.arange(bounds[-1]) - np.repeat(bounds[:-1], size)).astype(np.uint64) * PRIME)
+                content = np.add.reduceat(step, bounds[:-1]).view(np.int64) if len(size) else np.zeros(0, np.int64)
                 ids = batch.column("id").slice(a, b - a).take(pa.array(doc))
                 yield pa.RecordBatch.from_arrays(
-                    [ids, pa.array(first - words.bounds[doc]), pa.array(keys.view(np.int64)), pa.array(sums[0]), pa.array(sums[1]),
-                     ragged(symbols.view(np.int64), bounds)], ["id", "start", "anchor", "p1", "p2", "words"])
+                    [ids, pa.array((first - words.bounds[doc]).astype(np.int32)), pa.array(size.astype(np.int32)),
+                     pa.array(keys.view(np.int64)), pa.array(content)], ["id", "start", "size", "anchor", "content"])
     return run
 
 
+def _symbols(batches):
+    """The words (as 32-bit symbols) of the passages that are asked for of each text."""
+    for batch in batches:
+        for a, b in text_chunks(batch.column("text")):
+            words = Words(batch.column("text").slice(a, b - a))
+            lists = batch.column("asked").slice(a, b - a)
+            asked, counts = lists.flatten(), np.asarray(pa.compute.list_value_length(lists), dtype=np.int64)
+            size = np.asarray(asked.field("size"), dtype=np.int64)
+            first = np.asarray(asked.field("start"), dtype=np.int64) + np.repeat(words.bounds[:-1], counts)
+            bounds = np.concatenate([[0], np.cumsum(size)])
+            fits = first + size <= np.repeat(words.bounds[1:], counts)  # false in another row of the same doc_id
+            place = np.repeat(first - bounds[:-1], size) + np.arange(bounds[-1])
+            symbols = (words.hashes[np.minimum(place, max(len(words.hashes) - 1, 0))] >> np.uint64(32)).astype(np.uint32) \
+                if len(words.hashes) else np.zeros(len(place), np.uint32)
+            step = words.hashes[np.minimum(place, max(len(words.hashes) - 1, 0))] if len(words.hashes) else np.zeros(len(place), np.uint64)
+            step = mix(step + (np.arange(bounds[-1]) - np.repeat(bounds[:-1], size)).astype(np.uint64) * PRIME)
+            same = np.add.reduceat(step, bounds[:-1]).view(np.int64) if len(size) else np.zeros(0, np.int64)
+            fits &= same == np.asarray(asked.field("content"), dtype=np.int64)
+            rows = pa.RecordBatch.from_arrays(
+                [asked.field(c) for c in ("anchor", "content", "least", "most")] + [ragged(symbols.view(np.int32), bounds)],
+                ["anchor", "content", "least", "most", "words"])
+            yield rows.filter(pa.array(fits))
+
+
 def _match_shard(window: int):
     """Build the automaton of a shard's distinct passages and stream them through it."""
     def run(shard: pa.Table) -> pa.Table:
@@ -169,7 +191,7 @@ def _match_shard(window: int):
                 keep.append(i)
                 found.append(documents)
         rows = shard.take(pa.array(keep, pa.int64()))
-        return pa.table({"p1": rows.column("p1"), "p2": rows.column("p2"), "held_by": pa.array(found, pa.list_(pa.int64()))})
+        return pa.table({"anchor": rows.column("anchor"), "content": rows.column("content"), "held_by": pa.array(found, pa.list_(pa.int64()))})
     return run
 
 
@@ -225,13 +247,14 @@ def remove_repeats(docs: DataFrame, window: int = 13, doc_id: str = "doc_id", te
 
     Every text is cut into passages by anchors: equal windows lie below equal anchors, whatever surrounds
     them. Only passages below anchors of two or more documents go on, each distinct one once, with the smallest
-    document that holds it. Their anchors deal them to reference shards of about SHARD_WORDS words, and the task of a shard
+    document that holds it; one that is alone below its anchor is settled by that. The others' anchors deal them to reference shards of about SHARD_WORDS words, and the task of a shard
     builds a suffix automaton over its passages and streams them through it: the matching statistics say
     for each window which smallest document holds it. So a passage meets the one automaton that can hold its
     windows, instead of every shard's; nothing is broadcast. Below an anchor of more than HOT distinct passages
     (a common passage in many surroundings) windows are matched one by one by aggregation, which needs no group in memory.
 
-    Words are runs without ASCII white space, unchanged, known by 64-bit hashes. A null or empty text has no words. A null
+    Words are runs without ASCII white space, unchanged, known by hashes: 64 bits
+    for anchors and passages, 32 bits for the single words inside passages of one anchor. A null or empty text has no words. A null
     doc_id is neither smaller nor larger: it keeps all words and takes none from others. Repeated rows of a
     doc_id don't remove each other's words, nor does a document its own. An empty table gives an empty table.
     Other columns are not read. doc_id must be a whole number.
@@ -241,31 +264,39 @@ def remove_repeats(docs: DataFrame, window: int = 13, doc_id: str = "doc_id", te
     named = source.where("id is not null").withColumn("id", F.col("id").cast("long"))
     anchors = named.mapInArrow(_anchors(window), "id long, anchors array<long>").select("id", F.explode("anchors").alias("anchor"))
     shared = anchors.groupBy("anchor").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high").select("anchor")
-    mine = anchors.join(shared, "anchor").groupBy("id").agg(F.collect_set("anchor").alias("anchors"))
+    mine = materialize(anchors.join(shared, "anchor").groupBy("id").agg(F.collect_set("anchor").alias("anchors")), "anchors")
     passages = materialize(named.join(mine, "id").select("id", "text", "anchors").mapInArrow(
-        _passages(window), "id long, start long, anchor long, p1 long, p2 long, words array<long>"), "passages")
-    contents = materialize(passages.groupBy("anchor", "p1", "p2").agg(
-        F.min("id").alias("least"), F.max("id").alias("most"), F.first("words").alias("words")), "contents")
-    # A passage that only one document holds may still share a window with another passage of its anchor.
-    below = contents.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), F.min("least").alias("low"), F.max("most").alias("high"),
-                                           F.sum(F.size("words")).alias("size")).where("low < high")
-    total = below.where(F.col("n") <= HOT).agg(F.sum("size")).first()[0] or 0
+        _passages(window), "id long, start int, size int, anchor long, content long"), "passages")
+    discard(mine)
+    contents = materialize(passages.groupBy("anchor", "content").agg(
+        F.min("id").alias("least"), F.max("id").alias("most"), F.min_by(F.struct("start", "size"), "id").alias("place")), "contents")
+    # A passage alone below its anchor shares its windows with no other passage: its smallest document holds them all.
+    below = contents.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), F.sum("place.size").alias("words")).where("n > 1")
+    total = below.where(F.col("n") <= HOT).agg(F.sum("words")).first()[0] or 0
     shards = max(1, -(-total // SHARD_WORDS))
     below = below.select("anchor", (F.col("n") > HOT).alias("hot"))
-    contents = contents.join(below, "anchor")
-    cold = contents.where("not hot").withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards)))
-    matched = cold.select("shard", "p1", "p2", "least", "most", "words").groupBy("shard").applyInArrow(
-        _match_shard(window), "p1 long, p2 long, held_by array<long>")
-    single = contents.where("hot").select("p1", "p2", "least", F.posexplode(F.transform(
+    alone = contents.join(below, "anchor", "left_anti").where("least < most").select("anchor", "content", F.array_repeat(
+        "least", F.col("place.size") - (window - 1)).alias("held_by"))
+    asked = contents.join(below.select("anchor"), "anchor").groupBy(F.col("least").alias("id")).agg(F.collect_list(F.struct(
+        "place.start", "place.size", "anchor", "content", "least", "most")).alias("asked"))
+    worded = materialize(named.join(asked, "id").select("text", "asked").mapInArrow(
+        _symbols, "anchor long, content long, least long, most long, words array<int>").dropDuplicates(["anchor", "content"]), "words")
+    known = worded.join(below, "anchor")
+    cold = known.where("not hot").withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards)))
+    matched = cold.select("shard", "anchor", "content", "least", "most", "words").groupBy("shard").applyInArrow(
+        _match_shard(window), "anchor long, content long, held_by array<long>")
+    single = known.where("hot").select("anchor", "content", "least", F.posexplode(F.transform(
         F.sequence(F.lit(1), F.size("words") - (window - 1)), lambda i: F.slice("words", i, window))).alias("i", "w"))
     single = single.withColumn("w1", F.xxhash64("w")).withColumn("w2", F.xxhash64("w", F.lit(1))).drop("w")
     lowest = single.groupBy("w1", "w2").agg(F.min("least").alias("by"))
-    one_by_one = single.join(lowest, ["w1", "w2"]).groupBy("p1", "p2").agg(
+    one_by_one = single.join(lowest, ["w1", "w2"]).groupBy("anchor", "content").agg(
         F.transform(F.array_sort(F.collect_list(F.struct("i", "by"))), lambda x: x["by"]).alias("held_by"))
-    held = matched.unionByName(one_by_one)
-    starts = passages.select("id", "start", "p1", "p2").join(held, ["p1", "p2"]).select("id", F.expr(
+    held = matched.unionByName(one_by_one).unionByName(alone)
+    starts = passages.select("id", "start", "anchor", "content").join(held, ["anchor", "content"]).select("id", F.expr(
         "transform(filter(sequence(0, size(held_by) - 1), i -> held_by[i] < id), i -> start + i)").alias("starts"))
-    starts = starts.where(F.size("starts") > 0).groupBy("id").agg(F.array_distinct(F.flatten(F.collect_list("starts"))).alias("starts"))
+    starts = materialize(starts.where(F.size("starts") > 0).groupBy("id").agg(
+        F.array_distinct(F.flatten(F.collect_list("starts"))).alias("starts")), "starts")
+    discard(passages, contents, worded)
     joined = source.join(starts.withColumnRenamed("id", "__id"), F.col("id") == F.col("__id"), "left").select("id", "text", "starts")
     out = joined.mapInArrow(
         _removal(window), f"id {kind}, n_words long, n_removed long, kept string, spans array<struct<start:long,end:long>>")
