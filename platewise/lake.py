@@ -29,7 +29,6 @@ from platewise.streaming.ingest import start_batches, stream_parquet
 
 PAIR = ["user_id", "item_id"]
 TIES = ["event_type", "event_value", "raw_id"]
-VECTOR_LIMIT = 100_000
 Enricher = Callable[[DataFrame], DataFrame]
 
 
@@ -42,7 +41,7 @@ def _known(spark: SparkSession, path: str, batch: int, empty: DataFrame) -> Data
     return read_batches(spark, path).where(F.col("batch") < batch).drop("batch") if batch else empty.limit(0)
 
 
-def load_menus(spark: SparkSession, root: str, sheets: str, enrich: Enricher, batch: int = 0) -> DataFrame:
+def load_menus(spark: SparkSession, root: str, sheets: str, enrich: Enricher, batch: int) -> DataFrame:
     """Menu sheets to the tables ``menus``, ``menu_aliases`` and ``ingredients``. Returns the sheets left
     out for missing columns."""
     use_utc(spark)
@@ -51,7 +50,7 @@ def load_menus(spark: SparkSession, root: str, sheets: str, enrich: Enricher, ba
     return rejected
 
 
-def add_menus(spark: SparkSession, root: str, formated: DataFrame, enrich: Enricher, batch: int = 0) -> None:
+def add_menus(spark: SparkSession, root: str, formated: DataFrame, enrich: Enricher, batch: int) -> None:
     """Raw menus to the tables: only menus that are not known yet are enriched, added and counted."""
     raw = materialize(formated, "raw")
     first = materialize(collapse_menus(raw), "first")
@@ -65,7 +64,7 @@ def add_menus(spark: SparkSession, root: str, formated: DataFrame, enrich: Enric
     write_batch(ids.join(added.select("item_id"), "item_id", "left_semi").distinct(), f"{root}/menu_aliases", batch)
 
 
-def load_users(spark: SparkSession, root: str, files: str, batch: int = 0) -> DataFrame:
+def load_users(spark: SparkSession, root: str, files: str, batch: int) -> DataFrame:
     """User files to the table ``users``: the last row of a user wins. Returns the files left out."""
     use_utc(spark)
     rows, rejected = read_mixed(spark, files, USER_COLUMNS, ["user_id"])
@@ -73,13 +72,13 @@ def load_users(spark: SparkSession, root: str, files: str, batch: int = 0) -> Da
     return rejected
 
 
-def add_users(root: str, formated: DataFrame, batch: int = 0) -> None:
+def add_users(root: str, formated: DataFrame, batch: int) -> None:
     """Formated users, one row per user, to the table."""
     table = normalize.users_table(normalize.users_curated(formated))
     write_batch(to_contract(table, USERS_TABLE), f"{root}/users", batch)
 
 
-def load_events(spark: SparkSession, root: str, ratings: str, choices: str, batch: int = 0) -> DataFrame:
+def load_events(spark: SparkSession, root: str, ratings: str, choices: str, batch: int) -> DataFrame:
     """Rating and choice files to the table ``interactions``. Returns the files left out."""
     use_utc(spark)
     rated, bad_ratings = read_mixed(spark, ratings, RATING_COLUMNS, RATING_COLUMNS)
@@ -88,7 +87,7 @@ def load_events(spark: SparkSession, root: str, ratings: str, choices: str, batc
     return bad_ratings.unionByName(bad_choices)
 
 
-def add_interactions(spark: SparkSession, root: str, interactions: DataFrame, batch: int = 0) -> None:
+def add_interactions(spark: SparkSession, root: str, interactions: DataFrame, batch: int) -> None:
     """Interactions under the common contract: resolve ids, keep the newest per user and menu."""
     events = normalize.as_events(to_contract(interactions, INTERACTIONS))
     mapping = alias_map(read_batches(spark, f"{root}/menu_aliases"))
@@ -142,10 +141,12 @@ def interactions(spark: SparkSession, root: str, last_write_wins: bool = False)
     return latest.select(*INTERACTIONS_TABLE.fieldNames())
 
 
-def index_menus(spark: SparkSession, root: str, limit: int = VECTOR_LIMIT) -> None:
-    """Menu texts to vectors: one menu per name, up to the limit of the index; the fitted embedder is
+def index_menus(spark: SparkSession, root: str, limit: int | None = None) -> None:
+    """Menu texts to vectors: one menu per name, all of them unless a limit is asked for; the fitted embedder is
     kept beside them for the queries."""
-    chosen = first_rows(keep_first(menus(spark, root), ["name"], ["created_at", "item_id"]), "item_id", limit)
+    chosen = keep_first(menus(spark, root), ["name"], ["created_at", "item_id"])
+    if limit is not None:
+        chosen = first_rows(chosen, "item_id", limit)
     passages = materialize(chosen.select("item_id", "name", passage_text(
         "name", ["genres", "genre_l2", "genre_l3"], "product_description").alias("text")), "passages")
     model = similarity.fit_embedder(passages)

@@ -27,7 +27,7 @@ _HIT_SCHEMA = "query_id string, item_id string, name string, score double"
 def fit_embedder(passages: DataFrame, text: str = "text", dimension: int = DIMENSION) -> PipelineModel:
     """Hashed term weights, scaled by rarity and to unit length; fitted on the passages."""
     return Pipeline(stages=[
-        RegexTokenizer(inputCol=text, outputCol="_words", pattern=r"\W+", toLowercase=True),
+        RegexTokenizer(inputCol=text, outputCol="_words", pattern=r"[^\p{L}\p{M}\p{N}]+", toLowercase=True),
         HashingTF(inputCol="_words", outputCol="_counts", numFeatures=dimension),
         IDF(inputCol="_counts", outputCol="_weights"),
         Normalizer(inputCol="_weights", outputCol="_unit"),

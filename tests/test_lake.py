@@ -35,8 +35,8 @@ def root(spark, tmp_path_factory):
     for batch in (0, 1, 1):  # the same sheets again, and the second load replayed
         rejected = lake.load_menus(spark, root, str(raw / "sheets"), enrich, batch)
     assert [r["sheet"].rsplit("/", 1)[-1] for r in rejected.collect()] == ["broken.csv"]
-    assert lake.load_users(spark, root, str(raw / "users")).count() == 0
-    assert lake.load_events(spark, root, str(raw / "rating"), str(raw / "choice")).count() == 0
+    assert lake.load_users(spark, root, str(raw / "users"), 0).count() == 0
+    assert lake.load_events(spark, root, str(raw / "rating"), str(raw / "choice"), 0).count() == 0
     return root
 
 
@@ -78,7 +78,7 @@ def test_menus_through_a_text_model(spark, tmp_path, rows):
     put(tmp_path / "sheets" / "w.csv", SHEET)
     answer = '{"cuisine_type":"any","primary_ingredient":"p","other_ingredients":["x, y"]}'
     enrich = lambda menus: enrich_with_model(menus, lambda batch: [answer] * len(batch))
-    lake.load_menus(spark, str(tmp_path / "t"), str(tmp_path / "sheets"), enrich)
+    lake.load_menus(spark, str(tmp_path / "t"), str(tmp_path / "sheets"), enrich, 0)
     assert rows(lake.menus(spark, str(tmp_path / "t")), "item_id", "genres", "product_description") == [
         ("10", "p", ["x, y"]), ("11", "p", ["x, y"])]
 

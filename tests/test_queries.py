@@ -8,6 +8,7 @@ import pytest
 
 import __spark_entry__ as contract
 import check
+from platewise.plans.catalog import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -26,11 +27,12 @@ def test_entry(spark):
 
 def test_every_sql_has_its_query():
     assert set(contract.oracle_sql()) <= set(contract.queries())
-    assert set(contract.queries()) - set(contract.oracle_sql()) == {
+    assert set(QUERIES) <= set(contract.queries())
+    assert set(QUERIES) - set(contract.oracle_sql()) == {
         "embed_passages", "embed_queries", "search_texts", "knn_lsh"}
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, db, name):
     assert check.compare(spark, db, FOLDER, name).startswith(("ok", "rows"))
 
