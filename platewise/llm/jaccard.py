@@ -85,12 +85,19 @@ def _signatures(k: int, share: int, heavy):
                 bits = np.zeros((b - a, BITS), np.uint8)
                 bits[doc, (mix(grams ^ PRIME) >> np.uint64(64 - 11)).astype(np.int64)] = 1
                 maps = np.packbits(bits, axis=1).view(np.int64)
+                # Sets that would fill that map get a finer one of their own.
+                fine = [np.zeros(0, np.int64)] * (b - a)
+                for i in np.flatnonzero(n > BITS):
+                    own = np.zeros(1 << int(n[i] - 1).bit_length(), np.uint8)
+                    own[(mix(grams[bounds[i]:bounds[i + 1]] ^ PRIME) & np.uint64(len(own) - 1)).astype(np.int64)] = 1
+                    fine[i] = np.packbits(own).view(np.int64)
+                fine_bounds = np.concatenate([[0], np.cumsum([len(x) for x in fine])]).astype(np.int64)
                 roots, root_bounds = _roots(grams, doc, bounds, share, heavy.value)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("id").slice(a, b - a), pa.array(n), pa.array(sums[0]), pa.array(sums[1]),
                      ragged(roots.view(np.int64), root_bounds), ragged(maps.ravel(), np.arange(b - a + 1) * PARTS),
-                     pa.array(n - bits.sum(axis=1, dtype=np.int64))],
-                    ["id", "n", "s1", "s2", "roots", "bitmap", "hidden"])
+                     pa.array(n - bits.sum(axis=1, dtype=np.int64)), ragged(np.concatenate(fine), fine_bounds)],
+                    ["id", "n", "s1", "s2", "roots", "bitmap", "hidden", "fine"])
     return run
 
 
@@ -117,12 +124,29 @@ def _popcount(a: Column, b: Column, test) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(test(x, y))), F.lit(0), lambda s, x: s + x)
 
 
+def _folded(fine: Column, other: Column) -> Column:
+    """Half as long where ``other`` is: bit i and bit i + half become one."""
+    half = F.floor(F.size(fine) / 2).cast("int")
+    return F.when(F.size(fine) > F.size(other), F.zip_with(
+        F.slice(fine, F.lit(1), half), F.slice(fine, half + 1, half), lambda x, y: x.bitwiseOR(y))).otherwise(fine)
+
+
 def sets_may_link(a: str, b: str, share: int) -> Column:
-    """Leaf test: a bit that only one set has stands for a shingle that the other lacks."""
-    na, nb, ba, bb = F.col(f"{a}.n"), F.col(f"{b}.n"), F.col(f"{a}.bitmap"), F.col(f"{b}.bitmap")
+    """Leaf test: a bit that only one set has stands for a shingle that the other lacks.
+
+    Large sets are tested by their finer maps; sizes of sets that may link differ by less than a factor of two.
+    """
+    na, nb = F.col(f"{a}.n"), F.col(f"{b}.n")
     need = _needed(na, nb, share)
-    return (need <= F.least(na, nb)) & (na - _popcount(ba, bb, lambda x, y: x.bitwiseAND(F.bitwise_not(y))) >= need) & (
-        nb - _popcount(bb, ba, lambda x, y: x.bitwiseAND(F.bitwise_not(y))) >= need)
+
+    def enough(ba: Column, bb: Column) -> Column:
+        lacks = lambda x, y: x.bitwiseAND(F.bitwise_not(y))
+        return (na - _popcount(ba, bb, lacks) >= need) & (nb - _popcount(bb, ba, lacks) >= need)
+
+    fa, fb = F.col(f"{a}.fine"), F.col(f"{b}.fine")
+    large = (F.size(fa) > 0) & (F.size(fb) > 0)
+    return (need <= F.least(na, nb)) & F.when(large, enough(_folded(fa, fb), _folded(fb, fa))).otherwise(
+        enough(F.col(f"{a}.bitmap"), F.col(f"{b}.bitmap")))
 
 
 def nodes_may_link(a: str, b: str, share: int) -> Column:
@@ -187,9 +211,9 @@ def jaccard_classes(docs: DataFrame, k: int = 5, percent: int = 80, doc_id: str
     kind = docs.schema[doc_id].dataType.simpleString()
     rows = materialize(source.mapInArrow(
         _signatures(k, percent, heavy),
-        f"id {kind}, n long, s1 long, s2 long, roots array<long>, bitmap array<long>, hidden long"), "signatures")
+        f"id {kind}, n long, s1 long, s2 long, roots array<long>, bitmap array<long>, hidden long, fine array<long>"), "signatures")
     sets = materialize(rows.where("n > 0").groupBy("s1", "s2", "n").agg(
-        F.min("id").alias("least"), *[F.first(c).alias(c) for c in ("roots", "bitmap", "hidden")]).withColumn(
+        F.min("id").alias("least"), *[F.first(c).alias(c) for c in ("roots", "bitmap", "hidden", "fine")]).withColumn(
         "node", F.monotonically_increasing_id()), "sets")
     light = materialize(rows.select("id", "n", "s1", "s2"), "sizes")
     discard(rows)
@@ -198,13 +222,13 @@ def jaccard_classes(docs: DataFrame, k: int = 5, percent: int = 80, doc_id: str
     shared = members.groupBy("token").agg(F.count(F.lit(1)).alias("sets")).where("sets > 1").select("token")
     members = materialize(members.join(shared, "token"), "members")
 
-    maps = sets.select("node", "n", "bitmap", "hidden")
+    maps = sets.select("node", "n", "bitmap", "fine", "hidden")
 
     # First every set with a few centres: the first sets below its roots that it may link with.
     centres = members.groupBy("token", "band").agg(F.min("node").alias("a"), F.max("node").alias("last")).where(
         "last > a").select("token", "band", "a")
-    a_maps = maps.select(F.col("node").alias("a"), F.struct("n", "bitmap").alias("x"))
-    b_maps = maps.select(F.col("node").alias("b"), F.struct("n", "bitmap").alias("y"))
+    a_maps = maps.select(F.col("node").alias("a"), F.struct("n", "bitmap", "fine").alias("x"))
+    b_maps = maps.select(F.col("node").alias("b"), F.struct("n", "bitmap", "fine").alias("y"))
     stars = members.join(centres, ["token", "band"]).where("node <> a").select("a", F.col("node").alias("b")).distinct()
     stars = stars.join(a_maps, "a").join(b_maps, "b").where(sets_may_link("x", "y", percent)).groupBy("b").agg(
         F.slice(F.array_sort(F.collect_list("a")), 1, STARS).alias("centres")).select(F.explode("centres").alias("a"), "b")
@@ -226,9 +250,13 @@ def jaccard_classes(docs: DataFrame, k: int = 5, percent: int = 80, doc_id: str
     low_pairs = low_pairs.join(a_maps, "a").join(b_maps, "b").where(sets_may_link("x", "y", percent)).select("a", "b")
 
     tall = placed_mixed.where("tall")
-    crowd = tall.groupBy("token", "band").agg(F.ceil(F.count(F.lit(1)) / LEAF).cast("int").alias("leaves"))
-    leaves = materialize(tall.join(crowd, ["token", "band"]).withColumn(
-        "leaf", F.pmod(F.xxhash64("class"), F.col("leaves")).cast("int")).join(maps.drop("n"), "node").drop("leaves"), "leaves")
+    # Leaves of one class where a class is large, else of a few classes: pairs of one class are never opened.
+    crowd = tall.groupBy("token", "band").agg(F.ceil(F.count(F.lit(1)) / LEAF).alias("leaves"))
+    own = tall.groupBy("token", "band", "class").agg(F.ceil(F.count(F.lit(1)) / LEAF).alias("parts"))
+    leaf = F.when(F.col("parts") > 1, F.xxhash64("class", F.pmod(F.xxhash64("node"), F.col("parts")))).otherwise(
+        F.pmod(F.xxhash64("class"), F.col("leaves")))
+    leaves = materialize(tall.join(crowd, ["token", "band"]).join(own, ["token", "band", "class"]).withColumn("leaf", leaf).join(
+        maps.drop("n"), "node").drop("leaves", "parts"), "leaves")
     tree = materialize(leaves.groupBy("token", "band", "leaf").agg(
         F.min("n").alias("least"), F.max("n").alias("most"), F.min("class").alias("low"), F.max("class").alias("high"),
         F.max("hidden").alias("hidden"),
