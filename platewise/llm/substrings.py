@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from platewise.llm.common import PRIME, Words, discard, materialize, mix, ragged, text_chunks
@@ -134,7 +135,7 @@ def _passages(window: int):
                 keys, first, size = anchored_passages(words, window)
                 lists = batch.column("anchors").slice(a, b - a)
                 wanted = np.asarray(lists.flatten(), dtype=np.int64).view(np.uint64)
-                owner = np.repeat(np.arange(b - a), np.asarray(pa.compute.list_value_length(lists).fill_null(0)))
+                owner = np.repeat(np.arange(b - a), np.asarray(pc.list_value_length(lists).fill_null(0)))
                 doc = words.doc[first]
                 mark = lambda k, d: mix(k ^ mix(d.astype(np.uint64)))
                 some = np.flatnonzero(np.isin(mark(keys, doc), mark(wanted, owner)))
@@ -156,7 +157,7 @@ def _symbols(batches):
         for a, b in text_chunks(batch.column("text")):
             words = Words(batch.column("text").slice(a, b - a))
             lists = batch.column("asked").slice(a, b - a)
-            asked, counts = lists.flatten(), np.asarray(pa.compute.list_value_length(lists), dtype=np.int64)
+            asked, counts = lists.flatten(), np.asarray(pc.list_value_length(lists), dtype=np.int64)
             size = np.asarray(asked.field("size"), dtype=np.int64)
             first = np.asarray(asked.field("start"), dtype=np.int64) + np.repeat(words.bounds[:-1], counts)
             bounds = np.concatenate([[0], np.cumsum(size)])
@@ -201,7 +202,7 @@ def _removal(window: int):
             for a, b in text_chunks(batch.column("text")):
                 words = Words(batch.column("text").slice(a, b - a))
                 lists = batch.column("starts").slice(a, b - a)
-                lengths = np.asarray(pa.compute.list_value_length(lists).fill_null(0), dtype=np.int64)
+                lengths = np.asarray(pc.list_value_length(lists).fill_null(0), dtype=np.int64)
                 starts = np.asarray(lists.flatten(), dtype=np.int64) + np.repeat(words.bounds[:-1], lengths)
                 n = len(words.starts)
                 step = np.zeros(n + 1, np.int32)
@@ -291,12 +292,13 @@ def remove_repeats(docs: DataFrame, window: int = 13, doc_id: str = "doc_id", te
     lowest = single.groupBy("w1", "w2").agg(F.min("least").alias("by"))
     one_by_one = single.join(lowest, ["w1", "w2"]).groupBy("anchor", "content").agg(
         F.transform(F.array_sort(F.collect_list(F.struct("i", "by"))), lambda x: x["by"]).alias("held_by"))
-    held = matched.unionByName(one_by_one).unionByName(alone)
+    held = materialize(matched.unionByName(one_by_one).unionByName(alone), "held")
+    discard(contents, worded)
     starts = passages.select("id", "start", "anchor", "content").join(held, ["anchor", "content"]).select("id", F.expr(
         "transform(filter(sequence(0, size(held_by) - 1), i -> held_by[i] < id), i -> start + i)").alias("starts"))
     starts = materialize(starts.where(F.size("starts") > 0).groupBy("id").agg(
         F.array_distinct(F.flatten(F.collect_list("starts"))).alias("starts")), "starts")
-    discard(passages, contents, worded)
+    discard(passages, held)
     joined = source.join(starts.withColumnRenamed("id", "__id"), F.col("id") == F.col("__id"), "left").select("id", "text", "starts")
     out = joined.mapInArrow(
         _removal(window), f"id {kind}, n_words long, n_removed long, kept string, spans array<struct<start:long,end:long>>")
