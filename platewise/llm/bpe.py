@@ -8,6 +8,7 @@ import unicodedata
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, SparkSession, functions as F
 
 from platewise.llm.common import hash_slices, joined_bytes, ragged, text_chunks
@@ -228,7 +229,7 @@ class Bpe:
         """Bytes of each id list by the offset table; bytes that aren't UTF-8 become replacement marks."""
         if isinstance(lists, pa.ChunkedArray):
             lists = lists.combine_chunks()
-        sizes = np.asarray(pa.compute.list_value_length(lists).fill_null(0), dtype=np.int64)
+        sizes = np.asarray(pc.list_value_length(lists).fill_null(0), dtype=np.int64)
         ids = np.asarray(lists.flatten(), dtype=np.int64)
         ends, out, first = np.cumsum(sizes), [], 0
         while first < len(sizes):

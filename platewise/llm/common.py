@@ -6,6 +6,7 @@ import gc
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from platewise.session import scratch_dir
@@ -81,7 +82,7 @@ def joined_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def text_chunks(texts: pa.Array, most_bytes: int = 4 << 20):
     """Slices (first row, end row) of about ``most_bytes``, one row at least: bounds the memory of a task."""
-    sizes = np.asarray(pa.compute.binary_length(texts).fill_null(0), dtype=np.int64)
+    sizes = np.asarray(pc.binary_length(texts).fill_null(0), dtype=np.int64)
     ends = np.cumsum(sizes)
     first = 0
     while first < len(sizes):

@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -133,7 +134,7 @@ def train(docs: DataFrame, rows_per_label: int = 1500, text: str = "text", label
         F.lit(r["label"]), F.lit(int(min(1.0, rows_per_label / r["count"]) * 2 ** 52)))])
     sample = rows.where(F.col("place") < share[F.col("label")]).mapInArrow(
         _sample_features, "label string, place long, buckets array<int>, counts array<float>").toArrow()
-    sample = sample.take(pa.compute.sort_indices(sample, [("place", "ascending"), ("label", "ascending")]))
+    sample = sample.take(pc.sort_indices(sample, [("place", "ascending"), ("label", "ascending")]))
     labels = sorted({r["label"] for r in sizes})
     return fit(labels, sample, dim, epochs, rate, reject_share, seed)
 

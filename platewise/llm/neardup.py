@@ -6,6 +6,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from platewise.llm.common import materialize
@@ -175,7 +176,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.98, key: str = "vec
             if not batch.num_rows:
                 continue
             units = batch.column("unit")
-            lengths = np.asarray(pa.compute.list_value_length(units))
+            lengths = np.asarray(pc.list_value_length(units))
             out = [None] * batch.num_rows
             for dim in np.unique(lengths):
                 some = np.flatnonzero(lengths == dim)

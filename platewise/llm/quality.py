@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from platewise.llm.common import PRIME, Words, hash52, hash_slices, materialize, mix, text_chunks
@@ -58,14 +59,14 @@ def statistics(texts: pa.Array) -> np.ndarray:
     n_pairs = np.bincount(words.doc[at], minlength=n).astype(float)
     # Lines: the stretches between line feeds.
     breaks = np.flatnonzero(raw == 10)
-    line_end = np.unique(np.concatenate([breaks, offsets[1:]])) if n else breaks
-    line_start = np.concatenate([[0], line_end[:-1] + 1])[:len(line_end)]
+    line_start = np.unique(np.concatenate([offsets[:-1], breaks + 1]))
+    line_start = line_start[line_start < len(raw)]
     doc_of = np.searchsorted(offsets, line_start, "right") - 1
-    line_start = np.maximum(np.minimum(line_start, line_end), 0)
-    real = (line_end > line_start) & (doc_of < n)
-    # A text's first line starts at its first byte, not after the end of the text before.
+    next_break = np.append(breaks, len(raw))[np.searchsorted(breaks, line_start)]
+    line_end = np.minimum(next_break, offsets[np.minimum(doc_of + 1, n)])
+    real = line_end > line_start
     line_start, line_end, doc_of = line_start[real], line_end[real], doc_of[real]
-    lines = np.bincount(doc_of, minlength=n).astype(float) if n else np.zeros(0)
+    lines = np.bincount(doc_of, minlength=n).astype(float)
     line_kinds, _ = _distinct(doc_of, hash_slices(raw, line_start, line_end), n)
     first = raw[words.starts] if len(words.starts) else np.zeros(0, np.uint8)
     last = raw[words.ends - 1] if len(words.starts) else first
@@ -186,7 +187,7 @@ def train(stats: DataFrame, labels: DataFrame, rows: int = 50_000, label: str =
     keep = int(min(1.0, rows / max(count, 1)) * 2 ** 52)
     known = known.withColumn("place", hash52(F.col("doc_id"))).where(F.col("place") < keep)
     sample = stats.join(known, "doc_id").select("place", "y", "stats").toArrow()
-    sample = sample.take(pa.compute.sort_indices(sample, [("place", "ascending"), ("y", "ascending")]))
+    sample = sample.take(pc.sort_indices(sample, [("place", "ascending"), ("y", "ascending")]))
     x = np.asarray(sample.column("stats").combine_chunks().flatten()).reshape(-1, len(STATISTICS))
     y = np.asarray(sample.column("y").combine_chunks()).astype(float)
     return fit_trees(x, y)
