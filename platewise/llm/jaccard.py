@@ -120,6 +120,12 @@ def _needed(a: Column, b: Column, share: int) -> Column:
     return F.ceil((a + b) * share / (100 + share))
 
 
+def _in_reach(a: str, b: str, share: int) -> Column:
+    """Where a root may be the first common shingle of linked sets: what follows it in each set is enough overlap."""
+    n, place = lambda x: F.col(f"{x}n"), lambda x: F.col(f"{x}place")
+    return _needed(n(a), n(b), share) <= F.least(n(a) - place(a), n(b) - place(b))
+
+
 def _popcount(a: Column, b: Column, test) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(test(x, y))), F.lit(0), lambda s, x: s + x)
 
@@ -150,7 +156,9 @@ def sets_may_link(a: str, b: str, share: int) -> Column:
 
 
 def nodes_may_link(a: str, b: str, share: int) -> Column:
-    """Node test: sizes that fit, more than one component, and enough common bits.
+    """Node test: sizes that fit, more than one component, roots early enough in the sets, and enough common bits.
+
+    The root is early (``inner``) in the smaller of two linked sets at least, if it is the first that they share.
 
     The most that a set below ``a`` and one below ``b`` can have in common is the number of bits that both OR-combined
     maps have, plus the shingles that hide behind another one's bit.
@@ -159,10 +167,11 @@ def nodes_may_link(a: str, b: str, share: int) -> Column:
     need = _needed(col(a, "least"), col(b, "least"), share)
     fit = (need <= col(a, "most")) & (need <= col(b, "most")) & (
         col(a, "least") * share <= col(b, "most") * 100) & (col(b, "least") * share <= col(a, "most") * 100)
+    early = (col(a, "inner") | col(b, "inner")) & (need <= col(a, "room")) & (need <= col(b, "room"))
     apart = ~((col(a, "low") == col(a, "high")) & (col(b, "low") == col(b, "high")) & (col(a, "low") == col(b, "low")))
     possible = _popcount(col(a, "bitmap"), col(b, "bitmap"), lambda x, y: x.bitwiseAND(y)) + F.least(
         col(a, "hidden"), col(b, "hidden"))
-    return fit & apart & (possible >= need)
+    return fit & early & apart & (possible >= need)
 
 
 def _verified(pairs: DataFrame, source: DataFrame, sets: DataFrame, k: int, share: int) -> DataFrame:
@@ -189,8 +198,10 @@ def jaccard_classes(docs: DataFrame, k: int = 5, percent: int = 80, doc_id: str
     Equal sets are one set first, however many copies there are. The sets hang in a forest: a root is one
     shingle, and a set hangs below its first few shingles in one common order, so many that two linked sets
     always meet below a root (shingles of very many texts come last in the order, up to MAX_HEAVY of them;
-    the order never changes the result). Below a root, sets stand in leaves by size, and a node holds the
-    OR-combined bitmap of its sets' shingles, their size range and their component range.
+    the order never changes the result). Two sets are compared below a root only where it may be the first they
+    share: what follows it in each must be enough overlap. Below a root, sets stand in leaves by size and by whether the
+    root is early in them, and a node holds the OR-combined bitmap of its sets' shingles, their size range and their
+    component range.
 
     Sets are first compared with the first set of their roots' size ranges; verified links give components.
     Then only roots over more than one component are open: the dual traversal joins the nodes of a
@@ -218,18 +229,21 @@ def jaccard_classes(docs: DataFrame, k: int = 5, percent: int = 80, doc_id: str
     light = materialize(rows.select("id", "n", "s1", "s2"), "sizes")
     discard(rows)
     band = F.floor(F.log(F.col("n")) / F.log(F.lit(100 / percent))).cast("int")
-    members = sets.select("node", "n", band.alias("band"), F.explode("roots").alias("token"))
+    members = sets.select("node", "n", band.alias("band"), F.posexplode("roots").alias("place", "token"))
     shared = members.groupBy("token").agg(F.count(F.lit(1)).alias("sets")).where("sets > 1").select("token")
     members = materialize(members.join(shared, "token"), "members")
 
     maps = sets.select("node", "n", "bitmap", "fine", "hidden")
 
     # First every set with a few centres: the first sets below its roots that it may link with.
-    centres = members.groupBy("token", "band").agg(F.min("node").alias("a"), F.max("node").alias("last")).where(
-        "last > a").select("token", "band", "a")
+    centres = members.groupBy("token", "band").agg(
+        F.min(F.struct("node", "n", "place")).alias("centre"), F.max("node").alias("last")).where("last > centre.node").select(
+        "token", "band", F.col("centre.node").alias("a"), F.col("centre.n").alias("centre_n"),
+        F.col("centre.place").alias("centre_place"))
     a_maps = maps.select(F.col("node").alias("a"), F.struct("n", "bitmap", "fine").alias("x"))
     b_maps = maps.select(F.col("node").alias("b"), F.struct("n", "bitmap", "fine").alias("y"))
-    stars = members.join(centres, ["token", "band"]).where("node <> a").select("a", F.col("node").alias("b")).distinct()
+    stars = members.join(centres, ["token", "band"]).where(
+        (F.col("node") != F.col("a")) & _in_reach("", "centre_", percent)).select("a", F.col("node").alias("b")).distinct()
     stars = stars.join(a_maps, "a").join(b_maps, "b").where(sets_may_link("x", "y", percent)).groupBy("b").agg(
         F.slice(F.array_sort(F.collect_list("a")), 1, STARS).alias("centres")).select(F.explode("centres").alias("a"), "b")
     first = _verified(stars, source, sets, k, percent)
@@ -243,34 +257,37 @@ def jaccard_classes(docs: DataFrame, k: int = 5, percent: int = 80, doc_id: str
     placed_mixed = materialize(placed.join(mixed, "token"), "mixed")
     discard(members, placed)
     x, y = placed_mixed.where("not tall").alias("x"), placed_mixed.where("not tall").alias("y")
-    need = _needed(F.col("x.n"), F.col("y.n"), percent)
     low_pairs = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.node") < F.col("y.node")) & (
-        F.col("x.class") != F.col("y.class")) & (need <= F.least("x.n", "y.n"))).select(
+        F.col("x.class") != F.col("y.class")) & _in_reach("x.", "y.", percent)).select(
         F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
     low_pairs = low_pairs.join(a_maps, "a").join(b_maps, "b").where(sets_may_link("x", "y", percent)).select("a", "b")
 
-    tall = placed_mixed.where("tall")
+    room = F.col("n") - F.col("place")
+    tall = placed_mixed.where("tall").withColumn("inner", _needed(F.col("n"), F.col("n"), percent) <= room)
     # Leaves of one class where a class is large, else of a few classes: pairs of one class are never opened.
-    crowd = tall.groupBy("token", "band").agg(F.ceil(F.count(F.lit(1)) / LEAF).alias("leaves"))
-    own = tall.groupBy("token", "band", "class").agg(F.ceil(F.count(F.lit(1)) / LEAF).alias("parts"))
+    crowd = tall.groupBy("token", "band", "inner").agg(F.ceil(F.count(F.lit(1)) / LEAF).alias("leaves"))
+    own = tall.groupBy("token", "band", "inner", "class").agg(F.ceil(F.count(F.lit(1)) / LEAF).alias("parts"))
     leaf = F.when(F.col("parts") > 1, F.xxhash64("class", F.pmod(F.xxhash64("node"), F.col("parts")))).otherwise(
         F.pmod(F.xxhash64("class"), F.col("leaves")))
-    leaves = materialize(tall.join(crowd, ["token", "band"]).join(own, ["token", "band", "class"]).withColumn("leaf", leaf).join(
+    leaves = materialize(tall.join(crowd, ["token", "band", "inner"]).join(
+        own, ["token", "band", "inner", "class"]).withColumn("leaf", leaf).join(
         maps.drop("n"), "node").drop("leaves", "parts"), "leaves")
-    tree = materialize(leaves.groupBy("token", "band", "leaf").agg(
+    tree = materialize(leaves.groupBy("token", "band", "inner", "leaf").agg(
         F.min("n").alias("least"), F.max("n").alias("most"), F.min("class").alias("low"), F.max("class").alias("high"),
-        F.max("hidden").alias("hidden"),
+        F.max(room).alias("room"), F.max("hidden").alias("hidden"),
         F.array(*[F.bit_or(F.col("bitmap")[i]) for i in range(PARTS)]).alias("bitmap")), "tree")
     x, y = tree.alias("x"), tree.alias("y")
-    later = F.struct("y.band", "y.leaf") >= F.struct("x.band", "x.leaf")
+    later = F.struct("y.band", "y.inner", "y.leaf") >= F.struct("x.band", "x.inner", "x.leaf")
     open_ = x.join(y, (F.col("x.token") == F.col("y.token")) & later & (F.col("y.band") - F.col("x.band") <= 1)
                    & nodes_may_link("x", "y", percent)).select(
-        F.col("x.token").alias("token"), F.col("x.band").alias("xb"), F.col("x.leaf").alias("xl"),
-        F.col("y.band").alias("yb"), F.col("y.leaf").alias("yl"))
+        F.col("x.token").alias("token"), F.col("x.band").alias("xb"), F.col("x.inner").alias("xi"),
+        F.col("x.leaf").alias("xl"), F.col("y.band").alias("yb"), F.col("y.inner").alias("yi"), F.col("y.leaf").alias("yl"))
     left, right = leaves.alias("x"), leaves.alias("y")
-    pairs = open_.join(left, (F.col("x.token") == open_["token"]) & (F.col("x.band") == F.col("xb")) & (F.col("x.leaf") == F.col("xl")))
-    pairs = pairs.join(right, (F.col("y.token") == open_["token"]) & (F.col("y.band") == F.col("yb")) & (F.col("y.leaf") == F.col("yl"))
-                       & (F.col("x.class") != F.col("y.class")) & sets_may_link("x", "y", percent))
+    pairs = open_.join(left, (F.col("x.token") == open_["token"]) & (F.col("x.band") == F.col("xb"))
+                       & (F.col("x.inner") == F.col("xi")) & (F.col("x.leaf") == F.col("xl")))
+    pairs = pairs.join(right, (F.col("y.token") == open_["token"]) & (F.col("y.band") == F.col("yb"))
+                       & (F.col("y.inner") == F.col("yi")) & (F.col("y.leaf") == F.col("yl"))
+                       & (F.col("x.class") != F.col("y.class")) & _in_reach("x.", "y.", percent) & sets_may_link("x", "y", percent))
     pairs = pairs.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).unionByName(
         low_pairs).distinct()
     open_pairs = materialize(pairs, "open-pairs")
