@@ -282,6 +282,8 @@ def jaccard_classes(docs: DataFrame, k: int = 5, percent: int = 80, doc_id: str
                    & nodes_may_link("x", "y", percent)).select(
         F.col("x.token").alias("token"), F.col("x.band").alias("xb"), F.col("x.inner").alias("xi"),
         F.col("x.leaf").alias("xl"), F.col("y.band").alias("yb"), F.col("y.inner").alias("yi"), F.col("y.leaf").alias("yl"))
+    # A stored tree is small, so one task may read it: node pairs are dealt to many before their sets are opened.
+    open_ = open_.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "token", "xb", "xi", "xl", "yb", "yi", "yl")
     left, right = leaves.alias("x"), leaves.alias("y")
     pairs = open_.join(left, (F.col("x.token") == open_["token"]) & (F.col("x.band") == F.col("xb"))
                        & (F.col("x.inner") == F.col("xi")) & (F.col("x.leaf") == F.col("xl")))
