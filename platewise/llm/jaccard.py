@@ -14,6 +14,7 @@ PARTS = BITS // 64
 HEAVY = 64  # a root shingle in more documents than this moves to the end of the order
 MAX_HEAVY = 1 << 16  # such shingles at most: 512 KB of broadcast
 LEAF = 32  # sets of a leaf
+FIRST = 16  # roots of a set that say whether a pair met below an earlier root
 STARS = 3  # centres that a set is compared with first
 MAX_FETCH = 200_000  # sets whose ids (24 bytes each) are broadcast to fetch their texts; more are joined by a shuffle
 
@@ -126,6 +127,15 @@ def _in_reach(a: str, b: str, share: int) -> Column:
     return _needed(n(a), n(b), share) <= F.least(n(a) - place(a), n(b) - place(b))
 
 
+def _not_met_before(a: str, b: str) -> Column:
+    """False where the sets surely share a root that comes before this one, and so meet there.
+
+    Roots stand in one order for all, so the first common one of the sets' first roots is the earliest that they share.
+    """
+    both = F.array_intersect(F.col(f"{a}.first"), F.col(f"{b}.first"))
+    return (F.size(both) == 0) | (F.try_element_at(both, F.lit(1)) == F.col(f"{a}.token"))
+
+
 def _popcount(a: Column, b: Column, test) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(test(x, y))), F.lit(0), lambda s, x: s + x)
 
@@ -199,7 +209,7 @@ def jaccard_classes(docs: DataFrame, k: int = 5, percent: int = 80, doc_id: str
     shingle, and a set hangs below its first few shingles in one common order, so many that two linked sets
     always meet below a root (shingles of very many texts come last in the order, up to MAX_HEAVY of them;
     the order never changes the result). Two sets are compared below a root only where it may be the first they
-    share: what follows it in each must be enough overlap. Below a root, sets stand in leaves by size and by whether the
+    share: what follows it in each must be enough overlap, and their first few roots must not show an earlier one. Below a root, sets stand in leaves by size and by whether the
     root is early in them, and a node holds the OR-combined bitmap of its sets' shingles, their size range and their
     component range.
 
@@ -271,7 +281,8 @@ def jaccard_classes(docs: DataFrame, k: int = 5, percent: int = 80, doc_id: str
         F.pmod(F.xxhash64("class"), F.col("leaves")))
     leaves = materialize(tall.join(crowd, ["token", "band", "inner"]).join(
         own, ["token", "band", "inner", "class"]).withColumn("leaf", leaf).join(
-        maps.drop("n"), "node").drop("leaves", "parts"), "leaves")
+        sets.select("node", "bitmap", "fine", "hidden", F.slice("roots", 1, FIRST).alias("first")), "node").drop(
+        "leaves", "parts"), "leaves")
     tree = materialize(leaves.groupBy("token", "band", "inner", "leaf").agg(
         F.min("n").alias("least"), F.max("n").alias("most"), F.min("class").alias("low"), F.max("class").alias("high"),
         F.max(room).alias("room"), F.max("hidden").alias("hidden"),
@@ -289,7 +300,8 @@ def jaccard_classes(docs: DataFrame, k: int = 5, percent: int = 80, doc_id: str
                        & (F.col("x.inner") == F.col("xi")) & (F.col("x.leaf") == F.col("xl")))
     pairs = pairs.join(right, (F.col("y.token") == open_["token"]) & (F.col("y.band") == F.col("yb"))
                        & (F.col("y.inner") == F.col("yi")) & (F.col("y.leaf") == F.col("yl"))
-                       & (F.col("x.class") != F.col("y.class")) & _in_reach("x.", "y.", percent) & sets_may_link("x", "y", percent))
+                       & (F.col("x.class") != F.col("y.class")) & _in_reach("x.", "y.", percent) & sets_may_link("x", "y", percent)
+                       & _not_met_before("x", "y"))
     pairs = pairs.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).unionByName(
         low_pairs).distinct()
     open_pairs = materialize(pairs, "open-pairs")

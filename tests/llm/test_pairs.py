@@ -45,6 +45,7 @@ def _frame(spark, texts):
 def test_jaccard_classes_equal_brute_force(spark, monkeypatch, k, percent):
     monkeypatch.setattr(jaccard, "HEAVY", 4)
     monkeypatch.setattr(jaccard, "LEAF", 3)
+    monkeypatch.setattr(jaccard, "FIRST", k)
     texts = _texts(k, 90)
 
     def shingles(text):
