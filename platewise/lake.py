@@ -17,7 +17,7 @@ from platewise.contracts import (
     RATING_COLUMNS, USER_COLUMNS, USERS_TABLE, to_contract)
 from platewise.functions.scalars import passage_text
 from platewise.operators import normalize, similarity
-from platewise.operators.aliases import alias_map, collapse_menus, menu_aliases, resolve
+from platewise.operators.aliases import alias_map, collapse_menus, menu_aliases, resolve, with_same
 from platewise.operators.audience import with_audience, with_reach
 from platewise.operators.dedup import first_rows, keep_first, keep_newest, top_per_key
 from platewise.operators.enrich import enrich_menus
@@ -51,7 +51,8 @@ def load_menus(spark: SparkSession, root: str, sheets: str, enrich: Enricher, ba
 
 
 def add_menus(spark: SparkSession, root: str, formated: DataFrame, enrich: Enricher, batch: int) -> None:
-    """Raw menus to the tables: only menus that are not known yet are enriched, added and counted."""
+    """Raw menus to the tables: only menus that are not known yet are enriched, added and counted. New ids of
+    known menus are stored too."""
     raw = materialize(formated, "raw")
     first = materialize(collapse_menus(raw), "first")
     known = _known(spark, f"{root}/menus", batch, first)
@@ -61,7 +62,8 @@ def add_menus(spark: SparkSession, root: str, formated: DataFrame, enrich: Enric
     added = spark.read.parquet(f"{root}/menus/batch={batch}")
     write_batch(ingredient_counts(added), f"{root}/ingredients", batch)
     ids = menu_aliases(raw, first).select("item_id", "raw_id")
-    write_batch(ids.join(added.select("item_id"), "item_id", "left_semi").distinct(), f"{root}/menu_aliases", batch)
+    stored = _known(spark, f"{root}/menu_aliases", batch, ids)
+    write_batch(absent_rows(stored, ids, ["item_id", "raw_id"], ["raw_id"]), f"{root}/menu_aliases", batch)
 
 
 def load_users(spark: SparkSession, root: str, files: str, batch: int) -> DataFrame:
@@ -144,7 +146,7 @@ def interactions(spark: SparkSession, root: str, last_write_wins: bool = False)
 def index_menus(spark: SparkSession, root: str, limit: int | None = None) -> None:
     """Menu texts to vectors: one menu per name, all of them unless a limit is asked for; the fitted embedder is
     kept beside them for the queries."""
-    chosen = keep_first(menus(spark, root), ["name"], ["created_at", "item_id"])
+    chosen = keep_first(with_same(menus(spark, root), "name"), ["_same"], ["created_at", "item_id"])
     if limit is not None:
         chosen = first_rows(chosen, "item_id", limit)
     passages = materialize(chosen.select("item_id", "name", passage_text(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from platewise.functions.scalars import not_blank
 from platewise.operators.dedup import keep_first, positions
 from platewise.operators.joins import lookup_join
 
@@ -11,16 +12,22 @@ IDS_PER_ROW = 1000
 LAST_NUMBER = 2**63 - 1
 
 
+def with_same(menus: DataFrame, name: str = "meal") -> DataFrame:
+    """Add ``_same``, equal for rows of one menu: by meal name, or by id where there is no name."""
+    named = F.when(not_blank(name), F.concat(F.lit("name:"), F.col(name)))
+    return menus.withColumn("_same", F.coalesce(named, F.concat(F.lit("id:"), F.col("item_id"))))
+
+
 def collapse_menus(raw: DataFrame) -> DataFrame:
-    """One row per meal name: the first one by ``ord``."""
-    return keep_first(raw, ["meal"], [F.col("ord"), F.col("item_id")])
+    """One row per meal name: the first one by ``ord``. A row without a name is a menu of its own id."""
+    return keep_first(with_same(raw), ["_same"], [F.col("ord"), F.col("item_id")]).drop("_same")
 
 
 def menu_aliases(raw: DataFrame, menus: DataFrame) -> DataFrame:
     """Long form of the id lists, in file order: every raw id of a meal next to the kept id."""
-    kept = menus.select("meal", F.col("item_id").alias("kept_id"))
-    ids = raw.select("meal", F.col("item_id").alias("raw_id"), "ord")
-    return lookup_join(ids, kept, "meal").select(F.col("kept_id").alias("item_id"), "raw_id", "ord")
+    kept = with_same(menus).select("_same", F.col("item_id").alias("kept_id"))
+    ids = with_same(raw).select("_same", F.col("item_id").alias("raw_id"), "ord")
+    return lookup_join(ids, kept, "_same").select(F.col("kept_id").alias("item_id"), "raw_id", "ord")
 
 
 def alias_map(aliases: DataFrame) -> DataFrame:

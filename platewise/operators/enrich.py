@@ -59,17 +59,28 @@ def enrich_menus(menus: DataFrame, lexicon: DataFrame, cuisines: DataFrame) -> D
 def enrich_with_model(menus: DataFrame, answer: Callable[[pd.DataFrame], pd.Series]) -> DataFrame:
     """Enrich through a caller's text model: batches of (meal, ingredients) in, JSON answers out.
 
-    Spark decides how many batches run at once; a batch that the model fails on gets empty answers.
+    Spark decides how many batches run at once. A batch that the model fails on is asked again menu by menu;
+    menus that it fails on alone are left out, so that a later load finds them new and asks again.
     """
     source = menus.select("item_id", F.col("creation_ts").alias("created_at"), F.col("meal").alias("name"),
                           "ingredients")
     schema = T.StructType([*source.schema.fields, T.StructField("answer", T.StringType())])
 
+    def asked(batch: pd.DataFrame) -> pd.DataFrame | None:
+        try:
+            return batch.assign(answer=list(answer(batch)))
+        except Exception:  # a model failure must not stop the other menus
+            return None
+
     def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            try:
-                yield batch.assign(answer=list(answer(batch)))
-            except Exception:  # a model failure must not stop the other menus
-                yield batch.assign(answer=None)
+            done = asked(batch)
+            if done is not None:
+                yield done
+                continue
+            for i in range(len(batch)):
+                done = asked(batch.iloc[i:i + 1])
+                if done is not None:
+                    yield done
 
     return with_answer_roles(source.mapInPandas(ask, schema), "answer").drop("answer", "ingredients")

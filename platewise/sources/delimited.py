@@ -99,7 +99,8 @@ def rows_by_header(lines: DataFrame, sep: str = ",", header_rows: int = 1) -> Da
     top = top_per_key(lines.where(F.col("start") == 0), ["sheet"], ["at"], header_rows, "n")
     names = [f"line{n}" for n in range(1, header_rows + 1)]
     heads = materialize(top.groupBy("sheet").agg(
-        *[F.max(F.when(F.col("n") == n, F.col("line"))).alias(name) for n, name in enumerate(names, 1)]), "heads")
+        *[F.max(F.when(F.col("n") == n, F.col("line"))).alias(name) for n, name in enumerate(names, 1)],
+        F.max("at").alias("last")), "heads")
 
     def written(line: str) -> Column:
         return F.coalesce(F.size(F.split(line, _literal(sep))), F.lit(0))
@@ -119,10 +120,8 @@ def rows_by_header(lines: DataFrame, sep: str = ",", header_rows: int = 1) -> Da
         header = F.transform(cells("line1"), lambda name: F.trim(F.replace(name, F.lit(BYTE_ORDER_MARK), F.lit(""))))
     else:
         header = merge_headers(F.slice(cells("line1"), F.lit(1), written("line1")), cells("line2"))
-    rows = lookup_join(lines.select("sheet", "at", "line"), heads.withColumn("header", header), "sheet", stored=True)
-    is_data = not_blank("line")
-    for name in names:
-        is_data = is_data & ~F.col("line").eqNullSafe(F.col(name))
+    rows = lookup_join(lines.select("sheet", "start", "at", "line"), heads.withColumn("header", header), "sheet", stored=True)
+    is_data = not_blank("line") & ((F.col("start") != 0) | (F.col("at") > F.col("last")))
     return rows.where(is_data).select("sheet", "at", "header", cells("line").alias("cells"))
 
 

@@ -83,6 +83,20 @@ def test_menus_through_a_text_model(spark, tmp_path, rows):
         ("10", "p", ["x, y"]), ("11", "p", ["x, y"])]
 
 
+def test_new_ids_of_known_menus_and_menus_without_a_name(spark, tmp_path, rows):
+    head = "Menu ID,From,,Meal(En),Ingredients(En)\n,Menu Start Date,Item Id,,\n"
+    put(tmp_path / "a" / "a.csv", head + "1,5/6/2024,9,Stew,pork\n1,5/6/2024,31,,leek\n1,5/6/2024,32,,salt\n")
+    put(tmp_path / "b" / "b.csv", head + "1,6/6/2024,9,Stew,pork\n1,6/6/2024,13,Stew,pork\n")
+    put(tmp_path / "rating" / "r.csv", "user_id,menu_item_id,rating,date\n1,9,1,2024-05-06\n1,13,5,2024-06-06\n1,31,4,2024-05-06\n1,32,5,2024-05-06\n")
+    put(tmp_path / "choice" / "c.csv", "user_id,menu_item_id,manual,created_at\n")
+    root, enrich = str(tmp_path / "t"), lambda menus: enrich_with_model(menus, lambda batch: [None] * len(batch))
+    for batch, sheets in ((0, "a"), (1, "b"), (1, "b")):
+        lake.load_menus(spark, root, str(tmp_path / sheets), enrich, batch)
+    assert rows(lake.menus(spark, root), "item_id") == [("31",), ("32",), ("9",)]
+    lake.load_events(spark, root, str(tmp_path / "rating"), str(tmp_path / "choice"), 0)
+    assert rows(lake.interactions(spark, root), "item_id", "event_value") == [("31", 80.0), ("32", 100.0), ("9", 100.0)]
+
+
 def test_streams_give_the_same_tables(spark, root, tmp_path, rows):
     raw, formated, tables = tmp_path / "landing", str(tmp_path / "formated"), str(tmp_path / "tables")
     put(raw / "week1.xlsx.csv", SHEET)

@@ -238,4 +238,6 @@ def test_enrichment_hook(spark, rows):
 
     soup, pie = raw_menus(spark).where("ord = 0"), raw_menus(spark).where("ord = 1")
     assert rows(enrich_with_model(soup, model), "item_id", "genres", "content_classification") == [("5", "leek", "none")]
-    assert rows(enrich_with_model(pie, model), "item_id", "genres", "product_description") == [("7", "", [])]
+    assert rows(enrich_with_model(pie, model)) == []  # not answered: left out, so a later load asks again
+    both = soup.unionByName(pie).coalesce(1)
+    assert rows(enrich_with_model(both, model), "item_id", "genres") == [("5", "leek")]

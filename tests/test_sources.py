@@ -170,3 +170,9 @@ def test_choice_columns_are_required(spark, tmp_path):
     with pytest.raises(ValueError, match="manual"):
         delimited.read_choices(spark, path)
     assert CHOICE_COLUMNS[2] == "manual"
+
+
+def test_a_data_line_that_equals_the_header_stays(spark, tmp_path, rows):
+    (tmp_path / "a.csv").write_text("x,y\n1,2\nx,y\n")
+    found, _ = delimited.read_mixed(spark, str(tmp_path), ["x", "y"])
+    assert rows(found, "x", "y") == [("1", "2"), ("x", "y")]
