@@ -11,7 +11,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, SparkSession, functions as F
 
-from platewise.llm.common import hash_slices, joined_bytes, ragged, text_chunks
+from platewise.llm.common import hash_slices, joined_bytes, ragged, shared, text_chunks
 
 CACHE = 400_000  # words whose ids a worker remembers at most; beyond that it forgets and computes again
 NO_LIMIT = 1 << 60
@@ -273,14 +273,14 @@ class Tokenizer:
 
     def __init__(self, spark: SparkSession, path: str):
         with open(path, encoding="utf-8") as file:
-            self.vocabulary = spark.sparkContext.broadcast(Vocabulary(file.read()))
+            self.vocabulary = shared(spark, Vocabulary(file.read()))
 
     def encode(self, text: Column) -> Column:
         vocabulary = self.vocabulary
 
         @F.arrow_udf("array<int>")
         def bpe_encode(texts: pa.Array) -> pa.Array:
-            return vocabulary.value.tables().encode(texts)
+            return vocabulary().tables().encode(texts)
 
         return bpe_encode(text)
 
@@ -289,6 +289,6 @@ class Tokenizer:
 
         @F.arrow_udf("string")
         def bpe_decode(lists: pa.Array) -> pa.Array:
-            return vocabulary.value.tables().decode(lists)
+            return vocabulary().tables().decode(lists)
 
         return bpe_decode(ids)

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import gc
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from platewise.session import scratch_dir
@@ -46,6 +48,23 @@ def discard(*stored: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def shared(spark: SparkSession, value) -> Callable[[], object]:
+    """A function that gives ``value`` inside tasks: broadcast as bytes, unpacked once by each worker.
+
+    Classes of this package travel by value with it, so executors need no copy of the package. What the
+    value keeps for itself (caches) lasts as long as the worker.
+    """
+    held = spark.sparkContext.broadcast({"packed": cloudpickle.dumps(value)})
+
+    def get():
+        box = held.value
+        if "value" not in box:
+            box["value"] = cloudpickle.loads(box["packed"])
+        return box["value"]
+
+    return get
+
+
 def hash52(*parts: Column | str) -> Column:
     """52 even bits of the parts' md5 as a long: the same number in any engine."""
     text = F.concat_ws(":", *[F.coalesce((F.col(p) if isinstance(p, str) else p).cast("string"), F.lit("null"))

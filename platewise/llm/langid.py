@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame, functions as F
 
-from platewise.llm.common import LOWER, SPACE, hash52, joined_bytes, ragged, text_chunks
+from platewise.llm.common import LOWER, SPACE, hash52, joined_bytes, ragged, shared, text_chunks
 
 BUCKETS = 1 << 15
 GRAMS = (2, 3, 4)  # bytes of a subword; white space marks the ends of words
@@ -193,11 +193,11 @@ def fit(labels: list[str], sample: pa.Table, dim: int, epochs: int, rate: float,
 
 def predictor(spark, model: LanguageModel):
     """A column function: text to struct<lang, score, accepted>. The broadcast is BUCKETS times the labels."""
-    shared = spark.sparkContext.broadcast(model)
+    held = shared(spark, model)
 
     @F.arrow_udf("struct<lang:string,score:double,accepted:boolean>")
     def language(texts: pa.Array) -> pa.Array:
-        return shared.value.predict(texts)
+        return held().predict(texts)
 
     return language
 

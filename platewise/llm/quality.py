@@ -9,7 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from platewise.llm.common import PRIME, Words, hash52, hash_slices, materialize, mix, text_chunks
+from platewise.llm.common import PRIME, Words, hash52, hash_slices, materialize, mix, shared, text_chunks
 
 STATISTICS = (
     "log_bytes", "log_words", "word_mean", "word_spread", "upper", "digit", "punct", "symbol", "white", "newline",
@@ -195,11 +195,11 @@ def train(stats: DataFrame, labels: DataFrame, rows: int = 50_000, label: str =
 
 def score(stats: DataFrame, trees: Trees) -> DataFrame:
     """Add ``score`` (0 to 1, higher: label 1 likelier) to rows of ``with_statistics``; empty and null texts too."""
-    shared = stats.sparkSession.sparkContext.broadcast(trees)
+    held = shared(stats.sparkSession, trees)
 
     @F.arrow_udf("double")
     def trees_score(rows: pa.Array) -> pa.Array:
         x = np.asarray(rows.flatten()).reshape(-1, len(STATISTICS))
-        return pa.array(shared.value.score(x))
+        return pa.array(held().score(x))
 
     return stats.withColumn("score", trees_score("stats"))
