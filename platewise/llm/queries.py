@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from platewise.llm import bpe, jaccard, langid, mixing, neardup, quality, secrets, sharding, substrings, topk
+from platewise.llm import (
+    bpe, dialogue, filteraudit, jaccard, langid, mixing, neardup, pieces, quality, secrets, sharding, substrings, topk)
 from platewise.llm.common import crc_of, scratch_dir, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -102,3 +103,36 @@ def op9_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op10_near_vectors(spark: SparkSession, folder: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, folder, "embeddings"), threshold=0.98)
+
+
+@query
+def op11_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    return filteraudit.filter_audit(docs, labels, filteraudit.text_filters(F.col("text")), copies="E")
+
+
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
+
+
+@query
+def op12_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    tokenizer = pieces.PieceTokenizer(spark, PIECES)
+    docs = table(spark, folder, "documents").select("doc_id", "text").withColumn("ids", tokenizer.encode(F.col("text")))
+    docs = docs.withColumn("decoded", tokenizer.decode(F.col("ids")))
+    return docs.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                       F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")).cast("binary"), 256).alias("ids_sha256"),
+                       F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+@query
+def op13_dialogue_repair(spark: SparkSession, folder: str) -> DataFrame:
+    turns = table(spark, folder, "conversations")
+    found = dialogue.repair(dialogue.damaged(turns))
+    digests = dialogue.repaired_digests(found)
+    known = turns.select(F.col("conv_id").alias("__conv")).distinct()
+    same = F.col("__conv").eqNullSafe(F.col("conv_id"))
+    out = known.join(dialogue.audits(found), same, "left").drop("conv_id").join(digests, same, "left")
+    counts = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return out.select(F.col("__conv").alias("conv_id"), *[F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c) for c in counts],
+                      F.coalesce("audit", F.lit("")).alias("audit"),
+                      F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"))

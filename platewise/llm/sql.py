@@ -103,5 +103,32 @@ kept AS (SELECT doc_id, len(w)::BIGINT AS n, coalesce(len(l), 0)::BIGINT AS r, l
 SELECT doc_id, n AS n_words, r AS n_removed, sha256(array_to_string(k, ' ')) AS kept_sha256 FROM kept"""
 
 
+OP11 = r"""
+WITH w AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+  list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+f AS (SELECT doc_id, part, len(w) < 50 AS a, 100 * len(list_distinct(w)) < 65 * len(w) AS b,
+  100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 5 * length(t) AS c, regexp_matches(t, '[#$%&*|]') AS d,
+  coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false) AS e FROM w),
+known AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+cells AS (SELECT part, a::INT + 2 * b::INT + 4 * c::INT + 8 * d::INT + 16 * e::INT AS mask, count(*) AS n,
+  count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM f LEFT JOIN known USING (doc_id) GROUP BY ALL),
+x AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+orders AS (SELECT a.x || b.x || c.x || d.x || e.x AS o FROM x a, x b, x c, x d, x e
+  WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+steps AS (SELECT o, k, 1 << (ascii(o[k]) - 65) AS bit,
+  list_sum(list_transform(o[:k - 1].split(''), lambda y: CASE WHEN y = '' THEN 0 ELSE 1 << (ascii(y) - 65) END)) AS earlier
+  FROM orders, range(1, 6) r(k)),
+found AS (SELECT part, o AS filter_order, k::INT AS step, bit,
+  sum(n) FILTER (mask & (earlier::INT | bit) = 0) AS kept, sum(n) FILTER (mask & bit > 0 AND mask & earlier::INT = 0) AS removed,
+  sum(n) FILTER (mask & bit > 0 AND mask & earlier::INT > 0) AS redundant, sum(n) FILTER (mask = bit) AS unique_fails,
+  sum(good) FILTER (mask & bit > 0 AND mask & earlier::INT = 0) AS good_lost,
+  sum(toxic) FILTER (mask & bit > 0 AND mask & earlier::INT = 0) AS toxic_lost FROM cells, steps GROUP BY ALL)
+SELECT part, filter_order, step, coalesce(kept, 0)::BIGINT AS kept, coalesce(removed, 0)::BIGINT AS removed,
+  coalesce(redundant, 0)::BIGINT AS redundant, coalesce(unique_fails, 0)::BIGINT AS unique_fails,
+  coalesce(good_lost, 0)::BIGINT AS good_lost, coalesce(toxic_lost, 0)::BIGINT AS toxic_lost,
+  coalesce(sum(removed) OVER (PARTITION BY part, bit), 0)::BIGINT AS shapley FROM found"""
+
+
 def oracle_queries() -> dict[str, str]:
-    return {"op1_mix_sources": _op1(), "op3_jaccard_join": OP3, "op4_top_k": OP4, "op7_repeats": OP7, "op9_secret_scan": _op9(), "op10_near_vectors": OP10}
+    return {"op1_mix_sources": _op1(), "op3_jaccard_join": OP3, "op4_top_k": OP4, "op7_repeats": OP7, "op9_secret_scan": _op9(), "op10_near_vectors": OP10,
+            "op11_filter_audit": OP11}
