@@ -6,7 +6,6 @@ import re
 import struct
 from itertools import chain
 
-import ahocorasick
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -17,6 +16,9 @@ from platewise.llm.common import shared, text_chunks
 CACHE = 400_000  # segments whose ids a worker remembers at most; beyond that it forgets and computes again
 CACHED_SIZE = 64  # code points of a segment that is remembered at most
 PAIRS = 1_000_000  # token pairs of the compatibility table at most; beyond that it starts anew
+STEPS = 1_000_000  # steps of the automaton at most that are kept beside those of its tree
+HEAD = 6  # characters of a segment whose table is remembered
+POINT = 21  # bits of a code point, and of a token's number
 
 # fixed values: the space mark, field numbers and piece types of the model file, and what an unknown id decodes to
 MARK = "▁"
@@ -52,6 +54,22 @@ def _fields(raw: bytes):
         yield tag >> 3, value
 
 
+class Remembered(dict):
+    """Ids by segment, made when first asked for; long segments aren't kept, and a full memory starts anew."""
+
+    def __init__(self, make):
+        super().__init__()
+        self.make = make
+
+    def __missing__(self, segment: str) -> tuple[int, ...]:
+        ids = self.make(segment)
+        if len(segment) <= CACHED_SIZE:
+            if len(self) >= CACHE:
+                self.clear()
+            self[segment] = ids
+        return ids
+
+
 class PieceModel:
     """A model file's pieces, and encoding and decoding of blocks of texts.
 
@@ -85,13 +103,16 @@ class PieceModel:
         # No piece has a mark behind another character: then no merge crosses such a place, and segments end there.
         crossing = any(MARK in t.lstrip(MARK) for t in self.ids)
         self.segments = re.compile(".+" if crossing else f"{MARK}*[^{MARK}]+|{MARK}+", re.DOTALL).findall
-        self.matcher = ahocorasick.Automaton()
-        for t in self.ids:
-            if self.merged(t) == [t]:  # others are never left by the merges
-                self.matcher.add_word(t, t)
-        self.matcher.make_automaton()
-        self.fits: dict[tuple[str, str], bool] = {}
-        self.cache: dict[str, list[int]] = {}
+        # A token is a piece that the merges leave whole, by its id; beyond the ids each lone character has a number.
+        self.texts = texts
+        self.split: dict[str, tuple[str, str]] = {}
+        tokens = [t for t in self.ids if self.merged(t, self.split) == [t]]
+        self.in_order = all(self.score[t] <= self.score[x] for t in tokens if t in self.split for x in self.split[t] if x in self.split)
+        self._build_automaton(tokens)
+        self.size = [len(t) for t in texts]
+        self.fits: dict[int, bool] = {}
+        self.heads: dict[str, tuple[int, list[int]]] = {}
+        self.cache = Remembered(self.encode_segment)
         surface = trainer[UNKNOWN_SURFACE].decode("utf-8") if UNKNOWN_SURFACE in trainer else UNKNOWN_TEXT
         plain = {CONTROL: lambda t: b"", UNKNOWN: lambda t: surface.encode(), BYTE: lambda t: bytes([int(t[3:5], 16)])}
         decoded = [plain.get(kind, lambda t: t.replace(MARK, " ").encode())(t) for t, kind in zip(texts, kinds)]
@@ -100,8 +121,9 @@ class PieceModel:
         self.kinds = np.array(kinds)
         self.marked = np.array([kind == NORMAL and t.startswith(MARK) for t, kind in zip(texts, kinds)])
 
-    def merged(self, text: str) -> list[str]:
-        """The merges carried out one by one: for short texts, from which the tables are built."""
+    def merged(self, text: str, split: dict | None = None) -> list[str]:
+        """The merges carried out one by one: for short texts, from which the tables are built. ``split`` gets the last
+        merge of a text that becomes one piece."""
         parts = list(text)
         while True:
             best, at = None, -1
@@ -111,64 +133,146 @@ class PieceModel:
                     best, at = score, i
             if best is None:
                 return parts
+            if split is not None and len(parts) == 2:
+                split[text] = parts[0], parts[1]
             parts[at:at + 2] = [parts[at] + parts[at + 1]]
 
-    def compatible(self, left: str, right: str) -> bool:
-        """Do the merges leave these tokens side by side? Kept in the pair table."""
-        answer = self.fits.get((left, right))
-        if answer is None:
-            if len(self.fits) >= PAIRS:
-                self.fits.clear()
-            answer = self.fits[left, right] = self.merged(left + right) == [left, right]
+    def _build_automaton(self, tokens: list[str]) -> None:
+        """Aho-Corasick tree over the tokens: steps, failure links, and the tokens that end at each node, longest first."""
+        self.tree: dict[int, int] = {}
+        ends, order = {}, [(0, 0)]
+        for token in tokens:
+            node = 0
+            for c in map(ord, token):
+                step = node << POINT | c
+                if step not in self.tree:
+                    self.tree[step] = len(order)
+                    order.append((node, c))
+                node = self.tree[step]
+            ends[node] = (self.ids[token], len(token))
+        depth = [0] * len(order)
+        for node in range(1, len(order)):
+            depth[node] = depth[order[node][0]] + 1
+        self.failure = [0] * len(order)
+        self.found: list[tuple] = [()] * len(order)
+        for node in sorted(range(1, len(order)), key=depth.__getitem__):
+            parent, c = order[node]
+            self.failure[node] = self._next(self.failure[parent], c) if parent else 0
+            own = (ends[node],) if node in ends else ()
+            self.found[node] = own + self.found[self.failure[node]]
+        self.steps = dict(self.tree)
+
+    def _next(self, node: int, c: int) -> int:
+        while node and node << POINT | c not in self.tree:
+            node = self.failure[node]
+        return self.tree.get(node << POINT | c, 0)
+
+    def _step(self, step: int) -> int:
+        if len(self.steps) - len(self.tree) >= STEPS:
+            self.steps = dict(self.tree)
+        node = self.steps[step] = self._next(step >> POINT, step & (1 << POINT) - 1)
+        return node
+
+    def name(self, token: int) -> str:
+        return self.texts[token] if token < len(self.texts) else chr(token - len(self.texts))
+
+    def _spine(self, token: str, side: int) -> list[tuple[str, float]]:
+        """From the outermost character inwards: what stands at that side of the token, and the score that takes it up."""
+        out, taken = [(token, float("-inf"))], token
+        while taken in self.split:
+            out.append((self.split[taken][side], self.score[taken]))
+            taken = self.split[taken][side]
+        return out[::-1]
+
+    def _compatible(self, pair: int) -> bool:
+        """Do the merges leave these tokens side by side? Put into the pair table.
+
+        The merges of both sides run in order of their scores; of equal ones the left side's run first. They
+        leave the boundary unless two parts that touch there have a higher score than what takes up either.
+        """
+        left, right = self.name(pair >> POINT), self.name(pair & (1 << POINT) - 1)
+        if len(self.fits) >= PAIRS:
+            self.fits.clear()
+        if not self.in_order:  # a piece may score above its parts: then the order of merges isn't that of scores
+            answer = self.merged(left + right) == [left, right]
+        else:
+            a, b = self._spine(left, 1), self._spine(right, 0)
+            i = j = 0
+            while True:
+                (x, x_taken), (y, y_taken) = a[i], b[j]
+                across = self.score.get(x + y)
+                if across is not None and across > x_taken and across >= y_taken:
+                    answer = False
+                    break
+                if i == len(a) - 1 and j == len(b) - 1:
+                    answer = True
+                    break
+                if x_taken >= y_taken:
+                    i += 1
+                else:
+                    j += 1
+        self.fits[pair] = answer
         return answer
 
-    def last_tokens(self, segment: str) -> list[str]:
-        """The last token of each prefix, from the shortest prefix on; a character that is no piece is its own token."""
-        last: list[str] = []
-        matches = self.matcher.iter(segment)
-        end, token = next(matches, (-1, ""))
-        for i, letter in enumerate(segment):
-            found = None
-            while end == i:
-                start = i + 1 - len(token)
-                if found is None and (start == 0 or self.compatible(last[start - 1], token)):
-                    found = token
-                end, token = next(matches, (-1, ""))
-            last.append(letter if found is None else found)
-        return last
-
-    def encode_segment(self, segment: str) -> list[int]:
+    def last_tokens(self, segment: str) -> list[int]:
+        """The last token of each prefix, from the shortest prefix on; a character that is no piece is its own token.
+
+        Segments that begin alike have the same table so far: that of the first few characters is remembered.
+        """
+        if len(segment) <= HEAD:
+            return self._continued(segment, 0, [])[1]
+        head = segment[:HEAD]
+        known = self.heads.get(head)
+        if known is None:
+            if len(self.heads) >= CACHE:
+                self.heads.clear()
+            known = self.heads[head] = self._continued(head, 0, [])
+        return self._continued(segment[HEAD:], known[0], known[1].copy())[1]
+
+    def _continued(self, letters: str, node: int, last: list[int]) -> tuple[int, list[int]]:
+        """The table ``last`` and the automaton's node after more letters."""
+        found, fits, alone = self.found, self.fits, len(self.texts)
+        for i, c in enumerate(map(ord, letters), len(last)):
+            step = node << POINT | c
+            node = self.steps.get(step, -1)
+            if node < 0:
+                node = self._step(step)
+            for token, size in found[node]:
+                if size > i:  # the whole prefix
+                    break
+                pair = last[i - size] << POINT | token
+                fit = fits.get(pair)
+                if fit is None:
+                    fit = self._compatible(pair)
+                if fit:
+                    break
+            else:
+                token = alone + c
+            last.append(token)
+        return node, last
+
+    def encode_segment(self, segment: str) -> tuple[int, ...]:
         """Ids of a segment: the table of last tokens, read backwards."""
-        last, tokens, at = self.last_tokens(segment), [], len(segment)
+        last, out, at, alone = self.last_tokens(segment), [], len(segment), len(self.texts)
         while at:
-            tokens.append(last[at - 1])
-            at -= len(last[at - 1])
-        out: list[int] = []
-        for token in reversed(tokens):
-            if token in self.ids:
-                out.append(self.ids[token])
-            elif self.byte_ids:
-                out.extend(self.byte_ids[b] for b in token.encode("utf-8"))
+            token = last[at - 1]
+            if token < alone:
+                out.append(token)
+                at -= self.size[token]
+                continue
+            if self.byte_ids:
+                out.extend(self.byte_ids[b] for b in reversed(chr(token - alone).encode("utf-8")))
             elif not out or out[-1] != self.unknown_id:  # unknown neighbours are one
                 out.append(self.unknown_id)
-        return out
-
-    def _ids(self, segment: str) -> list[int]:
-        ids = self.cache.get(segment)
-        if ids is None:
-            ids = self.encode_segment(segment)
-            if len(segment) <= CACHED_SIZE:
-                if len(self.cache) >= CACHE:
-                    self.cache.clear()
-                self.cache[segment] = ids
-        return ids
+            at -= 1
+        return tuple(out[::-1])
 
     def encode_text(self, text: str | None) -> list[int]:
         """Ids of a whole text and the end id."""
         if not text:
             return [self.end_id]
         segments = self.segments(self.prefix + text.replace(" ", MARK))
-        return [*chain.from_iterable(map(self._ids, segments)), self.end_id]
+        return [*chain.from_iterable(map(self.cache.__getitem__, segments)), self.end_id]
 
     def encode(self, texts: pa.Array) -> pa.Array:
         parts = []

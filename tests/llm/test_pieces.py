@@ -53,7 +53,19 @@ def test_last_tokens_are_those_of_each_prefix(model):
     rng = np.random.default_rng(5)
     for _ in range(200):
         text = "▁" + "".join(rng.choice([p for p in PARTS if len(p) < 4], rng.integers(1, 8)))
-        assert model.last_tokens(text) == [model.merged(text[:i])[-1] for i in range(1, len(text) + 1)]
+        assert [model.name(t) for t in model.last_tokens(text)] == [model.merged(text[:i])[-1] for i in range(1, len(text) + 1)]
+
+
+def test_pair_table_equals_the_merges(model):
+    assert model.in_order
+    rng = np.random.default_rng(6)
+    tokens = [t for t in model.ids if model.merged(t) == [t]]
+    runs = [t for t in tokens if set(t) == {"▁"}]
+    pairs = [(tokens[a], tokens[b]) for a, b in rng.integers(0, len(tokens), (4000, 2))]
+    words = [x for t in tokens[:1500] for i in range(1, len(t)) if model.merged(t[:i])[1:] == model.merged(t[i:])[1:] == []
+             for x in [(t[:i], t[i:])] if all(y in model.ids for y in x)]
+    for left, right in pairs + words + [(a, b) for a in runs for b in runs]:
+        assert model._compatible(model.ids[left] << pieces.POINT | model.ids[right]) == (model.merged(left + right) == [left, right])
 
 
 def test_full_caches_start_anew(model, texts, monkeypatch):
@@ -62,6 +74,7 @@ def test_full_caches_start_anew(model, texts, monkeypatch):
     monkeypatch.setattr(pieces, "PAIRS", 5)
     model.cache.clear()
     model.fits.clear()
+    model.heads.clear()
     assert model.encode(pa.array(texts[:300])).equals(want) and len(model.cache) <= 5 and len(model.fits) <= 5
 
 
