@@ -9,22 +9,23 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from platewise.contracts import (
     CHOICE_COLUMNS, INTERACTIONS, INTERACTIONS_TABLE, MENU_SHEET_COLUMNS, MENU_SHEET_REQUIRED, MENUS_TABLE,
     RATING_COLUMNS, USER_COLUMNS, USERS_TABLE, to_contract)
 from platewise.functions.scalars import passage_text
-from platewise.operators import normalize, similarity
+from platewise.operators import normalize
 from platewise.operators.aliases import alias_map, collapse_menus, menu_aliases, resolve, with_same
 from platewise.operators.audience import with_audience, with_reach
 from platewise.operators.dedup import first_rows, keep_first, keep_newest, top_per_key
 from platewise.operators.enrich import enrich_menus
 from platewise.operators.ingredients import ingredient_counts
+from platewise.operators.similarity import TOP_K
+from platewise.operators.text_index import build_text_index, read_text_index, search_index
 from platewise.session import materialize, use_utc
 from platewise.sources.delimited import project_sheets, read_mixed, read_sheets
-from platewise.sources.tables import absent_rows, read_batches, read_latest, write_batch
+from platewise.sources.tables import absent_rows, batches_if_any, latest_of, read_batches, replace_batches, write_batch
 from platewise.streaming.ingest import start_batches, stream_parquet
 
 PAIR = ["user_id", "item_id"]
@@ -64,6 +65,7 @@ def add_menus(spark: SparkSession, root: str, formated: DataFrame, enrich: Enric
     ids = menu_aliases(raw, first).select("item_id", "raw_id")
     stored = _known(spark, f"{root}/menu_aliases", batch, ids)
     write_batch(absent_rows(stored, ids, ["item_id", "raw_id"], ["raw_id"]), f"{root}/menu_aliases", batch)
+    release_events(spark, root, batch)
 
 
 def load_users(spark: SparkSession, root: str, files: str, batch: int) -> DataFrame:
@@ -90,10 +92,57 @@ def load_events(spark: SparkSession, root: str, ratings: str, choices: str, batc
 
 
 def add_interactions(spark: SparkSession, root: str, interactions: DataFrame, batch: int) -> None:
-    """Interactions under the common contract: resolve ids, keep the newest per user and menu."""
-    events = normalize.as_events(to_contract(interactions, INTERACTIONS))
-    mapping = alias_map(read_batches(spark, f"{root}/menu_aliases"))
-    write_batch(keep_newest(resolve(events, mapping), PAIR, "created_at", TIES), f"{root}/interactions", batch)
+    """Interactions under the common contract: resolve ids, keep the newest per user and menu.
+
+    Events whose id no menu has yet wait in the table ``waiting`` until a load of menus brings it.
+    """
+    events = materialize(normalize.as_events(to_contract(interactions, INTERACTIONS)), "events")
+    ids = batches_if_any(spark, f"{root}/menu_aliases")
+    if ids is None:
+        waiting = events
+    else:
+        mapping = materialize(alias_map(ids), "alias-map")
+        write_batch(keep_newest(resolve(events, mapping, stored=True), PAIR, "created_at", TIES), f"{root}/interactions", batch)
+        waiting = events.join(mapping.select("raw_id"), "raw_id", "left_anti")
+    write_batch(waiting, f"{root}/waiting", batch)
+
+
+def waiting_events(spark: SparkSession, root: str) -> DataFrame | None:
+    """Events without a menu so far, with the batch they came in; None before any events."""
+    stored = batches_if_any(spark, f"{root}/waiting")
+    return None if stored is None else stored.where("raw_id is not null")
+
+
+def release_events(spark: SparkSession, root: str, batch: int) -> None:
+    """Waiting events that the known menu ids now resolve go to the table ``released``, below the batch of menus that brought
+    them and with the batch they came in; then they wait no longer.
+
+    Released rows are stored before they are cleared, and a batch that runs again keeps those it released
+    before. So at every break each event is in one of the tables, and one in both counts once, as the newest row of its key.
+    """
+    waiting = waiting_events(spark, root)
+    if waiting is None:
+        return
+    mapping = materialize(alias_map(read_batches(spark, f"{root}/menu_aliases")), "alias-map")
+    found = materialize(resolve(waiting.withColumnRenamed("batch", "event_batch"), mapping, stored=True), "found")
+    touched = materialize(found.select(F.col("event_batch").alias("batch")).distinct(), "touched")
+    earlier = batches_if_any(spark, f"{root}/released")
+    if earlier is not None:
+        found = found.unionByName(earlier.where(F.col("batch") == batch).select(*found.columns))
+    found = materialize(found.distinct(), "released")
+    write_batch(found, f"{root}/released", batch)
+    left = materialize(waiting.join(mapping.select("raw_id"), "raw_id", "left_anti").select(*waiting.columns), "left")
+    replace_batches(left, f"{root}/waiting", touched)
+
+
+def _event_batches(spark: SparkSession, root: str) -> DataFrame | None:
+    """Resolved events of all batches; a released one counts as of the batch it came in."""
+    direct, released = (batches_if_any(spark, f"{root}/{name}") for name in ("interactions", "released"))
+    if released is not None:
+        released = released.drop("batch").withColumnRenamed("event_batch", "batch")
+    if direct is None or released is None:
+        return released if direct is None else direct
+    return direct.unionByName(released)
 
 
 def stream_tables(spark: SparkSession, formated: str, root: str, enrich: Enricher, progress: str) -> list[str]:
@@ -139,28 +188,23 @@ def users(spark: SparkSession, root: str) -> DataFrame:
 
 
 def interactions(spark: SparkSession, root: str, last_write_wins: bool = False) -> DataFrame:
-    latest = read_latest(spark, f"{root}/interactions", PAIR, "created_at", TIES, last_write_wins)
+    latest = latest_of(_event_batches(spark, root), PAIR, "created_at", TIES, last_write_wins)
     return latest.select(*INTERACTIONS_TABLE.fieldNames())
 
 
 def index_menus(spark: SparkSession, root: str, limit: int | None = None) -> None:
-    """Menu texts to vectors: one menu per name, all of them unless a limit is asked for; the fitted embedder is
-    kept beside them for the queries."""
+    """Menu texts to postings: one menu per name, all of them unless a limit is asked for."""
     chosen = keep_first(with_same(menus(spark, root), "name"), ["_same"], ["created_at", "item_id"])
     if limit is not None:
         chosen = first_rows(chosen, "item_id", limit)
-    passages = materialize(chosen.select("item_id", "name", passage_text(
-        "name", ["genres", "genre_l2", "genre_l3"], "product_description").alias("text")), "passages")
-    model = similarity.fit_embedder(passages)
-    model.write().overwrite().save(f"{root}/embedder")
-    vectors = similarity.vector_records(similarity.embed(model, passages), "item_id", "vector", "name")
-    vectors.write.mode("overwrite").parquet(f"{root}/vectors")
+    passages = chosen.select("item_id", "name", passage_text(
+        "name", ["genres", "genre_l2", "genre_l3"], "product_description").alias("text"))
+    build_text_index(materialize(passages, "passages"), f"{root}/text_index", "item_id")
 
 
-def search(spark: SparkSession, root: str, queries: DataFrame, k: int = similarity.TOP_K) -> DataFrame:
+def search(spark: SparkSession, root: str, queries: DataFrame, k: int = TOP_K) -> DataFrame:
     """The best menus per query text ``(query_id, text)``, with the users who liked each one and their
     share of all users. Commas in a query count as spaces."""
-    model = PipelineModel.load(f"{root}/embedder")
-    asked = similarity.embed(model, queries.withColumn("text", F.translate("text", ",", " ")))
-    hits = similarity.knn(spark.read.parquet(f"{root}/vectors"), asked, k)
+    asked = queries.withColumn("text", F.translate("text", ",", " "))
+    hits = materialize(search_index(read_text_index(spark, f"{root}/text_index"), asked, k), "hits")
     return with_reach(with_audience(hits, interactions(spark, root)), users(spark, root))

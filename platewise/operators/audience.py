@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from platewise.functions.scalars import whole_pct
+from platewise.operators.dedup import positions
 from platewise.operators.joins import lookup_join
+from platewise.session import materialize
 
 
 def liked_only(interactions: DataFrame) -> DataFrame:
@@ -26,11 +28,34 @@ def audience_size(interactions: DataFrame, items: DataFrame, approximate: bool =
     return reached.agg(counted.alias("users"))
 
 
-def audience_by_group(interactions: DataFrame, items: DataFrame, group: str) -> DataFrame:
-    """Distinct users who liked any item of each group."""
+def numbered_users(likes: DataFrame) -> DataFrame:
+    """A gapless number from 1 for every user with a like."""
+    return positions(likes.select("user_id").distinct(), [], [F.col("user_id")], "number")
+
+
+def item_bitmaps(interactions: DataFrame, items: DataFrame) -> DataFrame:
+    """Who liked each of the items, as bits: item_id, bucket (of 32,768 user numbers), users (4 KB of bits).
+
+    Likes of other items are dropped first. A hot item is as many rows as there are buckets of
+    users, filled in the map tasks already; its likes never meet in one task.
+    """
     likes = liked_only(interactions).select("item_id", "user_id")
-    pairs = lookup_join(likes, items.select(group, "item_id").distinct(), "item_id")
-    return pairs.select(group, "user_id").distinct().groupBy(group).agg(F.count(F.lit(1)).alias("users"))
+    wanted = materialize(lookup_join(likes, items.select("item_id").distinct(), "item_id"), "likes")
+    numbered = lookup_join(wanted, numbered_users(wanted), "user_id")
+    return numbered.groupBy("item_id", F.bitmap_bucket_number("number").alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("number")).alias("users"))
+
+
+def audience_by_item(bitmaps: DataFrame) -> DataFrame:
+    return bitmaps.groupBy("item_id").agg(F.sum(F.bitmap_count("users")).alias("users"))
+
+
+def audience_by_group(bitmaps: DataFrame, items: DataFrame, group: str) -> DataFrame:
+    """Distinct users who liked any item of each group (group, item_id): bits are united per group and bucket, so no pairs of
+    group and user are made."""
+    wanted = lookup_join(bitmaps, items.select(group, "item_id").distinct(), "item_id")
+    united = wanted.groupBy(group, "bucket").agg(F.bitmap_or_agg("users").alias("users"))
+    return united.groupBy(group).agg(F.sum(F.bitmap_count("users")).alias("users"))
 
 
 def users_liking(users: DataFrame, interactions: DataFrame, items: DataFrame) -> DataFrame:
@@ -50,7 +75,13 @@ def with_reach(df: DataFrame, users: DataFrame, part: str = "users") -> DataFram
 
 
 def with_audience(hits: DataFrame, interactions: DataFrame) -> DataFrame:
-    """Add the number of liking users to each hit; 0 where nobody liked the item."""
-    audience = audience_per_item(interactions)
-    return (lookup_join(hits, audience, "item_id", "left")
-            .withColumn("users", F.coalesce("users", F.lit(0)).cast("bigint")))
+    """Add the number of liking users to each hit; 0 where nobody liked the item. Only likes of the hits are counted, so ``hits``
+    should be a stored table: it is read twice."""
+    likes = liked_only(interactions).select("item_id", "user_id")
+    likes = lookup_join(likes, hits.select("item_id").distinct(), "item_id").distinct()
+    return with_counts(hits, likes.groupBy("item_id").agg(F.count(F.lit(1)).alias("users")))
+
+
+def with_counts(hits: DataFrame, counts: DataFrame) -> DataFrame:
+    """Add the users of ``counts`` (item_id, users) to each hit; 0 where the item is not among them."""
+    return lookup_join(hits, counts, "item_id", "left").withColumn("users", F.coalesce("users", F.lit(0)).cast("bigint"))

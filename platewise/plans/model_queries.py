@@ -96,11 +96,11 @@ def picks_affinity(t: Tables) -> DataFrame:
 @query
 def search_with_audience(t: Tables) -> DataFrame:
     """Search hits with the users who liked each menu, their share of all users, and the users reached
-    by all hits of the search together."""
-    interactions, hits = t.interactions_table(), materialize(menu_hits(t, COMPARED_HITS), "hits")
-    per_hit = audience.with_reach(audience.with_audience(hits, interactions), t.users_raw())
-    together = (audience.audience_by_group(interactions, hits, "query_id")
-                .withColumnRenamed("users", "search_users"))
+    by all hits of the search together. Both counts come from one table of bitmaps."""
+    hits = materialize(menu_hits(t, COMPARED_HITS), "hits")
+    bitmaps = materialize(audience.item_bitmaps(t.interactions(), hits), "bitmaps")
+    per_hit = audience.with_reach(audience.with_counts(hits, audience.audience_by_item(bitmaps)), t.users_raw())
+    together = audience.audience_by_group(bitmaps, hits, "query_id").withColumnRenamed("users", "search_users")
     return (views.with_names(per_hit, names(t), "N/A", "name").join(together, "query_id", "left")
             .withColumn("search_users", F.coalesce("search_users", F.lit(0)).cast("bigint")))
 

@@ -94,7 +94,7 @@ def other_ingredients(t: Tables) -> DataFrame:
 
 @query
 def hits_with_audience(t: Tables) -> DataFrame:
-    return audience.with_audience(menu_hits(t, COMPARED_HITS), t.interactions())
+    return audience.with_audience(materialize(menu_hits(t, COMPARED_HITS), "hits"), t.interactions())
 
 
 # --- counts --------------------------------------------------------------------------------------

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from platewise.operators.dedup import keep_first, top_per_key
@@ -50,13 +51,39 @@ def read_batches(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("basePath", path).parquet(path)
 
 
-def read_latest(spark: SparkSession, path: str, keys: list[str], time: str, ties: list,
-                last_write_wins: bool = False) -> DataFrame:
-    """The table: the newest row per key over all batches."""
+def batches_if_any(spark: SparkSession, path: str) -> DataFrame | None:
+    """All batches, or None where nothing was written yet."""
+    try:
+        return read_batches(spark, path)
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+
+
+def latest_of(batches: DataFrame, keys: list[str], time: str, ties: list, last_write_wins: bool = False) -> DataFrame:
+    """The newest row per key over all batches."""
     order = [F.desc_nulls_last(time), *ties]
     if last_write_wins:
         order = [F.desc("batch"), *order]
-    return top_per_key(read_batches(spark, path), keys, order, 1).drop("batch")
+    return top_per_key(batches, keys, order, 1).drop("batch")
+
+
+def read_latest(spark: SparkSession, path: str, keys: list[str], time: str, ties: list,
+                last_write_wins: bool = False) -> DataFrame:
+    """The table: the newest row per key over all batches."""
+    return latest_of(read_batches(spark, path), keys, time, ties, last_write_wins)
+
+
+def replace_batches(df: DataFrame, path: str, touched: DataFrame) -> None:
+    """Give the batches named in ``touched`` (column batch) the rows of ``df``, in one job, however many batches they are.
+
+    A batch that keeps no rows gets one row of nulls, because Spark replaces only folders that it writes to: readers
+    leave rows without a key out. ``df`` must not read from ``path``.
+    """
+    empty = touched.select(*[F.col("batch") if f.name == "batch" else F.lit(None).cast(f.dataType).alias(f.name) for f in df.schema])
+    (df.join(F.broadcast(touched), "batch", "left_semi").select(*df.columns).unionByName(empty.distinct())
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(path))
 
 
 def compact(spark: SparkSession, path: str, target: str, keys: list[str], time: str, ties: list) -> None:

@@ -144,7 +144,9 @@ def test_audience(spark, rows):
     hits = spark.createDataFrame([("q", "1"), ("q", "9")], "query_id string, item_id string")
     assert rows(audience.with_reach(audience.with_audience(hits, events), users)) == [
         ("1", "q", 2, 50), ("9", "q", 0, 0)]
-    assert rows(audience.audience_by_group(events, hits, "query_id")) == [("q", 2)]
+    bitmaps = audience.item_bitmaps(events, hits)
+    assert rows(audience.audience_by_group(bitmaps, hits, "query_id")) == [("q", 2)]
+    assert rows(audience.with_counts(hits, audience.audience_by_item(bitmaps))) == rows(audience.with_audience(hits, events))
     nobody = users.limit(0)
     assert rows(audience.with_reach(audience.audience_per_item(events), nobody), "reach_pct") == [(0,)] * 3
 
@@ -241,3 +243,18 @@ def test_enrichment_hook(spark, rows):
     assert rows(enrich_with_model(pie, model)) == []  # not answered: left out, so a later load asks again
     both = soup.unionByName(pie).coalesce(1)
     assert rows(enrich_with_model(both, model), "item_id", "genres") == [("5", "leek")]
+
+
+def test_bitmap_audiences_equal_sets(spark, rows):
+    """Users beyond one bucket of 32,768, a hot item that a third of all likes go to, and groups that share items."""
+    likes = spark.range(90_000).selectExpr(
+        "concat('u', id % 40000) as user_id", "case when id % 3 = 0 then 'hot' else concat('i', id * 7 % 50) end as item_id",
+        "cast(id % 5 > 0 as int) as liked")
+    groups = spark.createDataFrame([(f"g{g}", f"i{i}") for g in range(6) for i in range(g, 50, 9)] + [("g0", "hot"), ("g9", "none"), ("g0", "i0")],
+                                   "query_id string, item_id string")
+    bitmaps = audience.item_bitmaps(likes, groups)
+    want = groups.join(likes.where("liked = 1"), "item_id").groupBy("query_id").agg(F.count_distinct("user_id").alias("users"))
+    assert rows(audience.audience_by_group(bitmaps, groups, "query_id")) == rows(want)
+    per_item = likes.where("liked = 1").join(groups, "item_id", "left_semi").groupBy("item_id").agg(F.count_distinct("user_id").alias("users"))
+    assert rows(audience.audience_by_item(bitmaps)) == rows(per_item)
+    assert audience.item_bitmaps(likes, groups.limit(0)).count() == 0

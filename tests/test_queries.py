@@ -28,8 +28,7 @@ def test_entry(spark):
 def test_every_sql_has_its_query():
     assert set(contract.oracle_sql()) <= set(contract.queries())
     assert set(QUERIES) <= set(contract.queries())
-    assert set(QUERIES) - set(contract.oracle_sql()) == {
-        "embed_passages", "embed_queries", "search_texts", "knn_lsh"}
+    assert set(QUERIES) - set(contract.oracle_sql()) == {"knn_ivf", "knn_lsh"}
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
