@@ -17,14 +17,16 @@ from platewise.contracts import (
 from platewise.functions.scalars import passage_text
 from platewise.operators import normalize
 from platewise.operators.aliases import alias_map, collapse_menus, menu_aliases, resolve, with_same
-from platewise.operators.audience import with_audience, with_reach
+from platewise.operators.audience import liked_only, with_audience, with_reach
 from platewise.operators.dedup import first_rows, keep_first, keep_newest, top_per_key
 from platewise.operators.enrich import enrich_menus
 from platewise.operators.ingredients import ingredient_counts
 from platewise.operators.similarity import TOP_K
 from platewise.operators.text_index import build_text_index, read_text_index, search_index
+from platewise.operators.views import PAGE, RECENT, recent_by_user, with_names
 from platewise.session import materialize, use_utc
 from platewise.sources.delimited import project_sheets, read_mixed, read_sheets
+from platewise.sources.sorted_tables import FILE_ROWS, lookup_sorted, page_sorted, write_sorted
 from platewise.sources.tables import absent_rows, batches_if_any, latest_of, read_batches, replace_batches, write_batch
 from platewise.streaming.ingest import start_batches, stream_parquet
 
@@ -208,3 +210,34 @@ def search(spark: SparkSession, root: str, queries: DataFrame, k: int = TOP_K) -
     asked = queries.withColumn("text", F.translate("text", ",", " "))
     hits = materialize(search_index(read_text_index(spark, f"{root}/text_index"), asked, k), "hits")
     return with_reach(with_audience(hits, interactions(spark, root)), users(spark, root))
+
+
+def publish(spark: SparkSession, root: str, file_rows: int = FILE_ROWS) -> None:
+    """The tables as of now, sorted for reads by key: users, events by user, likes by menu, and menus."""
+    events = materialize(interactions(spark, root), "interactions")
+    write_sorted(users(spark, root), f"{root}/serving/users", ["user_id"], file_rows)
+    write_sorted(events, f"{root}/serving/events", ["user_id", "created_at", "item_id"], file_rows)
+    write_sorted(liked_only(events).select("item_id", "user_id"), f"{root}/serving/likes", ["item_id", "user_id"], file_rows)
+    write_sorted(menus(spark, root), f"{root}/serving/menus", ["item_id"], file_rows)
+
+
+def users_page(spark: SparkSession, root: str, after: str | None = None, limit: int = PAGE) -> DataFrame:
+    """The published users behind a start key, in key order."""
+    return page_sorted(spark, f"{root}/serving/users", "user_id", after, limit)
+
+
+def latest_events(spark: SparkSession, root: str, user: str, limit: int = RECENT) -> DataFrame:
+    """A user's newest published events with the names of their menus, 'Unknown' where there is none."""
+    newest = recent_by_user(lookup_sorted(spark, f"{root}/serving/events", "user_id", [user]), limit)
+    ids = [r["item_id"] for r in newest.select("item_id").collect()]  # ``limit`` at most
+    return with_names(newest, menus_by_ids(spark, root, ids), "Unknown")
+
+
+def menus_by_ids(spark: SparkSession, root: str, ids: list[str]) -> DataFrame:
+    return lookup_sorted(spark, f"{root}/serving/menus", "item_id", ids)
+
+
+def users_who_liked(spark: SparkSession, root: str, ids: list[str]) -> DataFrame:
+    """Published users who liked any of the menus."""
+    likers = lookup_sorted(spark, f"{root}/serving/likes", "item_id", ids).select("user_id").distinct()
+    return spark.read.parquet(f"{root}/serving/users/rows").join(likers, "user_id", "left_semi")

@@ -29,6 +29,13 @@ CUISINES = (
     ("ring", "mexican"), ("rod", "greek"), ("bolt", "chinese"), ("anvil", "healthy"),
     ("red", "indian"), ("blue", "greek"), ("cold", "healthy"), ("hot", "mexican"),
 )
+# Phrases beside the single words above: term, base name, food group.
+PHRASES = (
+    ("hot plate", "hot plate", "starch"), ("cold ring", "ring", "fruit"), ("blue bolt", "bolt", "spice"),
+    ("fried promo", "promo", "fruit"), ("red", "paprika", "spice"), ("widget", "widget", "protein"),
+    ("gear", "gear", "protein"), ("rod", "rod", "vegetable"), ("plate", "plate", "grain"),
+    ("economy", "economy", "starch"),
+)
 # End of the fixed values.
 
 TIES = ["event_type", "event_value", "raw_id"]

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from platewise.operators import audience, similarity, text_index as texts, vector_index as vectors, views
+from platewise.operators import audience, enrich, similarity, text_index as texts, vector_index as vectors, views
 from platewise.operators.recommend import most_popular as popular, picks_affinity as picks
-from platewise.plans.bridge import Tables
+from platewise.plans.bridge import PHRASES, Tables
 from platewise.plans.registry import query
 from platewise.plans.table_queries import COMPARED_HITS, joined, menu_hits, names, records
 from platewise.session import materialize, scratch_dir
@@ -17,6 +17,15 @@ def enrich_menus(t: Tables) -> DataFrame:
     return joined(t.menus_enriched(), "product_description")
 
 
+@query
+def enrich_phrases(t: Tables) -> DataFrame:
+    """Menus whose ingredients are phrases, against a lexicon of phrases and all food groups."""
+    phrased = t.menus().withColumn("ingredients", F.concat(
+        F.regexp_replace("meal", " ", "-"), F.lit(", Fried "), F.element_at(F.split("ingredients", ", "), -1), F.lit(", sea salt")))
+    lexicon = t.spark.createDataFrame(PHRASES, "term string, base string, food_group string")
+    return joined(enrich.enrich_menus(phrased, lexicon, t.cuisines()), "product_description")
+
+
 def text_index(t: Tables, name: str = "source") -> texts.TextIndex:
     return texts.build_text_index(t.documents(), scratch_dir(t.spark, "text-index"), "doc_id", name=name)
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from platewise.plans.bridge import CUISINES, LEXICON
+from platewise.plans.bridge import CUISINES, LEXICON, PHRASES
 
 
 def _values(rows) -> str:
@@ -104,6 +104,28 @@ STEPS = {
         group by q.item_id, p.doc_id having score > 0""",
     "lexicon": f"select * from (values {_values(LEXICON)}) as v(term, base, food_group)",
     "cuisines": f"select * from (values {_values(CUISINES)}) as v(base, cuisine)",
+    "phrases": f"select * from (values {_values(PHRASES)}) as v(term, base, food_group)",
+    "phrase_parts": """
+        select item_id, meal, creation_ts, generate_subscripts(parts, 1) as pos, unnest(parts) as term from (
+            select *, [replace(meal, ' ', '-'), concat('fried ', split_part(ingredients, ', ', 3)), 'sea salt'] as parts
+            from menus) z""",
+    "phrase_runs": """
+        select p.item_id, p.pos, s.i, n.i as size, array_to_string(w[s.i:s.i + n.i - 1], ' ') as phrase
+        from (select *, string_split(replace(term, '-', ' '), ' ') as w from phrase_parts) p,
+            range(1, 4) s(i), range(1, 3) n(i) where s.i + n.i - 1 <= len(w)""",
+    "phrase_found": """
+        select item_id, pos, base, food_group from (
+            select r.*, x.base, x.food_group, row_number() over (partition by r.item_id, r.pos order by i, size desc) as rn
+            from phrase_runs r join phrases x on x.term = r.phrase) z where rn = 1""",
+    "phrase_terms": """
+        select p.item_id, p.meal, p.creation_ts, p.pos, coalesce(f.base, p.term) as base,
+               coalesce(f.food_group, 'other') as food_group
+        from phrase_parts p left join phrase_found f on f.item_id = p.item_id and f.pos = p.pos""",
+    "phrase_votes": """
+        select item_id, cuisine from (
+            select item_id, cuisine, row_number() over (partition by item_id order by count(*) desc, cuisine) as rn
+            from phrase_terms join cuisines using (base) group by item_id, cuisine) z
+        where rn = 1""",
     "terms": """
         select m.item_id, m.meal, m.creation_ts, t.pos, coalesce(l.base, t.term) as base,
                coalesce(l.food_group, 'other') as food_group
@@ -366,6 +388,17 @@ SQL = {
         select attribute, {COMPARE_COLUMNS} from ({COMPARE_CELLS}) group by attribute""",
     "enrich_menus": f"select {ENRICHED} from enriched",
     "knn_cosine": "select query_id, item_id, name, round(score, 4) as score, rank from ranked where rank <= 5",
+    "enrich_phrases": """
+        select f.item_id, any_value(creation_ts) as created_at, any_value(meal) as name,
+               coalesce(min_by(base, pos) filter (food_group = 'protein'), '') as genres,
+               coalesce(min_by(base, pos) filter (food_group in ('grain', 'starch')), '') as genre_l2,
+               coalesce(min_by(base, pos) filter (food_group in ('vegetable', 'fruit', 'spice')), '') as genre_l3,
+               coalesce(string_agg(base, '|' order by pos) filter (food_group = 'other' or earlier), '') as product_description,
+               coalesce(any_value(cuisine), 'none') as content_classification
+        from (select *, case when food_group = 'other' then false else row_number() over (partition by item_id,
+                  case when food_group = 'protein' then 1 when food_group in ('grain', 'starch') then 2 else 3 end,
+                  food_group = 'other' order by pos) > 1 end as earlier from phrase_terms) f
+        left join phrase_votes v on v.item_id = f.item_id group by f.item_id""",
     "embed_passages": f"""
         select doc_id, count(*) as terms, {VECTOR_TEXT} as vector from passage_terms group by doc_id""",
     "embed_queries": f"""

@@ -7,9 +7,13 @@ from pyspark.sql import Column, DataFrame, functions as F
 from platewise.contracts import INTERACTIONS, MENU_SHEET_COLUMNS, keep_columns, to_contract
 from platewise.functions import scalars as S
 from platewise.functions.answers import with_answer_roles
-from platewise.operators import audience, normalize, views
+from platewise.operators import audience, normalize
 from platewise.plans.bridge import Tables
 from platewise.plans.registry import query
+from platewise.session import scratch_dir
+from platewise.sources.sorted_tables import lookup_sorted, write_sorted
+
+SERVED_ROWS = 10_000  # rows of a file that single users are looked up in
 
 
 def joined(name: str, alias: str | None = None, separator: str = "|") -> Column:
@@ -180,8 +184,10 @@ def parse_answer(t: Tables) -> DataFrame:
 
 @query
 def lookup_by_key(t: Tables) -> DataFrame:
-    """All interactions of the busiest user, by key equality."""
-    interactions = t.interactions_table()
+    """All interactions of the busiest user, by key equality from the files that can hold the user."""
+    path = scratch_dir(t.spark, "interactions-by-user")
+    write_sorted(t.interactions().drop("raw_id"), path, ["user_id", "created_at", "item_id"], file_rows=SERVED_ROWS)
+    interactions = t.spark.read.parquet(f"{path}/rows")
     busiest = (interactions.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
-               .orderBy(F.desc("n"), "user_id").limit(1).select("user_id"))
-    return views.lookup(interactions, "user_id", busiest.scalar())
+               .orderBy(F.desc("n"), "user_id").select("user_id").head(1))
+    return lookup_sorted(t.spark, path, "user_id", [r["user_id"] for r in busiest])

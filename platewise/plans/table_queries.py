@@ -13,7 +13,8 @@ from platewise.functions.scalars import not_blank
 from platewise.operators.joins import lookup_join
 from platewise.plans.bridge import Tables
 from platewise.plans.registry import query
-from platewise.session import materialize
+from platewise.session import materialize, scratch_dir
+from platewise.sources.sorted_tables import page_sorted, write_sorted
 
 COMPARED_HITS = 200
 VECTOR_LIMIT = 100_000
@@ -184,11 +185,11 @@ def ingredients_top50(t: Tables) -> DataFrame:
 
 @query
 def users_page(t: Tables) -> DataFrame:
-    """The second page of users: the rows behind the last key of the first page."""
-    users = materialize(
-        t.users().select("user_id", "shipping_city", "shipping_state", "locale", "created_at"), "users")
-    last = views.page_after(users, "user_id", limit=USERS_PAGE).agg(F.max("user_id").alias("last"))
-    return views.page_after(users, "user_id", last.scalar(), USERS_PAGE)
+    """The second page of users: the rows behind the last key of the first page, from the files that can hold them."""
+    path = scratch_dir(t.spark, "users-by-id")
+    write_sorted(t.users().select("user_id", "shipping_city", "shipping_state", "locale", "created_at"), path, ["user_id"])
+    last = page_sorted(t.spark, path, "user_id", limit=USERS_PAGE).agg(F.max("user_id").alias("last")).first()["last"]
+    return page_sorted(t.spark, path, "user_id", last, USERS_PAGE)
 
 
 @query

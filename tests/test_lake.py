@@ -74,6 +74,18 @@ def test_search(spark, root):
     assert spark.read.parquet(f"{root}/text_index/passages").count() == 1
 
 
+def test_reads_by_key(spark, root, rows):
+    lake.publish(spark, root, file_rows=1)
+    assert [r["user_id"] for r in lake.users_page(spark, root, limit=1).collect()] == ["1"]
+    assert [r["user_id"] for r in lake.users_page(spark, root, "1").collect()] == ["2"]
+    assert rows(lake.menus_by_ids(spark, root, ["11", "99"]), "item_id", "name") == [("11", "Leek soup")]
+    assert rows(lake.latest_events(spark, root, "2"), "item_id", "menu_name", "rank")[0][:2] == ("10", "Pork stew")
+    assert lake.latest_events(spark, root, "nobody").count() == 0
+    assert rows(lake.users_who_liked(spark, root, ["10"]), "user_id") == rows(
+        lake.interactions(spark, root).where("liked = 1 and item_id = '10'"), "user_id")
+    assert lake.users_who_liked(spark, root, []).count() == 0
+
+
 def test_menus_through_a_text_model(spark, tmp_path, rows):
     put(tmp_path / "sheets" / "w.csv", SHEET)
     answer = '{"cuisine_type":"any","primary_ingredient":"p","other_ingredients":["x, y"]}'

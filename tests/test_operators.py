@@ -232,6 +232,25 @@ def test_enrichment(spark, rows):
         ("4", 4, "Null", "", "", "", [], "none")]
 
 
+def test_phrases_and_food_groups(spark, rows):
+    """The leftmost, then longest phrase names an ingredient; starch, fruit and spice fill roles too."""
+    lexicon = spark.createDataFrame([
+        ("rice", "rice", "grain"), ("rice flour", "rice flour", "starch"), ("Pork", "pork", "protein"), ("black pepper", "pepper", "spice"),
+        ("pepper", "bell pepper", "vegetable"), ("apple", "apple", "fruit"), ("crème fraîche", "cream", "other"), ("pork", "pork", "protein"),
+        (" ", "nothing", "protein"), (None, "null", "protein")], "term string, base string, food_group string")
+    cuisines = spark.createDataFrame([("rice", "thai")], "base string, cuisine string")
+    menus = spark.createDataFrame([
+        ("1", "a", 0, "Fried pork, Brown rice, ground black pepper, apple"), ("2", "b", 0, "rice-flour cake, pepper & pork, licorice"),
+        ("3", "c", 0, "sliced apple pork, CRÈME FRAÎCHE"), ("4", "d", 0, None), ("5", "e", 0, ", !,")],
+        "item_id string, meal string, creation_ts long, ingredients string")
+    found = enrich_menus(menus, lexicon, cuisines)
+    assert rows(found, "item_id", "genres", "genre_l2", "genre_l3", "product_description", "content_classification") == [
+        ("1", "pork", "rice", "pepper", ["apple"], "thai"), ("2", "", "rice flour", "bell pepper", ["licorice"], "none"),
+        ("3", "", "", "apple", ["cream"], "none"), ("4", "", "", "", [], "none"), ("5", "", "", "", ["!"], "none")]
+    assert rows(enrich_menus(menus.limit(1), lexicon.limit(0), cuisines), "product_description") == [
+        (["fried pork", "brown rice", "ground black pepper", "apple"],)]
+
+
 def test_enrichment_hook(spark, rows):
     def model(batch):
         if (batch["name"] == "Pie").any():
