@@ -99,7 +99,7 @@ def joined_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
-def text_chunks(texts: pa.Array, most_bytes: int = 4 << 20):
+def text_chunks(texts: pa.Array, most_bytes: int = 1 << 20):
     """Slices (first row, end row) of about ``most_bytes``, one row at least: bounds the memory of a task."""
     sizes = np.asarray(pc.binary_length(texts).fill_null(0), dtype=np.int64)
     ends = np.cumsum(sizes)
