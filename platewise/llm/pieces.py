@@ -2,22 +2,19 @@
 
 from __future__ import annotations
 
-import re
 import struct
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, SparkSession, functions as F
 
-from platewise.llm.common import shared, text_chunks
+from platewise.llm.common import hash_slices, joined_bytes, mix, ragged, shared, text_chunks
 
-CACHE = 400_000  # segments whose ids a worker remembers at most; beyond that it forgets and computes again
-CACHED_SIZE = 64  # code points of a segment that is remembered at most
+SHORT = 64  # code points of segments that are encoded all at a time
 PAIRS = 1_000_000  # token pairs of the compatibility table at most; beyond that it starts anew
 STEPS = 1_000_000  # steps of the automaton at most that are kept beside those of its tree
-HEAD = 6  # characters of a segment whose table is remembered
+BLOCK_BYTES = 2 << 20  # of texts that are encoded together
 POINT = 21  # bits of a code point, and of a token's number
 
 # fixed values: the space mark, field numbers and piece types of the model file, and what an unknown id decodes to
@@ -54,20 +51,48 @@ def _fields(raw: bytes):
         yield tag >> 3, value
 
 
-class Remembered(dict):
-    """Ids by segment, made when first asked for; long segments aren't kept, and a full memory starts anew."""
-
-    def __init__(self, make):
-        super().__init__()
-        self.make = make
-
-    def __missing__(self, segment: str) -> tuple[int, ...]:
-        ids = self.make(segment)
-        if len(segment) <= CACHED_SIZE:
-            if len(self) >= CACHE:
-                self.clear()
-            self[segment] = ids
-        return ids
+class Table:
+    """Long keys (0 or more) to longs in open addressing: many keys are looked up at a time."""
+
+    def __init__(self, keys=(), values=(), bits: int = 12):
+        while (1 << bits) < 4 * len(keys):
+            bits += 1
+        self.bits, self.count = bits, 0
+        self.keys, self.values = np.full(1 << bits, -1, np.int64), np.zeros(1 << bits, np.int64)
+        self.put(np.asarray(keys, np.int64), np.asarray(values, np.int64))
+
+    def _slots(self, keys: np.ndarray) -> np.ndarray:
+        return (mix(keys.view(np.uint64)) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def put(self, keys: np.ndarray, values: np.ndarray) -> None:
+        """New keys, each once."""
+        if 2 * (self.count + len(keys)) > len(self.keys):
+            held = self.keys >= 0
+            keys, values = np.concatenate([self.keys[held], keys]), np.concatenate([self.values[held], values])
+            self.__init__(keys, values, self.bits + 1)
+            return
+        self.count += len(keys)
+        slot = self._slots(keys)
+        while len(keys):
+            self.keys[slot] = np.where(self.keys[slot] < 0, keys, self.keys[slot])  # of several keys one gets the slot
+            won = self.keys[slot] == keys
+            self.values[slot[won]] = values[won]
+            keys, values, slot = keys[~won], values[~won], (slot[~won] + 1) & (len(self.keys) - 1)
+
+    def get(self, keys: np.ndarray) -> np.ndarray:
+        """Values, or -1 where a key is unknown."""
+        out, slot = np.full(len(keys), -1, np.int64), self._slots(keys)
+        held = self.keys[slot]
+        same = held == keys
+        out[same] = self.values[slot[same]]
+        left = np.flatnonzero(~same & (held >= 0))
+        while len(left):
+            slot[left] = (slot[left] + 1) & (len(self.keys) - 1)
+            held = self.keys[slot[left]]
+            same = held == keys[left]
+            out[left[same]] = self.values[slot[left[same]]]
+            left = left[~same & (held >= 0)]
+        return out
 
 
 class PieceModel:
@@ -101,18 +126,18 @@ class PieceModel:
         byte_ids = {int(t[3:5], 16): i for i, (t, kind) in enumerate(zip(texts, kinds)) if kind == BYTE}
         self.byte_ids = byte_ids if trainer.get(BYTE_FALLBACK) else {}
         # No piece has a mark behind another character: then no merge crosses such a place, and segments end there.
-        crossing = any(MARK in t.lstrip(MARK) for t in self.ids)
-        self.segments = re.compile(".+" if crossing else f"{MARK}*[^{MARK}]+|{MARK}+", re.DOTALL).findall
+        self.cuts = not any(MARK in t.lstrip(MARK) for t in self.ids)
+        # The same holds between any two characters that no piece has side by side.
+        beside = np.array(sorted({ord(x) << POINT | ord(y) for t in self.ids for x, y in zip(t, t[1:])}), np.int64)
+        self.beside = Table(beside, np.ones(len(beside), np.int64))
         # A token is a piece that the merges leave whole, by its id; beyond the ids each lone character has a number.
         self.texts = texts
         self.split: dict[str, tuple[str, str]] = {}
         tokens = [t for t in self.ids if self.merged(t, self.split) == [t]]
         self.in_order = all(self.score[t] <= self.score[x] for t in tokens if t in self.split for x in self.split[t] if x in self.split)
         self._build_automaton(tokens)
-        self.size = [len(t) for t in texts]
-        self.fits: dict[int, bool] = {}
-        self.heads: dict[str, tuple[int, list[int]]] = {}
-        self.cache = Remembered(self.encode_segment)
+        self.size = np.array([len(t) for t in texts])
+        self.fits = Table()
         surface = trainer[UNKNOWN_SURFACE].decode("utf-8") if UNKNOWN_SURFACE in trainer else UNKNOWN_TEXT
         plain = {CONTROL: lambda t: b"", UNKNOWN: lambda t: surface.encode(), BYTE: lambda t: bytes([int(t[3:5], 16)])}
         decoded = [plain.get(kind, lambda t: t.replace(MARK, " ").encode())(t) for t, kind in zip(texts, kinds)]
@@ -160,18 +185,38 @@ class PieceModel:
             self.failure[node] = self._next(self.failure[parent], c) if parent else 0
             own = (ends[node],) if node in ends else ()
             self.found[node] = own + self.found[self.failure[node]]
-        self.steps = dict(self.tree)
+        most = max(map(len, self.found))
+        self.ending = np.array([[t for t, _ in f] + [-1] * (most - len(f)) for f in self.found])
+        self.steps = Table(list(self.tree), list(self.tree.values()))
 
     def _next(self, node: int, c: int) -> int:
         while node and node << POINT | c not in self.tree:
             node = self.failure[node]
         return self.tree.get(node << POINT | c, 0)
 
-    def _step(self, step: int) -> int:
-        if len(self.steps) - len(self.tree) >= STEPS:
-            self.steps = dict(self.tree)
-        node = self.steps[step] = self._next(step >> POINT, step & (1 << POINT) - 1)
-        return node
+    def _nodes(self, steps: np.ndarray) -> np.ndarray:
+        """The automaton's nodes after steps (node, letter)."""
+        out = self.steps.get(steps)
+        if (new := out < 0).any():
+            if self.steps.count - len(self.tree) >= STEPS:
+                self.steps = Table(list(self.tree), list(self.tree.values()))
+                return self._nodes(steps)
+            keys = np.unique(steps[new])
+            self.steps.put(keys, np.array([self._next(k >> POINT, k & (1 << POINT) - 1) for k in keys.tolist()]))
+            out[new] = self.steps.get(steps[new])
+        return out
+
+    def compatible(self, pairs: np.ndarray) -> np.ndarray:
+        """Do the merges leave the tokens of each pair (left, right) side by side? From the pair table, which grows as asked."""
+        out = self.fits.get(pairs)
+        if (new := out < 0).any():
+            if self.fits.count >= PAIRS:
+                self.fits = Table()
+                return self.compatible(pairs)
+            keys = np.unique(pairs[new])
+            self.fits.put(keys, np.array([self._compatible(k) for k in keys.tolist()], np.int64))
+            out[new] = self.fits.get(pairs[new])
+        return out == 1
 
     def name(self, token: int) -> str:
         return self.texts[token] if token < len(self.texts) else chr(token - len(self.texts))
@@ -185,102 +230,172 @@ class PieceModel:
         return out[::-1]
 
     def _compatible(self, pair: int) -> bool:
-        """Do the merges leave these tokens side by side? Put into the pair table.
+        """Do the merges leave these tokens side by side?
 
         The merges of both sides run in order of their scores; of equal ones the left side's run first. They
         leave the boundary unless two parts that touch there have a higher score than what takes up either.
         """
         left, right = self.name(pair >> POINT), self.name(pair & (1 << POINT) - 1)
-        if len(self.fits) >= PAIRS:
-            self.fits.clear()
         if not self.in_order:  # a piece may score above its parts: then the order of merges isn't that of scores
-            answer = self.merged(left + right) == [left, right]
-        else:
-            a, b = self._spine(left, 1), self._spine(right, 0)
-            i = j = 0
-            while True:
-                (x, x_taken), (y, y_taken) = a[i], b[j]
-                across = self.score.get(x + y)
-                if across is not None and across > x_taken and across >= y_taken:
-                    answer = False
-                    break
-                if i == len(a) - 1 and j == len(b) - 1:
-                    answer = True
-                    break
-                if x_taken >= y_taken:
-                    i += 1
-                else:
-                    j += 1
-        self.fits[pair] = answer
-        return answer
+            return self.merged(left + right) == [left, right]
+        a, b = self._spine(left, 1), self._spine(right, 0)
+        i = j = 0
+        while True:
+            (x, x_taken), (y, y_taken) = a[i], b[j]
+            across = self.score.get(x + y)
+            if across is not None and across > x_taken and across >= y_taken:
+                return False
+            if i == len(a) - 1 and j == len(b) - 1:
+                return True
+            if x_taken >= y_taken:
+                i += 1
+            else:
+                j += 1
 
-    def last_tokens(self, segment: str) -> list[int]:
-        """The last token of each prefix, from the shortest prefix on; a character that is no piece is its own token.
+    def last_tokens(self, points: np.ndarray) -> np.ndarray:
+        """The last token of each prefix of many segments (rows of code points, longest first, -1 behind their ends).
 
-        Segments that begin alike have the same table so far: that of the first few characters is remembered.
+        A character that is no piece is its own token.
         """
-        if len(segment) <= HEAD:
-            return self._continued(segment, 0, [])[1]
-        head = segment[:HEAD]
-        known = self.heads.get(head)
-        if known is None:
-            if len(self.heads) >= CACHE:
-                self.heads.clear()
-            known = self.heads[head] = self._continued(head, 0, [])
-        return self._continued(segment[HEAD:], known[0], known[1].copy())[1]
-
-    def _continued(self, letters: str, node: int, last: list[int]) -> tuple[int, list[int]]:
-        """The table ``last`` and the automaton's node after more letters."""
-        found, fits, alone = self.found, self.fits, len(self.texts)
-        for i, c in enumerate(map(ord, letters), len(last)):
-            step = node << POINT | c
-            node = self.steps.get(step, -1)
-            if node < 0:
-                node = self._step(step)
-            for token, size in found[node]:
-                if size > i:  # the whole prefix
-                    break
-                pair = last[i - size] << POINT | token
-                fit = fits.get(pair)
-                if fit is None:
-                    fit = self._compatible(pair)
-                if fit:
-                    break
-            else:
-                token = alone + c
-            last.append(token)
-        return node, last
-
-    def encode_segment(self, segment: str) -> tuple[int, ...]:
-        """Ids of a segment: the table of last tokens, read backwards."""
-        last, out, at, alone = self.last_tokens(segment), [], len(segment), len(self.texts)
-        while at:
-            token = last[at - 1]
-            if token < alone:
-                out.append(token)
-                at -= self.size[token]
-                continue
-            if self.byte_ids:
-                out.extend(self.byte_ids[b] for b in reversed(chr(token - alone).encode("utf-8")))
-            elif not out or out[-1] != self.unknown_id:  # unknown neighbours are one
-                out.append(self.unknown_id)
-            at -= 1
-        return tuple(out[::-1])
-
-    def encode_text(self, text: str | None) -> list[int]:
-        """Ids of a whole text and the end id."""
-        if not text:
-            return [self.end_id]
-        segments = self.segments(self.prefix + text.replace(" ", MARK))
-        return [*chain.from_iterable(map(self.cache.__getitem__, segments)), self.end_id]
+        last = np.full(points.shape, -1, np.int64)
+        node = np.zeros(len(points), np.int64)
+        lengths = (points >= 0).sum(axis=1)
+        for i in range(points.shape[1]):
+            n = int(np.searchsorted(-lengths, -i, "left"))  # rows that are longer than i
+            letters = points[:n, i]
+            node = self._nodes(node[:n] << POINT | letters)
+            chosen = len(self.texts) + letters
+            left, k = np.arange(n), 0
+            while len(left) and k < self.ending.shape[1]:
+                token = self.ending[node[left], k]
+                some = token >= 0
+                left, token = left[some], token[some]
+                size = self.size[token]
+                whole = size > i
+                fit = whole.copy()
+                part = np.flatnonzero(~whole)
+                fit[part] = self.compatible(last[left[part], i - size[part]] << POINT | token[part])
+                chosen[left[fit]] = token[fit]
+                left, k = left[~fit], k + 1
+            last[:n, i] = chosen
+        return last
+
+    def _ids(self, token: int) -> list[int]:
+        """Ids of a character that is no piece."""
+        return [self.byte_ids[b] for b in chr(token - len(self.texts)).encode("utf-8")] if self.byte_ids else [self.unknown_id]
+
+    def _tokens(self, last: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Tokens of all rows and how many each has: the table of last tokens, read backwards."""
+        row, at, parts = np.arange(len(last)), lengths.copy(), []
+        while len(row):
+            token = last[row, at[row] - 1]
+            parts.append((row, token))
+            at[row] -= np.where(token < len(self.texts), self.size[np.minimum(token, len(self.texts) - 1)], 1)
+            row = row[at[row] > 0]
+        counts = np.bincount(np.concatenate([r for r, _ in parts]), minlength=len(last)) if parts else np.zeros(0, np.int64)
+        end, tokens = np.cumsum(counts), np.empty(int(counts.sum()), np.int64)
+        for k, (row, token) in enumerate(parts):
+            tokens[end[row] - 1 - k] = token
+        return tokens, counts
+
+    def _segment_ids(self, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of segments (byte slices) and how many each has; segments of like lengths are encoded together."""
+        sizes = ends - starts
+        upto = np.cumsum(sizes)
+        joined = raw[np.repeat(starts - (upto - sizes), sizes) + np.arange(upto[-1])]
+        heads = np.concatenate([[0], np.cumsum((joined & 0xC0) != 0x80)])
+        stop = heads[upto]
+        points = np.frombuffer(joined.tobytes().decode("utf-8").encode("utf-32-le"), np.uint32).astype(np.int64)
+        # Long segments end where no merge can cross, too.
+        lengths = np.diff(stop, prepend=0)
+        inside = np.flatnonzero(np.repeat(lengths > SHORT, lengths))
+        inside = inside[~np.isin(inside, stop - 1)]
+        apart = inside[self.beside.get(points[inside] << POINT | points[np.minimum(inside + 1, len(points) - 1)]) < 0] + 1
+        stop_of = np.sort(np.concatenate([stop, apart]))
+        segment = np.searchsorted(stop, stop_of)
+        lengths = np.diff(stop_of, prepend=0)
+        flat, owner = [], []
+        for rows in self._alike(lengths):
+            size = lengths[rows]
+            table = np.full((len(rows), int(size[0])), -1, np.int64)
+            filled = np.arange(table.shape[1]) < size[:, None]
+            table[filled] = points[np.repeat(stop_of[rows] - np.cumsum(size), size) + np.arange(int(size.sum()))]
+            tokens, n = self._tokens(self.last_tokens(table), size)
+            flat.append(tokens)
+            owner.append(np.repeat(rows, n))
+        flat, owner = np.concatenate(flat), np.concatenate(owner)
+        order = np.argsort(owner, kind="stable")
+        flat, owner = flat[order], segment[owner[order]]
+        odd = np.flatnonzero(flat >= len(self.texts))
+        if len(odd):
+            made = {t: self._ids(t) for t in np.unique(flat[odd]).tolist()}
+            times = np.ones(len(flat), np.int64)
+            times[odd] = [len(made[t]) for t in flat[odd].tolist()]
+            place = (np.cumsum(times) - times)[odd]
+            tokens = flat[odd].tolist()
+            flat, owner = np.repeat(flat, times), np.repeat(owner, times)
+            for at, t in zip(place.tolist(), tokens):
+                flat[at:at + len(made[t])] = made[t]
+            if not self.byte_ids:  # unknown neighbours are one
+                again = (flat[1:] == self.unknown_id) & (flat[:-1] == self.unknown_id) & (owner[1:] == owner[:-1])
+                flat, owner = flat[np.append(True, ~again)], owner[np.append(True, ~again)]
+        return flat, np.bincount(owner, minlength=len(starts))
+
+    @staticmethod
+    def _alike(lengths: np.ndarray):
+        """Row numbers in groups, longest first: all short ones, and long ones of about one length and a bounded sum."""
+        order = np.argsort(-lengths, kind="stable")
+        at, short = 0, int(np.searchsorted(-lengths[order], -SHORT, "left"))
+        while at < short:
+            longest = int(lengths[order[at]])
+            end = min(int(np.searchsorted(-lengths[order], -(longest // 2), "right")), at + max(1, BLOCK_BYTES // longest), short)
+            yield order[at:end]
+            at = end
+        if short < len(order):
+            yield order[short:]
+
+    def _encode_block(self, texts: pa.Array) -> pa.Array:
+        texts = pc.replace_substring(pc.fill_null(texts, ""), " ", MARK)
+        if self.prefix:
+            texts = pc.if_else(pc.equal(pc.binary_length(texts), 0), "", pc.binary_join_element_wise(self.prefix, texts, ""))
+        raw, offsets = joined_bytes(texts)
+        n = len(raw)
+        end_ids = np.full(len(texts), self.end_id)
+        if not n:
+            return ragged(end_ids.astype(np.int32), np.arange(len(texts) + 1))
+        mark = MARK.encode()
+        start = np.zeros(n + 1, bool)
+        if self.cuts:
+            marks = np.zeros(n, bool)
+            marks[:max(n - 2, 0)] = (raw[:-2] == mark[0]) & (raw[1:-1] == mark[1]) & (raw[2:] == mark[2])
+            start[:n] = marks
+            start[3:n] &= ~marks[:n - 3]
+        start[offsets] = True
+        starts = np.flatnonzero(start[:n])
+        ends = np.append(starts[1:], n)
+        # Equal segments are encoded once. Their hashes find them, their bytes decide.
+        _, first, of = np.unique(hash_slices(raw, starts, ends), return_index=True, return_inverse=True)
+        size = ends - starts
+        same = size == size[first][of]
+        shift = np.repeat(starts[first][of] - starts, size)
+        equal = raw == raw[np.minimum(np.arange(n) + shift, n - 1)]
+        same &= np.logical_and.reduceat(equal, starts)
+        if not same.all():
+            other = np.flatnonzero(~same)
+            of[other] = len(first) + np.arange(len(other))
+            first = np.concatenate([first, other])
+        ids, counts = self._segment_ids(raw, starts[first], ends[first])
+        place = np.cumsum(counts) - counts
+        times = counts[of]
+        upto = np.cumsum(times)
+        flat = ids[np.repeat(place[of] - (upto - times), times) + np.arange(upto[-1])]
+        bounds = np.concatenate([[0], upto])[np.searchsorted(starts, offsets)]
+        flat = np.insert(flat, bounds[1:], end_ids).astype(np.int32)
+        return ragged(flat, bounds + np.arange(len(bounds)))
 
     def encode(self, texts: pa.Array) -> pa.Array:
-        parts = []
-        for a, b in text_chunks(texts):
-            lists = [self.encode_text(t) for t in texts.slice(a, b - a).to_pylist()]
-            bounds = np.concatenate([[0], np.cumsum([len(x) for x in lists])]).astype(np.int32)
-            flat = np.fromiter(chain.from_iterable(lists), np.int32, bounds[-1])
-            parts.append(pa.ListArray.from_arrays(pa.array(bounds), pa.array(flat)))
+        """Ids of whole texts, each with the end id."""
+        parts = [self._encode_block(texts.slice(a, b - a)) for a, b in text_chunks(texts, BLOCK_BYTES)]
         return pa.chunked_array(parts, pa.list_(pa.int32())).combine_chunks() if parts else pa.array([], pa.list_(pa.int32()))
 
     def _decode_odd(self, ids: list[int]) -> str:

@@ -14,7 +14,7 @@ from platewise.llm.queries import op12_pieces
 
 PATH = public_tokenizers.path("piece_bpe_32k.model")
 PARTS = ["a", "ing", "the", " ", "  ", "▁", "'s", "\n", "é", "漢", "🙂", ".", "7", "<s>", "</s>", "<0x41>", "<unk>", "zq", " " * 7, "aaa", "\x00", "ê", "ou"]
-ODD = ["", None, " ", "\n\n a", "x" * 30_000, " " * 40, "▁" * 35 + "a", "ab" * 5000, "\t\r\n", "a" * 129, "word " * 20_000, "﻿bom", "ê" * 500]
+ODD = ["", None, " ", "\n\n a", "x" * 30_000, " " * 40, "▁" * 35 + "a", "ab" * 5000, "\t\r\n", "a" * 129, "word " * 20_000, "﻿bom", "ê" * 500, "漢字" * 400 + "x" * 90, "z" * 100 + "é" * 70 + "🙂" * 80, "ab" * 60]
 
 
 @pytest.fixture(scope="module")
@@ -51,9 +51,27 @@ def test_decoding_any_ids_equals_the_library(model, library):
 
 def test_last_tokens_are_those_of_each_prefix(model):
     rng = np.random.default_rng(5)
-    for _ in range(200):
-        text = "▁" + "".join(rng.choice([p for p in PARTS if len(p) < 4], rng.integers(1, 8)))
-        assert [model.name(t) for t in model.last_tokens(text)] == [model.merged(text[:i])[-1] for i in range(1, len(text) + 1)]
+    segments = ["▁" + "".join(rng.choice([p for p in PARTS if len(p) < 4], rng.integers(1, 8))) for _ in range(200)]
+    segments.sort(key=len, reverse=True)
+    table = np.full((200, len(segments[0])), -1)
+    for row, text in zip(table, segments):
+        row[:len(text)] = list(map(ord, text))
+    for text, last in zip(segments, model.last_tokens(table).tolist()):
+        assert [model.name(t) for t in last[:len(text)]] == [model.merged(text[:i])[-1] for i in range(1, len(text) + 1)]
+
+
+def test_equal_hashes_of_other_segments_do_no_harm(model, library, texts, monkeypatch):
+    monkeypatch.setattr(pieces, "hash_slices", lambda raw, starts, ends: (ends - starts) % 3)
+    assert model.encode(pa.array(texts[:200])).to_pylist() == [library.encode(t or "", add_eos=True) for t in texts[:200]]
+
+
+def test_tables_of_many_keys():
+    rng = np.random.default_rng(7)
+    keys = np.unique(rng.integers(0, 1 << 50, 50_000))
+    table = pieces.Table(keys[:100], keys[:100] % 97)
+    for part in np.array_split(keys[100:], 30):
+        table.put(part, part % 97)
+    assert (table.get(keys) == keys % 97).all() and (table.get(keys + (1 << 51)) == -1).all() and table.count == len(keys)
 
 
 def test_pair_table_equals_the_merges(model):
@@ -68,14 +86,11 @@ def test_pair_table_equals_the_merges(model):
         assert model._compatible(model.ids[left] << pieces.POINT | model.ids[right]) == (model.merged(left + right) == [left, right])
 
 
-def test_full_caches_start_anew(model, texts, monkeypatch):
+def test_full_tables_start_anew(model, texts, monkeypatch):
     want = model.encode(pa.array(texts[:300]))
-    monkeypatch.setattr(pieces, "CACHE", 5)
     monkeypatch.setattr(pieces, "PAIRS", 5)
-    model.cache.clear()
-    model.fits.clear()
-    model.heads.clear()
-    assert model.encode(pa.array(texts[:300])).equals(want) and len(model.cache) <= 5 and len(model.fits) <= 5
+    monkeypatch.setattr(pieces, "STEPS", 5)
+    assert model.encode(pa.array(texts[:300])).equals(want)
 
 
 def test_models_of_other_kinds_are_refused():
