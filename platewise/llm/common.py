@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import hashlib
 from collections.abc import Callable
 
 import numpy as np
@@ -19,6 +20,7 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 PRIME = np.uint64(0x9E3779B97F4A7C15)
 MASK52 = (1 << 52) - 1
+KEPT = 2  # shared values that a worker keeps
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -51,16 +53,22 @@ def discard(*stored: DataFrame) -> None:
 def shared(spark: SparkSession, value) -> Callable[[], object]:
     """A function that gives ``value`` inside tasks: broadcast as bytes, unpacked once by each worker.
 
-    Classes of this package travel by value with it, so executors need no copy of the package. What the
-    value keeps for itself (caches) lasts as long as the worker.
+    Classes of this package travel by value with it, so executors need no copy of the package. A worker keeps the
+    last KEPT values, with what they keep for themselves (caches), and takes equal bytes of a later job for the same value.
     """
-    held = spark.sparkContext.broadcast({"packed": cloudpickle.dumps(value)})
+    packed = cloudpickle.dumps(value)
+    key, held, most = hashlib.sha256(packed).hexdigest(), spark.sparkContext.broadcast(packed), KEPT
 
     def get():
-        box = held.value
-        if "value" not in box:
-            box["value"] = cloudpickle.loads(box["packed"])
-        return box["value"]
+        import sys
+        from types import ModuleType
+        # Task functions travel by value, so what is to outlive a task is kept in a module of the worker.
+        kept = sys.modules.setdefault("_shared_values", ModuleType("_shared_values")).__dict__.setdefault("values", {})
+        if key not in kept:
+            while len(kept) >= most:
+                del kept[next(iter(kept))]
+            kept[key] = cloudpickle.loads(held.value)
+        return kept[key]
 
     return get
 
