@@ -15,7 +15,8 @@ HEAVY = 64  # a root shingle in more documents than this moves to the end of the
 MAX_HEAVY = 1 << 16  # such shingles at most: 512 KB of broadcast
 LEAF = 32  # sets of a leaf
 FIRST = 16  # roots of a set that say whether a pair met below an earlier root
-STARS = 3  # centres that a set is compared with first
+STARS = 3  # centres that a set is compared with at a time
+FEW = 50  # other centres are drawn while they link more than one in so many sets below tall roots
 MAX_FETCH = 200_000  # sets whose ids (24 bytes each) are broadcast to fetch their texts; more are joined by a shuffle
 
 
@@ -127,15 +128,6 @@ def _in_reach(a: str, b: str, share: int) -> Column:
     return _needed(n(a), n(b), share) <= F.least(n(a) - place(a), n(b) - place(b))
 
 
-def _not_met_before(a: str, b: str) -> Column:
-    """False where the sets surely share a root that comes before this one, and so meet there.
-
-    Roots stand in one order for all, so the first common one of the sets' first roots is the earliest that they share.
-    """
-    both = F.array_intersect(F.col(f"{a}.first"), F.col(f"{b}.first"))
-    return (F.size(both) == 0) | (F.try_element_at(both, F.lit(1)) == F.col(f"{a}.token"))
-
-
 def _popcount(a: Column, b: Column, test) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(test(x, y))), F.lit(0), lambda s, x: s + x)
 
@@ -184,6 +176,80 @@ def nodes_may_link(a: str, b: str, share: int) -> Column:
     return fit & early & apart & (possible >= need)
 
 
+def _stars(members: DataFrame, a_maps: DataFrame, b_maps: DataFrame, share: int, seed: int | None) -> DataFrame:
+    """Pairs (a, b) that may link: every set with at most STARS centres of another class, one centre for each root and band.
+
+    The centre is the first set below a root, or any one of them, drawn by ``seed``.
+    """
+    draw = F.lit(0) if seed is None else F.xxhash64("node", "token", F.lit(seed))
+    centres = members.groupBy("token", "band").agg(
+        F.min(F.struct(draw.alias("draw"), "node", "n", "place", "class")).alias("centre"),
+        F.min("class").alias("low"), F.max("class").alias("high")).where("low < high").select(
+        "token", "band", F.col("centre.node").alias("a"), F.col("centre.n").alias("centre_n"),
+        F.col("centre.place").alias("centre_place"), F.col("centre.class").alias("centre_class"))
+    stars = members.join(centres, ["token", "band"]).where(
+        (F.col("class") != F.col("centre_class")) & _in_reach("", "centre_", share)).select("a", F.col("node").alias("b")).distinct()
+    return stars.join(a_maps, "a").join(b_maps, "b").where(sets_may_link("x", "y", share)).groupBy("b").agg(
+        F.slice(F.array_sort(F.collect_list("a")), 1, STARS).alias("centres")).select(F.explode("centres").alias("a"), "b")
+
+
+def _mixed(members: DataFrame, classes: DataFrame) -> DataFrame:
+    """Members with their class, below roots over more than one class; ``tall`` are roots of more than LEAF sets."""
+    placed = materialize(members.join(classes, "node", "left").withColumn("class", F.coalesce("component", "node")).drop(
+        "component"), "placed")
+    mixed = placed.groupBy("token").agg(F.min("class").alias("low"), F.max("class").alias("high"), F.count(F.lit(1)).alias("sets")).where(
+        "low < high").select("token", (F.col("sets") > LEAF).alias("tall"))
+    stored = materialize(placed.join(mixed, "token"), "mixed")
+    discard(placed)
+    return stored
+
+
+def _open_sets(share: int):
+    """The pairs of sets of two open leaves that may link, by their bitmaps; both leaves of a row may be one."""
+    def side(batch, name):
+        lists = [batch.column(f"{name}_{part}") for part in ("node", "n", "place", "class", "bitmap")]
+        return [(np.asarray(column.flatten()), np.asarray(column.offsets) - column.offsets[0].as_py()) for column in lists]
+
+    def run(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            tokens = np.asarray(batch.column("token"))
+            left, right = side(batch, "x"), side(batch, "y")
+            first = [np.asarray(batch.column(f"{name}_first").flatten()).reshape(-1, FIRST) for name in "xy"]
+            for row, token in enumerate(tokens):
+                (a, na, pa_, ca, ba), (b, nb, pb, cb, bb) = (
+                    [values[at[row]:at[row + 1]] for values, at in one] for one in (left, right))
+                need = -(-(na[:, None] + nb[None, :]) * share // (100 + share))
+                may = (ca[:, None] != cb[None, :]) & (need <= np.minimum((na - pa_)[:, None], (nb - pb)[None, :]))
+                i, j = np.nonzero(may)
+                ma, mb = ba.reshape(-1, PARTS).view(np.uint64), bb.reshape(-1, PARTS).view(np.uint64)
+                enough = np.zeros(len(i), bool)
+                for at in range(0, len(i), 4096):
+                    some = slice(at, at + 4096)
+                    x, y, least = ma[i[some]], mb[j[some]], need[i[some], j[some]]
+                    enough[some] = (na[i[some]] - np.bitwise_count(x & ~y).sum(axis=1, dtype=np.int64) >= least) & (
+                        nb[j[some]] - np.bitwise_count(y & ~x).sum(axis=1, dtype=np.int64) >= least)
+                i, j = i[enough], j[enough]
+                if not len(i):
+                    continue
+                # Roots stand in one order for all: sets that share one before this root met there.
+                fa, fb = (f[at[row]:at[row + 1]] for f, (_, at) in zip(first, (left[0], right[0])))
+                met = np.zeros(len(i), bool)
+                for at in range(0, len(i), 4096):
+                    some = slice(at, at + 4096)
+                    x, y = fa[i[some]], fb[j[some]]
+                    # What is before this root in x's order, or all of x's first roots if it is not among them.
+                    before = np.cumsum(x == token, axis=1) == 0
+                    real = np.arange(FIRST)[None, :] < np.minimum(root_sizes(na[i[some]], share), FIRST)[:, None]
+                    in_y = (x[:, :, None] == y[:, None, :]) & (
+                        np.arange(FIRST)[None, :] < np.minimum(root_sizes(nb[j[some]], share), FIRST)[:, None])[:, None, :]
+                    met[some] = (in_y.any(axis=2) & before & real).any(axis=1)
+                i, j = i[~met], j[~met]
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a[i], b[j])), pa.array(np.maximum(a[i], b[j]))], ["a", "b"])
+    return run
+
+
 def _verified(pairs: DataFrame, source: DataFrame, sets: DataFrame, k: int, share: int) -> DataFrame:
     """The pairs (a, b) whose whole sets link; the sets are taken from the texts again, for these pairs alone."""
     pairs = materialize(pairs, "pairs")
@@ -213,7 +279,8 @@ def jaccard_classes(docs: DataFrame, k: int = 5, percent: int = 80, doc_id: str
     root is early in them, and a node holds the OR-combined bitmap of its sets' shingles, their size range and their
     component range.
 
-    Sets are first compared with the first set of their roots' size ranges; verified links give components.
+    Sets are first compared with the first set of their roots' size ranges; verified links give components. Below roots of many
+    sets and more than one component, further sets are drawn to compare with, as long as that links many.
     Then only roots over more than one component are open: the dual traversal joins the nodes of a
     root with each other and drops node pairs that are one component, whose sizes don't fit or whose most
     possible overlap is too small, and goes on with the sets of the rest by the same bound. What is
@@ -245,35 +312,40 @@ def jaccard_classes(docs: DataFrame, k: int = 5, percent: int = 80, doc_id: str
 
     maps = sets.select("node", "n", "bitmap", "fine", "hidden")
 
-    # First every set with a few centres: the first sets below its roots that it may link with.
-    centres = members.groupBy("token", "band").agg(
-        F.min(F.struct("node", "n", "place")).alias("centre"), F.max("node").alias("last")).where("last > centre.node").select(
-        "token", "band", F.col("centre.node").alias("a"), F.col("centre.n").alias("centre_n"),
-        F.col("centre.place").alias("centre_place"))
     a_maps = maps.select(F.col("node").alias("a"), F.struct("n", "bitmap", "fine").alias("x"))
     b_maps = maps.select(F.col("node").alias("b"), F.struct("n", "bitmap", "fine").alias("y"))
-    stars = members.join(centres, ["token", "band"]).where(
-        (F.col("node") != F.col("a")) & _in_reach("", "centre_", percent)).select("a", F.col("node").alias("b")).distinct()
-    stars = stars.join(a_maps, "a").join(b_maps, "b").where(sets_may_link("x", "y", percent)).groupBy("b").agg(
-        F.slice(F.array_sort(F.collect_list("a")), 1, STARS).alias("centres")).select(F.explode("centres").alias("a"), "b")
-    first = _verified(stars, source, sets, k, percent)
-    classes = connected_components(first)
 
-    # Then the roots over more than one class. A root of few sets is a leaf itself.
-    placed = materialize(members.join(classes, "node", "left").withColumn("class", F.coalesce("component", "node")).drop(
-        "component"), "placed")
-    mixed = placed.groupBy("token").agg(F.min("class").alias("low"), F.max("class").alias("high"), F.count(F.lit(1)).alias("sets")).where(
-        "low < high").select("token", (F.col("sets") > LEAF).alias("tall"))
-    placed_mixed = materialize(placed.join(mixed, "token"), "mixed")
-    discard(members, placed)
+    # First every set with a few centres: the first sets below its roots that it may link with.
+    links = _verified(_stars(members.withColumn("class", F.col("node")), a_maps, b_maps, percent, None), source, sets, k, percent)
+    classes = connected_components(links)
+
+    # Then the roots over more than one class. Below tall ones other centres are drawn, until that links few sets more.
+    seed = 0
+    while True:
+        placed_mixed = _mixed(members, classes)
+        tall = placed_mixed.where("tall")
+        n_tall = tall.agg(F.count_distinct("node")).first()[0]
+        if not n_tall:
+            break
+        seed += 1
+        more = _verified(_stars(tall, a_maps, b_maps, percent, seed), source, sets, k, percent)
+        n_more = more.count()
+        if not n_more:
+            break
+        links = links.unionByName(more)
+        classes = connected_components(links)
+        if n_more * FEW < n_tall:
+            break  # the classes as placed are still true, only some are one by now
+        discard(placed_mixed)
+    discard(members)
+    # A root of few sets is a leaf itself.
     x, y = placed_mixed.where("not tall").alias("x"), placed_mixed.where("not tall").alias("y")
     low_pairs = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.node") < F.col("y.node")) & (
         F.col("x.class") != F.col("y.class")) & _in_reach("x.", "y.", percent)).select(
         F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
-    low_pairs = low_pairs.join(a_maps, "a").join(b_maps, "b").where(sets_may_link("x", "y", percent)).select("a", "b")
 
     room = F.col("n") - F.col("place")
-    tall = placed_mixed.where("tall").withColumn("inner", _needed(F.col("n"), F.col("n"), percent) <= room)
+    tall = tall.withColumn("inner", _needed(F.col("n"), F.col("n"), percent) <= room)
     # Leaves of one class where a class is large, else of a few classes: pairs of one class are never opened.
     crowd = tall.groupBy("token", "band", "inner").agg(F.ceil(F.count(F.lit(1)) / LEAF).alias("leaves"))
     own = tall.groupBy("token", "band", "inner", "class").agg(F.ceil(F.count(F.lit(1)) / LEAF).alias("parts"))
@@ -295,19 +367,25 @@ def jaccard_classes(docs: DataFrame, k: int = 5, percent: int = 80, doc_id: str
         F.col("x.leaf").alias("xl"), F.col("y.band").alias("yb"), F.col("y.inner").alias("yi"), F.col("y.leaf").alias("yl"))
     # A stored tree is small, so one task may read it: node pairs are dealt to many before their sets are opened.
     open_ = open_.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "token", "xb", "xi", "xl", "yb", "yi", "yl")
-    left, right = leaves.alias("x"), leaves.alias("y")
-    pairs = open_.join(left, (F.col("x.token") == open_["token"]) & (F.col("x.band") == F.col("xb"))
-                       & (F.col("x.inner") == F.col("xi")) & (F.col("x.leaf") == F.col("xl")))
-    pairs = pairs.join(right, (F.col("y.token") == open_["token"]) & (F.col("y.band") == F.col("yb"))
-                       & (F.col("y.inner") == F.col("yi")) & (F.col("y.leaf") == F.col("yl"))
-                       & (F.col("x.class") != F.col("y.class")) & _in_reach("x.", "y.", percent) & sets_may_link("x", "y", percent)
-                       & _not_met_before("x", "y"))
-    pairs = pairs.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).unionByName(
-        low_pairs).distinct()
+    # A leaf's sets as one row, so that open node pairs bring no more rows; the pairs of their sets are compared inside.
+    one = F.struct("node", "n", "place", "class", "bitmap", F.transform(
+        F.sequence(F.lit(1), F.lit(FIRST)), lambda i: F.coalesce(F.try_element_at("first", i), F.lit(0).cast("long"))).alias("first"))
+    packed = materialize(leaves.groupBy("token", "band", "inner", "leaf").agg(F.collect_list(one).alias("sets")), "packed")
+
+    def named(name: str) -> DataFrame:
+        flat = [F.col(f"sets.{part}").alias(f"{name}_{part}") for part in ("node", "n", "place", "class")]
+        flat += [F.flatten(f"sets.{part}").alias(f"{name}_{part}") for part in ("bitmap", "first")]
+        return packed.select("token", *[F.col(c).alias(f"{name}{c[0]}") for c in ("band", "inner", "leaf")], *flat)
+
+    parts = ("node", "n", "place", "class", "bitmap", "first")
+    pairs = open_.join(named("x"), ["token", "xb", "xi", "xl"]).join(named("y"), ["token", "yb", "yi", "yl"]).select(
+        "token", *[f"{name}_{part}" for name in "xy" for part in parts]).mapInArrow(_open_sets(percent), "a long, b long")
+    pairs = pairs.unionByName(low_pairs).distinct().join(a_maps, "a").join(b_maps, "b").where(
+        sets_may_link("x", "y", percent)).select("a", "b")
     open_pairs = materialize(pairs, "open-pairs")
-    discard(placed_mixed, leaves, tree)
+    discard(placed_mixed, leaves, tree, packed)
     # A set is compared with its few partners of the smallest classes first: most pairs are one class after that.
-    links, partners = first, STARS
+    partners = STARS
     while not open_pairs.isEmpty():
         one = classes.select(F.col("node").alias("a"), F.col("component").alias("ca"))
         two = classes.select(F.col("node").alias("b"), F.col("component").alias("cb"))
