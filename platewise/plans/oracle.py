@@ -242,6 +242,7 @@ SQL = {
                case when event_type = 'error' then concat(event_id, ',', event_type, ',n/a') else '' end as record
         from events""",
     "upsert_latest": "select * from interactions",
+    "upsert_snapshots": "select * from interactions",
     "insert_absent": """
         select item_id, meal as name, 'kept' as origin from menus
         union all

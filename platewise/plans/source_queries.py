@@ -20,6 +20,7 @@ from platewise.sources.exports import export_interactions as to_interactions
 from platewise.sources.exports import export_items as to_items
 from platewise.sources.exports import export_users as to_users
 from platewise.sources.routes import routed
+from platewise.sources.snapshots import read_snapshot, take_snapshot
 from platewise.sources.tables import insert_absent as put_absent
 from platewise.sources.tables import read_latest, replace_table, upsert_latest as put_latest, write_batch
 
@@ -101,6 +102,20 @@ def upsert_latest(t: Tables) -> DataFrame:
     return read_latest(t.spark, path, keys, "created_at", TIES).drop("raw_id")
 
 
+@query
+def upsert_snapshots(t: Tables) -> DataFrame:
+    """The same table out of a snapshot of the first batch and the batch after it."""
+    path = scratch_dir(t.spark, "interactions")
+    rule = (["user_id", "item_id"], "created_at", TIES)
+    batches = (ratings_to_interactions(t.ratings()), choices_to_interactions(t.choices()))
+    for number, batch in enumerate(batches):
+        resolved = resolve(as_events(batch), t.alias_map(), stored=True)
+        write_batch(keep_newest(resolved, *rule), path, number)
+        if number == 0:
+            take_snapshot(t.spark, path, number, *rule)
+    return read_snapshot(t.spark, path, *rule).drop("raw_id")
+
+
 @query
 def insert_absent(t: Tables) -> DataFrame:
     kept = t.menus().select("item_id", F.col("meal").alias("name"), F.lit("kept").alias("origin"))
