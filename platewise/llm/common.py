@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import hashlib
+import json
 from collections.abc import Callable
 
 import numpy as np
@@ -27,6 +28,13 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def literal_rows(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """Rows of the driver as literals of the plan: ``createDataFrame`` would start Python workers for them."""
+    names = [column.split()[0] for column in schema.split(",")]
+    text = json.dumps([dict(zip(names, row)) for row in rows], allow_nan=False)
+    return spark.range(0, 1, 1, 1).select(F.inline(F.from_json(F.lit(text), f"array<struct<{schema.replace(' ', ': ').replace(',: ', ', ')}>>")))
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write a result to the shared folder and read it back; ``discard`` removes it when nothing needs it any more.
 

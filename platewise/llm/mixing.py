@@ -6,7 +6,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from platewise.llm.common import hash52
+from platewise.llm.common import hash52, literal_rows
 
 MAX_BROADCAST_SOURCES = 10_000
 RATE_STEP = 16.0  # a larger rate is the sum of several draws of at most this rate
@@ -38,7 +38,7 @@ def repetition_rates(docs: DataFrame, weights: dict[str, float], default_weight:
         weight = F.coalesce(known[F.col("__source")], weight)
     got = per.limit(MAX_BROADCAST_SOURCES + 1).collect()
     few = len(got) <= MAX_BROADCAST_SOURCES
-    per = (spark.createDataFrame(got, per.schema) if few else per).withColumn("weight", weight)
+    per = (literal_rows(spark, got, "__source string, source_size long") if few else per).withColumn("weight", weight)
     sums = per.agg(F.sum("weight").alias("weights"), F.sum("source_size").alias("sizes")).first()
     goal = float(total if total is not None else sums["sizes"] or 0)
     rate = F.col("weight") * goal / (F.lit(float(sums["weights"] or 0)) * F.col("source_size").cast("double"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, Window as W
 
-from platewise.llm.common import crc_of, hash52, materialize
+from platewise.llm.common import crc_of, hash52, literal_rows, materialize
 from platewise.llm.mixing import text_size
 
 BINS = 1024  # bins of one pass over a dimension
@@ -23,7 +23,7 @@ def text_key(column: Column) -> Column:
 
 def _frame(spark: SparkSession, rows: list[dict], schema: str) -> DataFrame:
     names = [c.split()[0] for c in schema.split(",")]
-    return spark.createDataFrame([tuple(r[n] for n in names) for r in rows], schema)
+    return literal_rows(spark, [tuple(r[n] for n in names) for r in rows], schema)
 
 
 def _not_after(cut: list[str]) -> Column:
