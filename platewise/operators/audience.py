@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from platewise.functions.scalars import whole_pct
 from platewise.operators.dedup import positions
@@ -20,6 +20,23 @@ def audience_per_item(interactions: DataFrame) -> DataFrame:
     return likes.groupBy("item_id").agg(F.count(F.lit(1)).alias("users"))
 
 
+def audience_changes(before: DataFrame, arrived: DataFrame, order: list) -> DataFrame:
+    """How many liking users each item gains or loses by new events: item_id, users (signed, never 0).
+
+    ``before`` holds events from earlier, several per pair of user and item or none; ``order`` says which event of a pair counts.
+    A pair's events meet in one window: its state before is the first earlier event, its state after is the first of all. An older
+    event that comes late changes nothing; a like that became a dislike is taken back.
+    """
+    columns = [c for c in arrived.columns if c in before.columns]
+    both = before.select(*columns, F.lit(0).alias("_new")).unionByName(arrived.select(*columns, F.lit(1).alias("_new")))
+    ranked = Window.partitionBy("user_id", "item_id").orderBy(*order)
+    earlier = F.count_if(F.col("_new") == 0).over(ranked.rowsBetween(Window.unboundedPreceding, 0))
+    placed = both.withColumn("_place", F.row_number().over(ranked)).withColumn("_earlier", earlier).where("liked = 1")
+    gained = (F.col("_place") == 1).cast("bigint")
+    lost = ((F.col("_new") == 0) & (F.col("_earlier") == 1)).cast("bigint")
+    return placed.groupBy("item_id").agg(F.sum(gained - lost).alias("users")).where("users <> 0")
+
+
 def audience_size(interactions: DataFrame, items: DataFrame, approximate: bool = False) -> DataFrame:
     """Distinct users who liked any of the items; 0 when nobody did."""
     likes = liked_only(interactions).select("item_id", "user_id")

@@ -430,6 +430,7 @@ SQL = {
         left join menus m on m.item_id = s.item_id""",
     "stream_ingest": f"select {INTERACTION} from events_raw",
     "stream_upsert": "select * from interactions",
+    "stream_audience": "select * from audience",
     "stream_counters": "select * from counts",
 }
 EXTRA_STEPS = {

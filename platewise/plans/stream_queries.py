@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from platewise.operators.normalize import as_events, choices_to_interactions, ratings_to_interactions
 from platewise.plans.bridge import TIES, Tables
 from platewise.plans.registry import query
 from platewise.session import scratch_dir
 from platewise.sources.delimited import write_delimited
+from platewise.sources.snapshots import take_snapshot, take_sums
 from platewise.sources.tables import read_latest, replace_table
 from platewise.streaming import ingest
 
@@ -39,6 +41,23 @@ def stream_upsert(t: Tables) -> DataFrame:
     return read_latest(t.spark, f"{root}/interactions", ["user_id", "item_id"], "created_at", TIES).drop("raw_id")
 
 
+@query
+def stream_audience(t: Tables) -> DataFrame:
+    """Liking users per menu kept by signed changes: choices arrive, both tables are folded, then the ratings arrive."""
+    root = scratch_dir(t.spark, "audience")
+    table, changes = f"{root}/interactions", f"{root}/changes"
+    handle = ingest.audience_upsert(t.spark, t.alias_map, table, changes, TIES)
+    for number, arriving in enumerate((choices_to_interactions(t.choices()), ratings_to_interactions(t.ratings()))):
+        events = as_events(arriving)
+        events.write.mode("append").parquet(f"{root}/events")
+        stream = ingest.stream_parquet(t.spark, f"{root}/events", events.schema)
+        ingest.start_batches(stream, handle, f"{root}/progress").awaitTermination()
+        if number == 0:
+            take_snapshot(t.spark, table, 0, ["user_id", "item_id"], "created_at", TIES)
+            take_sums(t.spark, changes, 0, "item_id", "users")
+    return ingest.read_audience(t.spark, changes)
+
+
 @query
 def stream_counters(t: Tables) -> DataFrame:
     """Ingredient counts kept by a stream of menus."""

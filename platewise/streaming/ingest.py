@@ -10,13 +10,16 @@ from pyspark.sql.streaming import StreamingQuery
 from platewise.contracts import (
     CHOICE_COLUMNS, MENU_SHEET_COLUMNS, MENU_SHEET_REQUIRED, RATING_COLUMNS, USER_COLUMNS)
 from platewise.operators.aliases import resolve
+from platewise.operators.audience import audience_changes
 from platewise.operators.dedup import keep_newest
 from platewise.operators.ingredients import ingredient_counts
+from platewise.operators.joins import fits_broadcast
 from platewise.operators.normalize import (
     choices_to_interactions, menus_formated, ratings_to_interactions, users_last)
 from platewise.session import materialize
 from platewise.sources.delimited import file_lines, numbered, project_sheets, rows_by_header
 from platewise.sources.routes import route_of
+from platewise.sources.snapshots import read_sums, rows_if_any
 from platewise.sources.tables import absent_rows, read_batches, write_batch
 
 FILES_PER_BATCH = 1000
@@ -88,6 +91,34 @@ def interaction_upsert(mapping: Callable[[], DataFrame], target: str, ties: list
     return handle
 
 
+def audience_upsert(spark: SparkSession, mapping: Callable[[], DataFrame], target: str, changes: str, ties: list,
+                    last_write_wins: bool = False) -> Callable[[DataFrame, int], None]:
+    """Batch handler: ``interaction_upsert``, and the liking users that each menu gains or loses by the batch.
+
+    Only the stored events of the batch's own pairs are looked at, out of the last snapshot and the batches after it, and only of
+    batches before this one: a batch that runs again writes the same changes again and replaces its folder. ``read_audience``
+    sums them up, so a count never needs all events. The snapshots of ``target`` must follow the same rule.
+    """
+    upsert = interaction_upsert(mapping, target, ties)
+    pair = ["user_id", "item_id"]
+    order = [F.desc_nulls_last("created_at"), *ties]
+
+    def handle(batch: DataFrame, number: int) -> None:
+        upsert(batch, number)
+        arrived = spark.read.parquet(f"{target}/batch={number}").withColumn("batch", F.lit(number))
+        touched = arrived.select(*pair)
+        if fits_broadcast(touched):
+            touched = F.broadcast(touched)
+        before = rows_if_any(spark, target, before=number).join(touched, pair, "left_semi")
+        write_batch(audience_changes(before, arrived, [F.desc("batch"), *order] if last_write_wins else order), changes, number)
+    return handle
+
+
+def read_audience(spark: SparkSession, changes: str) -> DataFrame:
+    """Liking users per menu, summed over the changes."""
+    return read_sums(spark, changes, "item_id", "users")
+
+
 def ingredient_counters(spark: SparkSession, menus_path: str, counts_path: str) -> Callable[[DataFrame, int], None]:
     """Batch handler: insert menus that are not known yet and count the ingredients of just those.
 

@@ -1,9 +1,12 @@
 """Streams equal batches, also when a batch is replayed or a file is bad."""
 
+import pytest
 from pyspark.sql import functions as F
 
+from platewise.operators.audience import audience_per_item
 from platewise.operators.dedup import keep_newest
 from platewise.operators.ingredients import ingredient_counts
+from platewise.sources.snapshots import snapshots, take_snapshot, take_sums
 from platewise.sources.tables import read_latest
 from platewise.streaming import ingest
 
@@ -58,6 +61,43 @@ def test_upsert_stream_equals_batch(spark, tmp_path, rows):
     assert rows(read, *sorted(read.columns)) == expected
 
 
+@pytest.mark.parametrize("last_write_wins", [False, True])
+def test_audience_by_changes_equals_a_recount(spark, tmp_path, rows, last_write_wins):
+    """Likes that turn into dislikes and back, late older events, null times, a hot menu, replays and folds between batches."""
+    mapping = spark.createDataFrame([(str(i), str(i // 2)) for i in range(12)], "raw_id string, item_id string")
+    target, changes = str(tmp_path / "t"), str(tmp_path / "c")
+    handle = ingest.audience_upsert(spark, lambda: mapping, target, changes, TIES, last_write_wins)
+
+    def arriving(n):
+        seen = [(f"u{(i * 7 + n) % 9}", str(0 if i % 3 == 0 else (i * n) % 13), "Watch", float(i % 4),
+                 None if i % 17 == 0 else (i * 31 + n * 5) % 60, (i + n) % 2) for i in range(60)]
+        return spark.createDataFrame(seen, EVENT)
+
+    def check():
+        table = read_latest(spark, target, KEYS, "created_at", TIES, last_write_wins)
+        assert rows(ingest.read_audience(spark, changes), "item_id", "users") == rows(audience_per_item(table))
+
+    for n in range(5):
+        handle(arriving(n), n)
+        handle(arriving(n), n)  # a replay
+        check()
+        if n in (1, 3):
+            take_snapshot(spark, target, n, KEYS, "created_at", TIES, last_write_wins)
+            take_sums(spark, changes, n, "item_id", "users")
+            check()
+    assert snapshots(spark, target) == snapshots(spark, changes) == [1, 3]
+    assert spark.read.parquet(changes).where("users < 0").count()
+    handle(arriving(3).limit(0), 5)  # nothing new
+    assert spark.read.parquet(f"{changes}/batch=5").isEmpty()
+    everybody = arriving(0).select("user_id", "raw_id", "event_type", "event_value", F.lit(10**6).cast("bigint").alias("created_at"),
+                                   F.lit(0).alias("liked"))
+    for n in range(1, 5):
+        everybody = everybody.unionByName(arriving(n).select("user_id", "raw_id", "event_type", "event_value", F.lit(10**6).cast(
+            "bigint").alias("created_at"), F.lit(0).alias("liked")))
+    handle(everybody, 6)  # nobody likes anything any more
+    assert rows(ingest.read_audience(spark, changes)) == []
+
+
 MENU = "item_id string, name string, genres string, genre_l2 string, genre_l3 string, product_description array<string>"
 
 
