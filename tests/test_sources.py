@@ -79,6 +79,36 @@ def test_sheets_with_other_layouts(spark, tmp_path, rows):
     assert [r["sheet"].rsplit("/", 1)[-1] for r in bad.collect()] == ["bad.csv"]
 
 
+def test_records_with_line_breaks(spark, tmp_path, rows):
+    put(tmp_path / "u" / "a.csv", 'user_id,shipping_city,locale\n1,"Mont\nreal",fr\n2,"A, ""B""\n\nC ""x"", y",en\n3,5" pan,de\n4,"q",en\n'
+                                  '5,"\n","a\nb"\n')
+    put(tmp_path / "u" / "plain.csv", 'locale,user_id,shipping_city\nde,6,"Bonn, Rh"\n"",7,""\n')
+    put(tmp_path / "u" / "torn.csv", 'user_id,shipping_city,locale\n8,Rome,it\n9,"Oslo,no\n10,Bern,ch\n')
+    put(tmp_path / "u" / "long.csv", 'user_id,shipping_city,locale\n11,"' + "x\n" * 1200 + 'y",it\n')
+    good, bad = delimited.read_mixed(spark, str(tmp_path / "u"), ["user_id", "shipping_city", "locale"], ["user_id"])
+    assert rows(good, "user_id", "shipping_city", "locale") == [
+        ("1", "Mont\nreal", "fr"), ("2", 'A, "B"\n\nC "x", y', "en"), ("3", '5" pan', "de"), ("4", "q", "en"),
+        ("5", "\n", "a\nb"), ("6", "Bonn, Rh", "de"), ("7", None, None)]
+    assert sorted(r["sheet"].rsplit("/", 1)[-1] for r in bad.collect()) == ["long.csv", "torn.csv"]
+
+
+def test_records_over_parts_of_a_file(spark, tmp_path, rows):
+    """Parts of 64 bytes: records, and whole runs of their lines, cross them."""
+    cell = lambda i: "\n".join(f"w{i}-{j}" for j in range(i % 9 * 3))
+    put(tmp_path / "u" / "a.csv", "user_id,shipping_city\n" + "".join(f'{i},"{cell(i)}"\n' for i in range(60)))
+    sizes = {"spark.sql.files.maxPartitionBytes": "64", "spark.sql.files.openCostInBytes": "1"}
+    before = {key: spark.conf.get(key) for key in sizes}
+    try:
+        for key, value in sizes.items():
+            spark.conf.set(key, value)
+        good, bad = delimited.read_mixed(spark, str(tmp_path / "u"), ["user_id", "shipping_city"], ["user_id"])
+        found, left = rows(good, "user_id", "shipping_city"), bad.count()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert left == 0 and sorted(found, key=lambda r: int(r[0])) == [(str(i), cell(i) or None) for i in range(60)]
+
+
 def test_rows_that_do_not_fit(spark, tmp_path, rows):
     path = put(tmp_path / "x.csv", 'id,score\n1,2.5\n2,n/a\n"3",4,5\n')
     schema = spark.createDataFrame([], "id bigint, score double").schema
