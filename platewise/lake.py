@@ -26,6 +26,7 @@ from platewise.operators.text_index import build_text_index, read_text_index, se
 from platewise.operators.views import PAGE, RECENT, recent_by_user, with_names
 from platewise.session import materialize, use_utc
 from platewise.sources.delimited import project_sheets, read_mixed, read_sheets
+from platewise.sources.snapshots import read_snapshot, rows_if_any, take_snapshot
 from platewise.sources.sorted_tables import FILE_ROWS, lookup_sorted, page_sorted, write_sorted
 from platewise.sources.tables import absent_rows, batches_if_any, latest_of, read_batches, replace_batches, write_batch
 from platewise.streaming.ingest import start_batches, stream_parquet
@@ -137,9 +138,23 @@ def release_events(spark: SparkSession, root: str, batch: int) -> None:
     replace_batches(left, f"{root}/waiting", touched)
 
 
-def _event_batches(spark: SparkSession, root: str) -> DataFrame | None:
-    """Resolved events of all batches; a released one counts as of the batch it came in."""
-    direct, released = (batches_if_any(spark, f"{root}/{name}") for name in ("interactions", "released"))
+def fold(spark: SparkSession, root: str, events: int | None = None, users: int | None = None) -> None:
+    """Fold the events and users of the batches up to these into snapshots, which later reads start from.
+
+    Loads go on as before, also of released events; a folded batch that runs again must bring what it brought. Reads by
+    ``last_write_wins`` need the older events too and leave the snapshot of events aside.
+    """
+    if events is not None:
+        take_snapshot(spark, f"{root}/interactions", events, PAIR, "created_at", TIES)
+    if users is not None:
+        take_snapshot(spark, f"{root}/users", users, ["user_id"], "created_at", [], last_write_wins=True)
+
+
+def _event_batches(spark: SparkSession, root: str, folded: bool = True) -> DataFrame | None:
+    """Resolved events of all batches; a released one counts as of the batch it came in. ``folded``: those that a snapshot holds
+    only as far as they are the newest of their pair."""
+    direct = (rows_if_any if folded else batches_if_any)(spark, f"{root}/interactions")
+    released = batches_if_any(spark, f"{root}/released")
     if released is not None:
         released = released.drop("batch").withColumnRenamed("event_batch", "batch")
     if direct is None or released is None:
@@ -186,11 +201,11 @@ def ingredients(spark: SparkSession, root: str) -> DataFrame:
 
 
 def users(spark: SparkSession, root: str) -> DataFrame:
-    return top_per_key(read_batches(spark, f"{root}/users"), ["user_id"], [F.desc("batch")], 1).drop("batch")
+    return read_snapshot(spark, f"{root}/users", ["user_id"], "created_at", [], last_write_wins=True)
 
 
 def interactions(spark: SparkSession, root: str, last_write_wins: bool = False) -> DataFrame:
-    latest = latest_of(_event_batches(spark, root), PAIR, "created_at", TIES, last_write_wins)
+    latest = latest_of(_event_batches(spark, root, not last_write_wins), PAIR, "created_at", TIES, last_write_wins)
     return latest.select(*INTERACTIONS_TABLE.fieldNames())
 
 

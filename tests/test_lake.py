@@ -65,6 +65,44 @@ def test_later_batches(spark, root, tmp_path, rows):
     assert most_popular(lake.interactions(spark, root)).first()["item_id"] == "10"
 
 
+def test_reads_start_from_snapshots(spark, tmp_path, rows, root):
+    """Folded events and users, later batches, a replay and events released after the fold read like all batches."""
+    tables = str(tmp_path / "t")
+    enrich = lambda m: enrich_with_model(m, lambda batch: ["{}"] * len(batch))
+    put(tmp_path / "a" / "a.csv", SHEET)
+    put(tmp_path / "b" / "b.csv", SHEET.replace("12,Pork stew", "77,Pie"))
+    put(tmp_path / "choice" / "c.csv", "user_id,menu_item_id,manual,created_at\n")
+    days = ["2024-05-06", "2024-01-01", "2024-06-01", "2024-03-01"]
+
+    def batch(n):
+        put(tmp_path / f"r{n}" / "r.csv", "user_id,menu_item_id,rating,date\n" + "".join(
+            f"{u},{m},{(u + n) % 5 + 1},{days[n]}\n" for u in range(3) for m in (10, 11, 77)))
+        put(tmp_path / f"u{n}" / "u.csv", f"user_id,shipping_city,created_at\n1,City{n},{days[n]}\n{n + 5},Rome,{days[n]}\n")
+        lake.load_events(spark, tables, str(tmp_path / f"r{n}"), str(tmp_path / "choice"), n)
+        lake.load_users(spark, tables, str(tmp_path / f"u{n}"), n)
+
+    def check():
+        whole = lake.latest_of(lake._event_batches(spark, tables, False), lake.PAIR, "created_at", lake.TIES)
+        assert rows(lake.interactions(spark, tables)) == rows(whole.select(*lake.INTERACTIONS_TABLE.fieldNames()))
+        written = lake.latest_of(lake._event_batches(spark, tables, False), lake.PAIR, "created_at", lake.TIES, True)
+        assert rows(lake.interactions(spark, tables, True)) == rows(written.select(*lake.INTERACTIONS_TABLE.fieldNames()))
+        last = lake.top_per_key(lake.read_batches(spark, f"{tables}/users"), ["user_id"], [lake.F.desc("batch")], 1).drop("batch")
+        assert rows(lake.users(spark, tables)) == rows(last)
+
+    lake.load_menus(spark, tables, str(tmp_path / "a"), enrich, 0)
+    for n in range(3):
+        batch(n)
+    lake.fold(spark, tables, events=1, users=1)
+    check()
+    batch(1)  # a replay of a folded batch
+    lake.load_menus(spark, tables, str(tmp_path / "b"), enrich, 1)  # releases events of batches 0 to 2
+    check()
+    assert rows(lake.interactions(spark, tables).where("item_id = '77'"), "user_id") == [("0",), ("1",), ("2",)]
+    lake.fold(spark, tables, events=2, users=2)
+    batch(3)
+    check()
+
+
 def test_search(spark, root):
     lake.index_menus(spark, root)
     queries = spark.createDataFrame([("q", "stew,PORK")], "query_id string, text string")
