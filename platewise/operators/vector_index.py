@@ -24,6 +24,8 @@ TRIED_QUERIES = 256      # sample vectors whose neighbours say how many lists a
 LEAST_PROBES = 8         # lists that a search opens at least: queries may lie farther off than the sample
 PART_ROWS = 32_768       # vectors of one part of a list, about
 QUERY_ROWS = 4_096       # queries that one part of a list meets at a time, about
+CELLS = 1 << 19          # numbers of one product of rows and centres: 4 MB, however many lists there are
+PROBE_ROWS = 8_192       # rows of one batch of opened lists: a query opens many lists, each with its vector
 NO_LIST = -1             # vectors without a direction (all zeros) stand in no list: their score is always 0
 LISTS = "list int, centroid array<double>, radius double, rows bigint, parts int"
 ENTRIES = "id string, name string, list int, part int, distance double, codes binary"
@@ -130,8 +132,17 @@ def _nearest(unit: np.ndarray, centroids: np.ndarray) -> tuple[np.ndarray, np.nd
     """Number and distance of the nearest centroid of each row."""
     if not len(centroids):
         return np.full(len(unit), NO_LIST), np.zeros(len(unit))
-    where = np.argmin((centroids ** 2).sum(axis=1) - 2 * unit @ centroids.T, axis=1)
-    return where, np.linalg.norm(unit - centroids[where], axis=1)
+    squares, where, distance = (centroids ** 2).sum(axis=1), np.zeros(len(unit), np.int64), np.zeros(len(unit))
+    for some in _pieces(len(unit), len(centroids)):
+        where[some] = np.argmin(squares - 2 * unit[some] @ centroids.T, axis=1)
+        distance[some] = np.linalg.norm(unit[some] - centroids[where[some]], axis=1)
+    return where, distance
+
+
+def _pieces(rows: int, width: int) -> list[slice]:
+    """Slices of rows whose products with ``width`` centres hold about CELLS numbers."""
+    step = max(1, CELLS // max(1, width))
+    return [slice(a, min(a + step, rows)) for a in range(0, rows, step)]
 
 
 def _probes_needed(sample: DataFrame, centroids: np.ndarray, recall: float, asked: int = TRIED_QUERIES, k: int = TOP_K) -> int:
@@ -230,15 +241,18 @@ def _probes(asked: DataFrame, index: VectorIndex, choose: Callable, extra: str =
 
     def probe(batches):
         numbers, centroids, radii = held.value
+        squares, columns = (centroids ** 2).sum(axis=-1), ["query_id", "unit", *extra.split()]
         for batch in batches:
-            if batch.num_rows and len(numbers):
-                unit = matrix_of(batch.column("unit"))
-                gaps = np.sqrt(np.maximum((unit ** 2).sum(axis=1)[:, None] + (centroids ** 2).sum(axis=1) - 2 * unit @ centroids.T, 0))
-                row, at = np.nonzero(choose(gaps, radii, np.asarray(batch.column("sized")), batch))
-                some = batch.take(pa.array(row))
-                columns = ["query_id", "unit", *extra.split()]
-                yield pa.RecordBatch.from_arrays(
-                    [*[some.column(c) for c in columns], pa.array(numbers[at]), pa.array(gaps[row, at])], [*columns, "list", "gap"])
+            for piece in _pieces(batch.num_rows, len(numbers)) if len(numbers) else ():
+                part = batch.slice(piece.start, piece.stop - piece.start)
+                unit = matrix_of(part.column("unit"))
+                gaps = np.sqrt(np.maximum((unit ** 2).sum(axis=1)[:, None] + squares - 2 * unit @ centroids.T, 0))
+                row, at = np.nonzero(choose(gaps, radii, np.asarray(part.column("sized")), part))
+                for first in range(0, len(row), PROBE_ROWS):
+                    one, to = row[first:first + PROBE_ROWS], at[first:first + PROBE_ROWS]
+                    some = part.take(pa.array(one))
+                    yield pa.RecordBatch.from_arrays(
+                        [*[some.column(c) for c in columns], pa.array(numbers[to]), pa.array(gaps[one, to])], [*columns, "list", "gap"])
 
     more = "".join(f", {name} double" for name in extra.split())
     return asked.mapInArrow(probe, f"query_id string, unit array<double>{more}, list int, gap double")

@@ -1,6 +1,10 @@
 """The vector index: exact search with bounds equals brute force, approximate search reaches its recall."""
 
+import tracemalloc
+from types import SimpleNamespace
+
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.errors import PythonException
 from pyspark.sql import functions as F
@@ -79,3 +83,25 @@ def test_small_and_odd_tables(spark):
     longer = records.unionByName(records.limit(1).withColumn("vector", F.array(F.lit(1.0).cast("float"))))
     with pytest.raises(PythonException, match="unequal length"):
         S.knn(longer.coalesce(1), queries).collect()
+
+
+def test_memory_of_products_does_not_grow_with_lists_or_opened_lists(spark):
+    rng = np.random.default_rng(2)
+    unit, centres = rng.normal(size=(20_000, 8)), rng.normal(size=(500, 8))
+    tracemalloc.start()
+    where, distance = V._nearest(unit, centres)
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert peak < 4 * 8 * V.CELLS  # the whole product is 80 MB
+    assert all(where[i] == np.argmin(((unit[i] - centres) ** 2).sum(axis=1)) for i in range(0, 20_000, 500))
+    assert np.allclose(distance, np.linalg.norm(unit - centres[where], axis=1))
+    # Every query opens every list: 200 x 500 rows, but never in one batch.
+    lists = spark.createDataFrame([(i, c.tolist(), 1.0, 1, 1) for i, c in enumerate(centres)], V.LISTS)
+    queries = SimpleNamespace(sparkSession=spark, mapInArrow=lambda probe, schema: probe)
+    probe = V._probes(queries, V.VectorIndex(lists, None, None, None, 1), lambda gaps, *rest: np.full(gaps.shape, True))
+    batch = pa.RecordBatch.from_arrays([pa.array([str(i) for i in range(200)]), pa.array(list(unit[:200])), pa.array([True] * 200)],
+                                       ["query_id", "unit", "sized"])
+    found = list(probe([batch]))
+    assert max(b.num_rows for b in found) <= V.PROBE_ROWS
+    opened = pa.Table.from_batches(found)
+    assert opened.num_rows == 200 * 500 == len(set(zip(opened["query_id"].to_pylist(), opened["list"].to_pylist())))
