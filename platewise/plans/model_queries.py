@@ -33,8 +33,8 @@ def text_index(t: Tables, name: str = "source") -> texts.TextIndex:
 @query
 def embed_passages(t: Tables) -> DataFrame:
     """Weighted terms of every document, unit length."""
-    weights = text_index(t).postings.select(F.col("id").cast("bigint").alias("doc_id"), "dim", "weight")
-    return texts.vector_text(weights, "doc_id")
+    vectors = text_index(t).vectors.select(F.col("id").cast("bigint").alias("doc_id"), "dims", "weights")
+    return texts.vector_text(vectors, "doc_id")
 
 
 @query

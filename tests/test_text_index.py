@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from platewise.operators import text_index as T
 from platewise.session import scratch_dir
@@ -78,3 +79,38 @@ def test_no_passages_and_common_terms(spark):
     assert T.search_index(T.build_text_index(empty, scratch_dir(spark, "texts")), asked).count() == 0
     same = spark.createDataFrame([(1, "leek", "x"), (2, "leek", "y")], "id int, text string, name string")
     assert T.search_index(T.build_text_index(same, scratch_dir(spark, "texts")), asked).count() == 0  # in every passage: no weight
+
+
+def test_build_shuffles_no_terms_of_texts_but_the_postings(spark):
+    """Terms are counted and weighed in their row; only repeated ids, and the postings, meet in a shuffle."""
+    rows = [(str(i), f"n{i}", f"w{i % 7} w{i % 5} w{i % 5} x{i}") for i in range(300)]
+    frame = spark.createDataFrame(rows, "id string, name string, text string").repartition(3)
+    repeated = spark.createDataFrame([("7", "n7", "w1 more"), (None, "n", "w1"), (None, "n", "w2")], frame.schema)
+    none = frame.limit(0).select("id")
+    plan = T._counted(frame.select("id", "text"), none)._jdf.queryExecution().executedPlan().toString()
+    assert "Aggregate" not in plan and "Exchange hashpartitioning" not in plan
+    for passages in (frame, frame.union(repeated)):
+        known = passages.groupBy("id").agg(F.count(F.lit(1)).alias("texts"))
+        got = T._counted(passages.select("id", "text"), known.where("texts > 1")).select("id", F.explode(F.arrays_zip("dims", "ns")).alias("e"))
+        want = T.term_counts(passages, "id").select("id", "dim", F.col("n").cast("int").alias("n"))
+        assert sorted(map(str, got.select("id", "e.dims", "e.ns").collect())) == [
+            r.replace("dim=", "dims=").replace("n=", "ns=") for r in sorted(map(str, want.collect()))]
+    index = T.build_text_index(frame.union(repeated), scratch_dir(spark, "texts"))
+    flat = index.vectors.select("id", "block", F.inline(F.arrays_zip("dims", "weights"))).collect()
+    assert sorted((r["id"], r["block"], r["dims"], r["weights"]) for r in flat) == sorted(
+        (r["id"], r["block"], r["dim"], r["weight"]) for r in index.postings.collect())
+    top = {}
+    for r in index.postings.collect():
+        top[r["dim"], r["block"]] = max(top.get((r["dim"], r["block"]), 0), r["weight"])
+    assert {(r["dim"], r["block"]): r["top"] for r in index.maxima.collect()} == top
+
+
+@pytest.mark.parametrize("cells", [1, 7, T.CELLS])
+def test_few_and_many_queries_give_the_same_hits(spark, monkeypatch, cells):
+    texts = [(str(i), f"n{i}", f"w{i % 7} w{i % 11} w{i % 5} x{i // 3}") for i in range(400)]
+    index = T.build_text_index(spark.createDataFrame(texts, "id string, name string, text string"), scratch_dir(spark, "texts"))
+    asked = spark.createDataFrame([(f"q{i}", f"w{i % 7} x{i} w{i % 5}") for i in range(40)], "query_id string, text string")
+    monkeypatch.setattr(T, "CELLS", cells)
+    shared = sorted(map(tuple, T.search_index(index, asked).collect()))
+    monkeypatch.setattr(T, "MAX_CHOSEN", 0)
+    assert shared == sorted(map(tuple, T.search_index(index, asked).collect())) and len(shared) == 200
