@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F,
 
 from platewise.contracts import CHOICE_COLUMNS, RATING_COLUMNS, USER_COLUMNS, keep_columns, require_columns
 from platewise.functions.scalars import not_blank
-from platewise.operators.dedup import top_per_key
 from platewise.operators.joins import lookup_join
 from platewise.session import materialize
 
@@ -150,6 +149,23 @@ def whole_records(lines: DataFrame, sep: str = ",") -> DataFrame:
     return calm.withColumn("torn", F.lit(False)).select(*kept).unionByName(states.where(alone).select(*kept)).unionByName(whole.select(*kept))
 
 
+def _heads(lines: DataFrame, names: list[str]) -> DataFrame:
+    """The first lines of each file, one column each, and the place of the last of them.
+
+    The places are least numbers per file, and the lines are fetched by them: a task holds one number for each of its files, where
+    ranking the lines would sort all of a part.
+    """
+    places = materialize(lines.groupBy("sheet").agg(F.min("at").alias(names[0])), "places")
+    for before, name in zip(names, names[1:]):
+        later = lookup_join(lines.select("sheet", "at"), places.select("sheet", before), "sheet", stored=True).where(F.col("at") > F.col(before))
+        places = materialize(places.join(later.groupBy("sheet").agg(F.min("at").alias(name)), "sheet", "left"), "places")
+    top = lookup_join(lines.select("sheet", "at", "line"), places.select("sheet", F.array(*names).alias("_places")), "sheet").where(
+        F.array_contains("_places", F.col("at")))
+    return materialize(top.groupBy("sheet").agg(
+        *[F.max(F.when(F.col("at") == F.col("_places")[n], F.col("line"))).alias(name) for n, name in enumerate(names)],
+        F.max("at").alias("last")), "heads")
+
+
 def rows_by_header(lines: DataFrame, sep: str = ",", header_rows: int = 1) -> DataFrame:
     """Rows of delimited files, out of numbered lines, each under its own header:
     ``(sheet, at, header, cells)``.
@@ -159,11 +175,8 @@ def rows_by_header(lines: DataFrame, sep: str = ",", header_rows: int = 1) -> Da
     that is never closed has an empty header, so that it is set aside.
     """
     lines = whole_records(lines, sep)
-    top = top_per_key(lines.where(F.col("start") == 0), ["sheet"], ["at"], header_rows, "n")
     names = [f"line{n}" for n in range(1, header_rows + 1)]
-    heads = materialize(top.groupBy("sheet").agg(
-        *[F.max(F.when(F.col("n") == n, F.col("line"))).alias(name) for n, name in enumerate(names, 1)],
-        F.max("at").alias("last")), "heads")
+    heads = _heads(lines.where(F.col("start") == 0), names)
 
     def written(line: str) -> Column:
         return F.coalesce(F.size(F.split(line, _literal(sep))), F.lit(0))

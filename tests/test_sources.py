@@ -206,3 +206,24 @@ def test_a_data_line_that_equals_the_header_stays(spark, tmp_path, rows):
     (tmp_path / "a.csv").write_text("x,y\n1,2\nx,y\n")
     found, _ = delimited.read_mixed(spark, str(tmp_path), ["x", "y"])
     assert rows(found, "x", "y") == [("1", "2"), ("x", "y")]
+
+
+@pytest.mark.parametrize("header_rows", [1, 2])
+def test_headers_are_found_without_ranking_all_lines(spark, monkeypatch, header_rows):
+    lines = [(f"f{f}", 0, 10 * f + n, None if (f, n) == (3, 0) else f"line {f} {n}") for f in range(6) for n in range(1 if f == 2 else 4)]
+    frame = spark.createDataFrame(lines, "sheet string, start long, at long, line string").repartition(3)
+    plans, store = [], delimited.materialize
+
+    def noted(df, label):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return store(df, label)
+
+    monkeypatch.setattr(delimited, "materialize", noted)
+    found = delimited.rows_by_header(frame, header_rows=header_rows)
+    assert plans and not any("Window" in plan for plan in plans)
+    heads = {r["sheet"]: r for r in delimited._heads(frame, ["line1", "line2"][:header_rows]).collect()}
+    for f in range(6):
+        assert heads[f"f{f}"]["line1"] == (None if f == 3 else f"line {f} 0")
+        assert heads[f"f{f}"]["last"] == 10 * f + (0 if f == 2 else header_rows - 1)
+        assert header_rows == 1 or heads[f"f{f}"]["line2"] == (None if f == 2 else f"line {f} 1")
+    assert found.count() == 5 * (4 - header_rows)
