@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame, functions as F
 
-from platewise.llm.common import LOWER, SPACE, hash52, joined_bytes, ragged, shared, text_chunks
+from platewise.llm.common import LOWER, SPACE, hash52, joined_bytes, shared, text_chunks
 
 BUCKETS = 1 << 15
 GRAMS = (2, 3, 4)  # bytes of a subword; white space marks the ends of words
@@ -107,10 +107,24 @@ def _sample_features(batches):
             buckets, docs = subwords(raw, offsets)
             pairs, counts = np.unique(docs.astype(np.int64) * BUCKETS + buckets, return_counts=True)
             bounds = np.searchsorted(pairs, np.arange(b - a + 1, dtype=np.int64) * BUCKETS)
+            buckets = (pairs % BUCKETS).astype(np.uint16)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("label").slice(a, b - a), batch.column("place").slice(a, b - a),
-                 ragged((pairs % BUCKETS).astype(np.int32), bounds), ragged(counts.astype(np.float32), bounds)],
-                ["label", "place", "buckets", "counts"])
+                 pa.array([packed(buckets[i:j], counts[i:j]) for i, j in zip(bounds, bounds[1:])], pa.binary())],
+                ["label", "place", "bag"])
+
+
+def packed(buckets: np.ndarray, counts: np.ndarray) -> bytes:
+    """A document's distinct buckets and their counts: two bytes a bucket, and one a count where none is above 255."""
+    small = int(counts.max(initial=0) < 256)
+    return bytes([small]) + buckets.tobytes() + counts.astype(np.uint8 if small else np.float32).tobytes()
+
+
+def unpacked(bag: bytes) -> tuple[np.ndarray, np.ndarray]:
+    kind = np.uint8 if bag[0] else np.float32
+    n = (len(bag) - 1) // (2 + np.dtype(kind).itemsize)
+    return (np.frombuffer(bag, np.uint16, n, 1).astype(np.int32),
+            np.frombuffer(bag[1 + 2 * n:], kind, n).astype(np.float32))
 
 
 def train(docs: DataFrame, rows_per_label: int = 1500, text: str = "text", label: str = "lang", doc_id: str = "doc_id",
@@ -133,21 +147,26 @@ def train(docs: DataFrame, rows_per_label: int = 1500, text: str = "text", label
     share = F.create_map(*[x for r in sizes for x in (
         F.lit(r["label"]), F.lit(int(min(1.0, rows_per_label / r["count"]) * 2 ** 52)))])
     sample = rows.where(F.col("place") < share[F.col("label")]).mapInArrow(
-        _sample_features, "label string, place long, buckets array<int>, counts array<float>").toArrow()
-    sample = sample.take(pc.sort_indices(sample, [("place", "ascending"), ("label", "ascending")]))
+        _sample_features, "label string, place long, bag binary").toArrow()
+    order = pc.sort_indices(sample, [("place", "ascending"), ("label", "ascending")])
     labels = sorted({r["label"] for r in sizes})
-    return fit(labels, sample, dim, epochs, rate, reject_share, seed)
+    return fit(labels, sample, np.asarray(order), dim, epochs, rate, reject_share, seed)
 
 
-def fit(labels: list[str], sample: pa.Table, dim: int, epochs: int, rate: float, reject_share: float, seed: int) -> LanguageModel:
-    """Stochastic gradient descent, one document a step, with a falling rate."""
+def fit(labels: list[str], sample: pa.Table, order: np.ndarray, dim: int, epochs: int, rate: float, reject_share: float, seed: int) -> LanguageModel:
+    """Stochastic gradient descent, one document a step, with a falling rate. The sample's rows count in ``order``; it is
+    held packed, as it came, and never copied."""
     number = {x: i for i, x in enumerate(labels)}
-    y = np.array([number[x] for x in sample.column("label").to_pylist()])
-    lists = sample.column("buckets").combine_chunks()
-    bounds = np.asarray(lists.offsets, dtype=np.int64)
-    buckets = np.asarray(lists.flatten())
-    counts = np.asarray(sample.column("counts").combine_chunks().flatten())
-    keep = np.diff(bounds) > 0
+    y = np.array([number[x] for x in sample.column("label").to_pylist()])[order]
+    bags = sample.column("bag")
+    chunks = bags.chunks
+    starts = np.cumsum([0, *[len(c) for c in chunks]])
+
+    def raw(i: int) -> bytes:
+        chunk = int(np.searchsorted(starts, order[i], "right")) - 1
+        return chunks[chunk][int(order[i] - starts[chunk])].as_py()
+
+    keep = np.concatenate([np.asarray(pc.binary_length(c)) for c in chunks] or [np.zeros(0, int)])[order] > 1
     held = np.arange(len(y)) % 5 == 4
     rng = np.random.default_rng(seed)
     k = len(labels)
@@ -158,8 +177,8 @@ def fit(labels: list[str], sample: pa.Table, dim: int, epochs: int, rate: float,
     steps, done = max(1, epochs * len(rows)), 0
 
     def bag(i: int) -> tuple[np.ndarray, np.ndarray]:
-        share = counts[bounds[i]:bounds[i + 1]]
-        return buckets[bounds[i]:bounds[i + 1]], share / share.sum()  # a document's buckets are distinct
+        buckets, share = unpacked(raw(i))
+        return buckets, share / share.sum()  # a document's buckets are distinct
 
     for _ in range(epochs):
         for i in rng.permutation(rows):

@@ -116,3 +116,21 @@ def test_quality_of_held_out_rows(spark, documents):
     assert np.mean([(r["score"] >= 0.3) == (r["quality"] == 1) for r in rows]) >= 0.95
     empty = quality.with_statistics(spark.createDataFrame([(1, None), (2, "")], "doc_id long, text string"))
     assert [r["score"] for r in quality.score(empty, quality.train(empty, labels.limit(0))).collect()] == [0.5, 0.5]
+
+
+def test_language_sample_reaches_the_driver_packed(spark, monkeypatch):
+    """Three bytes for each distinct subword of a sampled text, not eight; counts above 255 are kept."""
+    seen, fit = [], langid.fit
+    monkeypatch.setattr(langid, "fit", lambda labels, sample, *rest: seen.append(sample) or fit(labels, sample, *rest))
+    texts = [f"word{i} and another{i * 7} of many{i * 31}" for i in range(200)] + ["ab" * 2000]
+    docs = spark.createDataFrame([(i, t, "ab"[i % 2]) for i, t in enumerate(texts)], "doc_id long, text string, lang string")
+    assert langid.train(docs).labels == ["a", "b"]
+    pairs = 0
+    for text in texts:
+        raw = np.frombuffer(text.encode(), np.uint8)
+        pairs += len(set(langid.subwords(raw, np.array([0, len(raw)]))[0].tolist()))
+    assert seen[0].nbytes < 4 * pairs + 40 * len(texts)
+    for counts in ([], [1, 255], [1, 256, 70_000]):
+        buckets = np.arange(len(counts), dtype=np.uint16) + np.uint16(langid.BUCKETS - 5)
+        got = langid.unpacked(langid.packed(buckets, np.array(counts, np.int64)))
+        assert got[0].tolist() == buckets.tolist() and got[1].tolist() == counts
