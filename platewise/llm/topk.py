@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F, Window as W
 
 from platewise.llm.common import materialize
 
-VECTORS = 4096  # vectors of an index block
+VECTORS = 16_384  # vectors of an index block: a walk over segments costs little more for more vectors
 QUERIES = 256  # queries of a query block
 LEVELS = 16  # levels of quantised impact per dimension
 CHECKS = 16  # tests of the stopping proof over all segments
