@@ -17,6 +17,7 @@ LEAF = 32  # sets of a leaf
 FIRST = 16  # roots of a set that say whether a pair met below an earlier root
 STARS = 3  # centres that a set is compared with at a time
 FEW = 50  # other centres are drawn while they link more than one in so many sets below tall roots
+TRIES = 4  # pairs that stand for two classes at first: one link makes the classes one, so the others need no look then
 MAX_FETCH = 200_000  # sets whose ids (24 bytes each) are broadcast to fetch their texts; more are joined by a shuffle
 
 
@@ -204,8 +205,9 @@ def _mixed(members: DataFrame, classes: DataFrame) -> DataFrame:
     return stored
 
 
-def _open_sets(share: int):
-    """The pairs of sets of two open leaves that may link, by their bitmaps; both leaves of a row may be one."""
+def _open_sets(share: int, tries: int):
+    """The pairs of sets of two open leaves that may link, by their bitmaps, with their classes; both leaves of a row may be one.
+    Of a row's pairs between the same two classes ``tries`` stand for all, and ``more`` marks that there are others."""
     def side(batch, name):
         lists = [batch.column(f"{name}_{part}") for part in ("node", "n", "place", "class", "bitmap")]
         return [(np.asarray(column.flatten()), np.asarray(column.offsets) - column.offsets[0].as_py()) for column in lists]
@@ -246,7 +248,17 @@ def _open_sets(share: int):
                         np.arange(FIRST)[None, :] < np.minimum(root_sizes(nb[j[some]], share), FIRST)[:, None])[:, None, :]
                     met[some] = (in_y.any(axis=2) & before & real).any(axis=1)
                 i, j = i[~met], j[~met]
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a[i], b[j])), pa.array(np.maximum(a[i], b[j]))], ["a", "b"])
+                if not len(i):
+                    continue
+                low, high = np.minimum(ca[i], cb[j]), np.maximum(ca[i], cb[j])
+                _, group, sizes = np.unique(np.stack([low, high]), axis=1, return_inverse=True, return_counts=True)
+                order = np.argsort(group.ravel(), kind="stable")
+                place = np.empty(len(order), np.int64)
+                place[order] = np.arange(len(order)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+                kept = place < tries
+                i, j, low, high, more = i[kept], j[kept], low[kept], high[kept], (sizes > tries)[group.ravel()][kept]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(x) for x in (np.minimum(a[i], b[j]), np.maximum(a[i], b[j]), low, high, more)], ["a", "b", "low", "high", "more"])
     return run
 
 
@@ -267,6 +279,64 @@ def _verified(pairs: DataFrame, source: DataFrame, sets: DataFrame, k: int, shar
     return links
 
 
+def _open_pairs(placed_mixed: DataFrame, sets: DataFrame, a_maps: DataFrame, b_maps: DataFrame, share: int, tries: int) -> DataFrame:
+    """Pairs (a, b) of sets in the classes ``low`` and ``high`` that may link: about ``tries`` for two classes, from the roots over
+    more than one class. ``more`` or a ``place`` above ``tries`` marks classes with pairs that are not listed."""
+    # A root of few sets is a leaf itself.
+    tall = placed_mixed.where("tall")
+    x, y = placed_mixed.where("not tall").alias("x"), placed_mixed.where("not tall").alias("y")
+    low_pairs = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.node") < F.col("y.node")) & (
+        F.col("x.class") != F.col("y.class")) & _in_reach("x.", "y.", share)).select(
+        F.col("x.node").alias("a"), F.col("y.node").alias("b"), F.least("x.class", "y.class").alias("low"),
+        F.greatest("x.class", "y.class").alias("high"), F.lit(False).alias("more"))
+
+    room = F.col("n") - F.col("place")
+    tall = tall.withColumn("inner", _needed(F.col("n"), F.col("n"), share) <= room)
+    # Leaves of one class where a class is large, else of a few classes: pairs of one class are never opened.
+    crowd = tall.groupBy("token", "band", "inner").agg(F.ceil(F.count(F.lit(1)) / LEAF).alias("leaves"))
+    own = tall.groupBy("token", "band", "inner", "class").agg(F.ceil(F.count(F.lit(1)) / LEAF).alias("parts"))
+    leaf = F.when(F.col("parts") > 1, F.xxhash64("class", F.pmod(F.xxhash64("node"), F.col("parts")))).otherwise(
+        F.pmod(F.xxhash64("class"), F.col("leaves")))
+    leaves = materialize(tall.join(crowd, ["token", "band", "inner"]).join(
+        own, ["token", "band", "inner", "class"]).withColumn("leaf", leaf).join(
+        sets.select("node", "bitmap", "fine", "hidden", F.slice("roots", 1, FIRST).alias("first")), "node").drop(
+        "leaves", "parts"), "leaves")
+    tree = materialize(leaves.groupBy("token", "band", "inner", "leaf").agg(
+        F.min("n").alias("least"), F.max("n").alias("most"), F.min("class").alias("low"), F.max("class").alias("high"),
+        F.max(room).alias("room"), F.max("hidden").alias("hidden"),
+        F.array(*[F.bit_or(F.col("bitmap")[i]) for i in range(PARTS)]).alias("bitmap")), "tree")
+    x, y = tree.alias("x"), tree.alias("y")
+    later = F.struct("y.band", "y.inner", "y.leaf") >= F.struct("x.band", "x.inner", "x.leaf")
+    open_ = x.join(y, (F.col("x.token") == F.col("y.token")) & later & (F.col("y.band") - F.col("x.band") <= 1)
+                   & nodes_may_link("x", "y", share)).select(
+        F.col("x.token").alias("token"), F.col("x.band").alias("xb"), F.col("x.inner").alias("xi"),
+        F.col("x.leaf").alias("xl"), F.col("y.band").alias("yb"), F.col("y.inner").alias("yi"), F.col("y.leaf").alias("yl"))
+    # A stored tree is small, so one task may read it: node pairs are dealt to many before their sets are opened.
+    open_ = open_.repartition(int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions")), "token", "xb", "xi", "xl", "yb", "yi", "yl")
+    # A leaf's sets as one row, so that open node pairs bring no more rows; the pairs of their sets are compared inside.
+    one = F.struct("node", "n", "place", "class", "bitmap", F.transform(
+        F.sequence(F.lit(1), F.lit(FIRST)), lambda i: F.coalesce(F.try_element_at("first", i), F.lit(0).cast("long"))).alias("first"))
+    packed = materialize(leaves.groupBy("token", "band", "inner", "leaf").agg(F.collect_list(one).alias("sets")), "packed")
+
+    def named(name: str) -> DataFrame:
+        flat = [F.col(f"sets.{part}").alias(f"{name}_{part}") for part in ("node", "n", "place", "class")]
+        flat += [F.flatten(f"sets.{part}").alias(f"{name}_{part}") for part in ("bitmap", "first")]
+        return packed.select("token", *[F.col(c).alias(f"{name}{c[0]}") for c in ("band", "inner", "leaf")], *flat)
+
+    parts = ("node", "n", "place", "class", "bitmap", "first")
+    pairs = open_.join(named("x"), ["token", "xb", "xi", "xl"]).join(named("y"), ["token", "yb", "yi", "yl"]).select(
+        "token", *[f"{name}_{part}" for name in "xy" for part in parts]).mapInArrow(
+        _open_sets(share, tries), "a long, b long, low long, high long, more boolean")
+    # Of all pairs between the same two classes a few are tried, too: those over are marked and looked at again, if need be.
+    pairs = pairs.unionByName(low_pairs).groupBy("a", "b", "low", "high").agg(F.max("more").alias("more"))
+    pairs = pairs.join(a_maps, "a").join(b_maps, "b").withColumn("may", sets_may_link("x", "y", share)).where("may or more")
+    place = F.row_number().over(W.partitionBy("low", "high").orderBy("a", "b"))
+    pairs = pairs.select("a", "b", "low", "high", "more", "may").withColumn("place", place).where(F.col("place") <= tries + 1)
+    stored = materialize(pairs, "tried")
+    discard(leaves, tree, packed)
+    return stored
+
+
 def jaccard_classes(docs: DataFrame, k: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Link documents whose k-word shingle sets have a Jaccard similarity of at least ``percent``: doc_id, n_shingles,
     component_id (the smallest doc_id reachable by links).
@@ -337,70 +407,40 @@ def jaccard_classes(docs: DataFrame, k: int = 5, percent: int = 80, doc_id: str
         if n_more * FEW < n_tall:
             break  # the classes as placed are still true, only some are one by now
         discard(placed_mixed)
-    discard(members)
-    # A root of few sets is a leaf itself.
-    x, y = placed_mixed.where("not tall").alias("x"), placed_mixed.where("not tall").alias("y")
-    low_pairs = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.node") < F.col("y.node")) & (
-        F.col("x.class") != F.col("y.class")) & _in_reach("x.", "y.", percent)).select(
-        F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
-
-    room = F.col("n") - F.col("place")
-    tall = tall.withColumn("inner", _needed(F.col("n"), F.col("n"), percent) <= room)
-    # Leaves of one class where a class is large, else of a few classes: pairs of one class are never opened.
-    crowd = tall.groupBy("token", "band", "inner").agg(F.ceil(F.count(F.lit(1)) / LEAF).alias("leaves"))
-    own = tall.groupBy("token", "band", "inner", "class").agg(F.ceil(F.count(F.lit(1)) / LEAF).alias("parts"))
-    leaf = F.when(F.col("parts") > 1, F.xxhash64("class", F.pmod(F.xxhash64("node"), F.col("parts")))).otherwise(
-        F.pmod(F.xxhash64("class"), F.col("leaves")))
-    leaves = materialize(tall.join(crowd, ["token", "band", "inner"]).join(
-        own, ["token", "band", "inner", "class"]).withColumn("leaf", leaf).join(
-        sets.select("node", "bitmap", "fine", "hidden", F.slice("roots", 1, FIRST).alias("first")), "node").drop(
-        "leaves", "parts"), "leaves")
-    tree = materialize(leaves.groupBy("token", "band", "inner", "leaf").agg(
-        F.min("n").alias("least"), F.max("n").alias("most"), F.min("class").alias("low"), F.max("class").alias("high"),
-        F.max(room).alias("room"), F.max("hidden").alias("hidden"),
-        F.array(*[F.bit_or(F.col("bitmap")[i]) for i in range(PARTS)]).alias("bitmap")), "tree")
-    x, y = tree.alias("x"), tree.alias("y")
-    later = F.struct("y.band", "y.inner", "y.leaf") >= F.struct("x.band", "x.inner", "x.leaf")
-    open_ = x.join(y, (F.col("x.token") == F.col("y.token")) & later & (F.col("y.band") - F.col("x.band") <= 1)
-                   & nodes_may_link("x", "y", percent)).select(
-        F.col("x.token").alias("token"), F.col("x.band").alias("xb"), F.col("x.inner").alias("xi"),
-        F.col("x.leaf").alias("xl"), F.col("y.band").alias("yb"), F.col("y.inner").alias("yi"), F.col("y.leaf").alias("yl"))
-    # A stored tree is small, so one task may read it: node pairs are dealt to many before their sets are opened.
-    open_ = open_.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "token", "xb", "xi", "xl", "yb", "yi", "yl")
-    # A leaf's sets as one row, so that open node pairs bring no more rows; the pairs of their sets are compared inside.
-    one = F.struct("node", "n", "place", "class", "bitmap", F.transform(
-        F.sequence(F.lit(1), F.lit(FIRST)), lambda i: F.coalesce(F.try_element_at("first", i), F.lit(0).cast("long"))).alias("first"))
-    packed = materialize(leaves.groupBy("token", "band", "inner", "leaf").agg(F.collect_list(one).alias("sets")), "packed")
-
-    def named(name: str) -> DataFrame:
-        flat = [F.col(f"sets.{part}").alias(f"{name}_{part}") for part in ("node", "n", "place", "class")]
-        flat += [F.flatten(f"sets.{part}").alias(f"{name}_{part}") for part in ("bitmap", "first")]
-        return packed.select("token", *[F.col(c).alias(f"{name}{c[0]}") for c in ("band", "inner", "leaf")], *flat)
-
-    parts = ("node", "n", "place", "class", "bitmap", "first")
-    pairs = open_.join(named("x"), ["token", "xb", "xi", "xl"]).join(named("y"), ["token", "yb", "yi", "yl"]).select(
-        "token", *[f"{name}_{part}" for name in "xy" for part in parts]).mapInArrow(_open_sets(percent), "a long, b long")
-    pairs = pairs.unionByName(low_pairs).distinct().join(a_maps, "a").join(b_maps, "b").where(
-        sets_may_link("x", "y", percent)).select("a", "b")
-    open_pairs = materialize(pairs, "open-pairs")
-    discard(placed_mixed, leaves, tree, packed)
-    # A set is compared with its few partners of the smallest classes first: most pairs are one class after that.
-    partners = STARS
-    while not open_pairs.isEmpty():
-        one = classes.select(F.col("node").alias("a"), F.col("component").alias("ca"))
-        two = classes.select(F.col("node").alias("b"), F.col("component").alias("cb"))
-        apart = materialize(open_pairs.join(one, "a", "left").join(two, "b", "left").select(
-            "a", "b", F.coalesce("ca", "a").alias("ca"), F.coalesce("cb", "b").alias("cb")).where("ca <> cb"), "apart")
-        if apart.isEmpty():
-            discard(apart)
+    tries = TRIES
+    while True:
+        tried = _open_pairs(placed_mixed, sets, a_maps, b_maps, percent, tries)
+        discard(placed_mixed)
+        open_pairs = materialize(tried.where(F.col("may") & (F.col("place") <= tries)).select("a", "b"), "open-pairs")
+        # A set is compared with its few partners of the smallest classes first: most pairs are one class after that.
+        partners = STARS
+        while not open_pairs.isEmpty():
+            one = classes.select(F.col("node").alias("a"), F.col("component").alias("ca"))
+            two = classes.select(F.col("node").alias("b"), F.col("component").alias("cb"))
+            apart = materialize(open_pairs.join(one, "a", "left").join(two, "b", "left").select(
+                "a", "b", F.coalesce("ca", "a").alias("ca"), F.coalesce("cb", "b").alias("cb")).where("ca <> cb"), "apart")
+            if apart.isEmpty():
+                discard(apart)
+                break
+            place = F.row_number().over(W.partitionBy("b").orderBy("ca", "a"))
+            chosen = materialize(apart.withColumn("place", place).where(F.col("place") <= partners).select("a", "b"), "chosen")
+            rest = materialize(apart.select("a", "b").join(chosen, ["a", "b"], "left_anti"), "open-pairs")
+            links = links.unionByName(_verified(chosen, source, sets, k, percent))
+            classes = connected_components(links)
+            discard(open_pairs, apart, chosen)
+            open_pairs, partners = rest, partners * 4
+        # Classes with further pairs that no link has made one: they are looked at again, with more pairs.
+        unseen = tried.where(F.col("more") | (F.col("place") > tries)).select("low", "high").distinct()
+        one = classes.select(F.col("node").alias("low"), F.col("component").alias("cl"))
+        two = classes.select(F.col("node").alias("high"), F.col("component").alias("ch"))
+        done = unseen.join(one, "low", "left").join(two, "high", "left").where(
+            F.coalesce("cl", "low") != F.coalesce("ch", "high")).isEmpty()
+        discard(tried)
+        if done:
             break
-        place = F.row_number().over(W.partitionBy("b").orderBy("ca", "a"))
-        chosen = materialize(apart.withColumn("place", place).where(F.col("place") <= partners).select("a", "b"), "chosen")
-        rest = materialize(apart.select("a", "b").join(chosen, ["a", "b"], "left_anti"), "open-pairs")
-        links = links.unionByName(_verified(chosen, source, sets, k, percent))
-        classes = connected_components(links)
-        discard(open_pairs, apart, chosen)
-        open_pairs, partners = rest, partners * 4
+        tries *= 16
+        placed_mixed = _mixed(members, classes)
+    discard(members)
 
     smallest = sets.select("node", "least").join(classes, "node").groupBy("component").agg(F.min("least").alias("smallest"))
     known = sets.select("node", "s1", "s2", "n", "least").join(classes, "node", "left").join(smallest, "component", "left").select(

@@ -3,6 +3,7 @@
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -154,3 +155,50 @@ def test_pipeline_stages(spark):
     assert rows and all(r["exact"] and r["n_tokens"] == len(r["ids"]) for r in rows)
     for name, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, docs.limit(0), folder).columns == docs.columns, name
+
+
+def test_top_k_searches_few_large_blocks(spark, monkeypatch, tmp_path):
+    """The walk over a block's segments costs a query about the same for 4,000 vectors and for 16,000."""
+    search = topk._search_blocks
+
+    def counted(k):
+        inner, folder = search(k), str(tmp_path)
+
+        def run(group):
+            open(f"{folder}/{group.column('block')[0].as_py()}-{group.column('of')[0].as_py()}", "w").close()
+            return inner(group)
+        return run
+
+    monkeypatch.setattr(topk, "_search_blocks", counted)
+    rng = np.random.default_rng(6)
+    x = rng.integers(-500, 500, size=(12_000, 4))
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<long>")
+    got = {(r["query_id"], r["rank"]): (r["vec_id"], r["score"]) for r in topk.top_k(rows, rows.where("vec_id % 3000 = 0")).collect()}
+    assert len(list(tmp_path.iterdir())) == 1
+    for q in range(0, 12_000, 3000):
+        scores = x @ x[q]
+        best = [i for i in np.lexsort((np.arange(len(x)), -scores)) if i != q][:10]
+        assert [got[q, n] for n in range(1, 11)] == [(i, scores[i]) for i in best]
+
+
+def test_open_leaves_list_few_pairs_of_two_classes():
+    """32 sets of one class and 32 of another are 1,024 pairs that may link; a few stand for all, and are marked."""
+    def leaf(first, of_class):
+        bitmap = [0xFF] + [0] * (jaccard.PARTS - 1)
+        roots = [[1000 * first + i * 50 + j for j in range(jaccard.FIRST)] for i in range(32)]
+        return [list(range(first, first + 32)), [8] * 32, [0] * 32, of_class, bitmap * 32, sum(roots, [])]
+
+    names = [f"{side}_{part}" for side in "xy" for part in ("node", "n", "place", "class", "bitmap", "first")]
+    values = leaf(0, [0] * 32) + leaf(100, [100] * 16 + [116] * 16)
+    batch = pa.RecordBatch.from_arrays([pa.array([7], pa.int64()), *[pa.array([v], pa.list_(pa.int64())) for v in values]], ["token", *names])
+    found = pa.Table.from_batches(list(jaccard._open_sets(80, 4)([batch]))).to_pylist()
+    assert len(found) == 8 and all(r["more"] and r["low"] == 0 for r in found)
+    assert sorted(r["high"] for r in found) == [100] * 4 + [116] * 4
+    every = pa.Table.from_batches(list(jaccard._open_sets(80, 1024)([batch]))).to_pylist()
+    assert len(every) == 1024 and not any(r["more"] for r in every)
+
+
+def test_jaccard_classes_after_several_rounds_of_open_pairs(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "TRIES", 1)
+    monkeypatch.setattr(jaccard, "STARS", 1)
+    test_jaccard_classes_equal_brute_force(spark, monkeypatch, 3, 80)
