@@ -16,8 +16,9 @@ MAX_HEAVY = 1 << 16  # such shingles at most: 512 KB of broadcast
 LEAF = 32  # sets of a leaf
 FIRST = 16  # roots of a set that say whether a pair met below an earlier root
 STARS = 3  # centres that a set is compared with at a time
-FEW = 50  # other centres are drawn while they link more than one in so many sets below tall roots
-TRIES = 4  # pairs that stand for two classes at first: one link makes the classes one, so the others need no look then
+FEW = 50  # other centres are drawn while the last ones link more than one in so many sets below tall roots,
+SPARSE = 256  # and while sets below tall roots make more than so many pairs a set: fewer are opened at once
+TRIES = 64  # pairs that stand for two classes at first: one link makes the classes one, so the others need no look then
 MAX_FETCH = 200_000  # sets whose ids (24 bytes each) are broadcast to fetch their texts; more are joined by a shuffle
 
 
@@ -266,8 +267,8 @@ def _verified(pairs: DataFrame, source: DataFrame, sets: DataFrame, k: int, shar
     """The pairs (a, b) whose whole sets link; the sets are taken from the texts again, for these pairs alone."""
     pairs = materialize(pairs, "pairs")
     needed = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    needed = materialize(needed.join(sets.select("node", "least", "s1"), "node"), "needed")
-    few = needed.count() <= MAX_FETCH
+    needed = needed.join(sets.select("node", "least", "s1"), "node")
+    few = 2 * pairs.count() <= MAX_FETCH or needed.count() <= MAX_FETCH
     texts = source.join(F.broadcast(needed) if few else needed, F.col("id").eqNullSafe(F.col("least"))).select("node", "s1", "text")
     tokens = materialize(texts.mapInArrow(_tokens(k), "node long, n long, tokens array<long>").dropDuplicates(["node"]), "tokens")
     a = tokens.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("tokens").alias("ta"))
@@ -275,7 +276,7 @@ def _verified(pairs: DataFrame, source: DataFrame, sets: DataFrame, k: int, shar
     both = F.size(F.array_intersect("ta", "tb"))
     links = materialize(pairs.join(a, "a").join(b, "b").withColumn("both", both).where(
         F.col("both") * 100 >= (F.col("na") + F.col("nb") - F.col("both")) * share).select("a", "b"), "links")
-    discard(pairs, needed, tokens)
+    discard(pairs, tokens)
     return links
 
 
@@ -337,6 +338,38 @@ def _open_pairs(placed_mixed: DataFrame, sets: DataFrame, a_maps: DataFrame, b_m
     return stored
 
 
+def _tall(placed_mixed: DataFrame) -> tuple[int, int]:
+    """Sets below tall roots, and how many pairs they make there."""
+    tall = placed_mixed.where("tall")
+    pairs = tall.groupBy("token", "band").agg(F.count(F.lit(1)).alias("sets")).agg(F.sum(F.col("sets") * F.col("sets"))).first()[0]
+    return (tall.agg(F.count_distinct("node")).first()[0], pairs) if pairs else (0, 0)
+
+
+def _linked(open_pairs: DataFrame, links: DataFrame, classes: DataFrame, source: DataFrame, sets: DataFrame, k: int,
+            share: int) -> tuple[DataFrame, DataFrame]:
+    """Links and classes after all pairs that may link: a set is compared with its few partners of the smallest classes
+    first, as most pairs are one class after that."""
+    open_pairs = materialize(open_pairs, "open-pairs")
+    partners = STARS
+    while not open_pairs.isEmpty():
+        one = classes.select(F.col("node").alias("a"), F.col("component").alias("ca"))
+        two = classes.select(F.col("node").alias("b"), F.col("component").alias("cb"))
+        apart = materialize(open_pairs.join(one, "a", "left").join(two, "b", "left").select(
+            "a", "b", F.coalesce("ca", "a").alias("ca"), F.coalesce("cb", "b").alias("cb")).where("ca <> cb"), "apart")
+        if apart.isEmpty():
+            discard(apart)
+            break
+        place = F.row_number().over(W.partitionBy("b").orderBy("ca", "a"))
+        chosen = materialize(apart.withColumn("place", place).where(F.col("place") <= partners).select("a", "b"), "chosen")
+        rest = materialize(apart.select("a", "b").join(chosen, ["a", "b"], "left_anti"), "open-pairs")
+        links = links.unionByName(_verified(chosen, source, sets, k, share))
+        classes = connected_components(links)
+        discard(open_pairs, apart, chosen)
+        open_pairs, partners = rest, partners * 4
+    discard(open_pairs)
+    return links, classes
+
+
 def jaccard_classes(docs: DataFrame, k: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Link documents whose k-word shingle sets have a Jaccard similarity of at least ``percent``: doc_id, n_shingles,
     component_id (the smallest doc_id reachable by links).
@@ -389,51 +422,38 @@ def jaccard_classes(docs: DataFrame, k: int = 5, percent: int = 80, doc_id: str
     links = _verified(_stars(members.withColumn("class", F.col("node")), a_maps, b_maps, percent, None), source, sets, k, percent)
     classes = connected_components(links)
 
-    # Then the roots over more than one class. Below tall ones other centres are drawn, until that links few sets more.
-    seed = 0
+    # Then the roots over more than one class. Below tall ones other centres are drawn where the sets make very many
+    # pairs, until that links few sets more.
+    n_sets, n_more, seed = sets.count(), links.count(), 0
     while True:
         placed_mixed = _mixed(members, classes)
-        tall = placed_mixed.where("tall")
-        n_tall = tall.agg(F.count_distinct("node")).first()[0]
-        if not n_tall:
+        n_tall, n_pairs = _tall(placed_mixed)
+        if n_pairs <= SPARSE * n_sets or n_more * FEW < n_tall:
             break
         seed += 1
-        more = _verified(_stars(tall, a_maps, b_maps, percent, seed), source, sets, k, percent)
+        more = _verified(_stars(placed_mixed.where("tall"), a_maps, b_maps, percent, seed), source, sets, k, percent)
         n_more = more.count()
         if not n_more:
             break
         links = links.unionByName(more)
         classes = connected_components(links)
-        if n_more * FEW < n_tall:
-            break  # the classes as placed are still true, only some are one by now
         discard(placed_mixed)
     tries = TRIES
     while True:
         tried = _open_pairs(placed_mixed, sets, a_maps, b_maps, percent, tries)
         discard(placed_mixed)
-        open_pairs = materialize(tried.where(F.col("may") & (F.col("place") <= tries)).select("a", "b"), "open-pairs")
-        # A set is compared with its few partners of the smallest classes first: most pairs are one class after that.
-        partners = STARS
-        while not open_pairs.isEmpty():
-            one = classes.select(F.col("node").alias("a"), F.col("component").alias("ca"))
-            two = classes.select(F.col("node").alias("b"), F.col("component").alias("cb"))
-            apart = materialize(open_pairs.join(one, "a", "left").join(two, "b", "left").select(
-                "a", "b", F.coalesce("ca", "a").alias("ca"), F.coalesce("cb", "b").alias("cb")).where("ca <> cb"), "apart")
-            if apart.isEmpty():
-                discard(apart)
-                break
-            place = F.row_number().over(W.partitionBy("b").orderBy("ca", "a"))
-            chosen = materialize(apart.withColumn("place", place).where(F.col("place") <= partners).select("a", "b"), "chosen")
-            rest = materialize(apart.select("a", "b").join(chosen, ["a", "b"], "left_anti"), "open-pairs")
-            links = links.unionByName(_verified(chosen, source, sets, k, percent))
+        open_pairs = tried.where(F.col("may") & (F.col("place") <= tries)).select("a", "b")
+        n_open = open_pairs.count()
+        if n_open > n_sets:
+            links, classes = _linked(open_pairs, links, classes, source, sets, k, percent)
+        elif n_open:  # few enough to be verified at once
+            links = links.unionByName(_verified(open_pairs, source, sets, k, percent))
             classes = connected_components(links)
-            discard(open_pairs, apart, chosen)
-            open_pairs, partners = rest, partners * 4
         # Classes with further pairs that no link has made one: they are looked at again, with more pairs.
         unseen = tried.where(F.col("more") | (F.col("place") > tries)).select("low", "high").distinct()
         one = classes.select(F.col("node").alias("low"), F.col("component").alias("cl"))
         two = classes.select(F.col("node").alias("high"), F.col("component").alias("ch"))
-        done = unseen.join(one, "low", "left").join(two, "high", "left").where(
+        done = unseen.isEmpty() or unseen.join(one, "low", "left").join(two, "high", "left").where(
             F.coalesce("cl", "low") != F.coalesce("ch", "high")).isEmpty()
         discard(tried)
         if done:

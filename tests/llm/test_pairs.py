@@ -202,3 +202,20 @@ def test_jaccard_classes_after_several_rounds_of_open_pairs(spark, monkeypatch):
     monkeypatch.setattr(jaccard, "TRIES", 1)
     monkeypatch.setattr(jaccard, "STARS", 1)
     test_jaccard_classes_equal_brute_force(spark, monkeypatch, 3, 80)
+
+
+def test_jaccard_classes_of_plain_texts_need_one_round(spark, monkeypatch):
+    """Few pairs below tall roots: no centres are drawn, and all pairs that may link are verified in one step."""
+    rng = np.random.default_rng(5)
+    texts = {}
+    for i in range(0, 160, 2):
+        words = [f"v{i}-{j}" for j in range(40)]
+        texts[i], texts[i + 1] = " ".join(["one", "very", "common", "line", *words]), " ".join(["one", "very", "common", "line", *words[:-1]])
+    monkeypatch.setattr(jaccard, "HEAVY", 1000)
+    verified, labelled, verify, label = [], [], jaccard._verified, jaccard.connected_components
+    monkeypatch.setattr(jaccard, "_verified", lambda *a: verified.append(a) or verify(*a))
+    monkeypatch.setattr(jaccard, "connected_components", lambda *a: labelled.append(a) or label(*a))
+    ids = rng.permutation(list(texts))
+    got = {r["doc_id"]: r["component_id"] for r in jaccard.jaccard_classes(_frame(spark, {int(i): texts[i] for i in ids}), 3, 90).collect()}
+    assert got == {i: i - i % 2 for i in texts}
+    assert len(verified) <= 2 and len(labelled) <= 2
