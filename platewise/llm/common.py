@@ -5,7 +5,8 @@ from __future__ import annotations
 import gc
 import hashlib
 import json
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -81,6 +82,30 @@ def shared(spark: SparkSession, value) -> Callable[[], object]:
     return get
 
 
+def release() -> None:
+    """In a task: give back what this worker keeps of earlier jobs, shared values and pooled Arrow memory."""
+    import sys
+    kept = sys.modules.get("_shared_values")
+    if kept is not None and kept.__dict__.pop("values", None):
+        gc.collect()
+    pa.default_memory_pool().release_unused()
+
+
+@contextmanager
+def small_batches(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Jobs inside hand Python workers so many rows at a time at most: bounds their memory where rows are long."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    if 0 < int(before) <= rows:
+        yield
+        return
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def hash52(*parts: Column | str) -> Column:
     """52 even bits of the parts' md5 as a long: the same number in any engine."""
     text = F.concat_ws(":", *[F.coalesce((F.col(p) if isinstance(p, str) else p).cast("string"), F.lit("null"))

@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, Window as W
 
-from platewise.llm.common import PRIME, Words, discard, materialize, mix, ragged, text_chunks
+from platewise.llm.common import PRIME, Words, discard, materialize, mix, ragged, release, small_batches, text_chunks
 from platewise.llm.components import connected_components
 
 BITS = 2048  # of a token bitmap
@@ -19,6 +19,7 @@ STARS = 3  # centres that a set is compared with at a time
 FEW = 50  # other centres are drawn while the last ones link more than one in so many sets below tall roots,
 SPARSE = 256  # and while sets below tall roots make more than so many pairs a set: fewer are opened at once
 TRIES = 64  # pairs that stand for two classes at first: one link makes the classes one, so the others need no look then
+BATCH = 1024  # rows that a Python worker is given at a time: texts, and pairs of leaves of up to some 25 KB each
 MAX_FETCH = 200_000  # sets whose ids (24 bytes each) are broadcast to fetch their texts; more are joined by a shuffle
 
 
@@ -64,6 +65,7 @@ def _roots(grams, doc, bounds, share, heavy):
 def _root_counts(k: int, share: int):
     """Root shingles of the texts and in how many texts each is one, summed within a block."""
     def run(batches):
+        release()
         none = np.zeros(0, np.uint64)
         for batch in batches:
             for a, b in text_chunks(batch.column("text")):
@@ -79,6 +81,7 @@ def _signatures(k: int, share: int, heavy):
     ``hidden`` is how many shingles share a bit with another one.
     """
     def run(batches):
+        release()
         for batch in batches:
             for a, b in text_chunks(batch.column("text")):
                 grams, doc, bounds = shingle_sets(batch.column("text").slice(a, b - a), k)
@@ -394,6 +397,11 @@ def jaccard_classes(docs: DataFrame, k: int = 5, percent: int = 80, doc_id: str
     stays null, and is a class's id only if all its doc_ids are null. Repeated rows have equal sets. An empty table gives an
     empty table. Other columns are not read.
     """
+    with small_batches(docs.sparkSession, BATCH):
+        return _classes(docs, k, percent, doc_id, text)
+
+
+def _classes(docs: DataFrame, k: int, percent: int, doc_id: str, text: str) -> DataFrame:
     spark = docs.sparkSession
     source = docs.select(F.col(doc_id).alias("id"), F.col(text).cast("string").alias("text"))
     heavy = source.select("text").mapInArrow(_root_counts(k, percent), "token long, n long").groupBy("token").agg(

@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame, functions as F
 
-from platewise.llm.common import LOWER, SPACE, hash52, joined_bytes, shared, text_chunks
+from platewise.llm.common import LOWER, SPACE, hash52, joined_bytes, release, shared, text_chunks
 
 BUCKETS = 1 << 15
 GRAMS = (2, 3, 4)  # bytes of a subword; white space marks the ends of words
@@ -101,6 +101,7 @@ def softmax(z: np.ndarray) -> np.ndarray:
 
 
 def _sample_features(batches):
+    release()
     for batch in batches:
         for a, b in text_chunks(batch.column("text")):
             raw, offsets = joined_bytes(batch.column("text").slice(a, b - a))

@@ -212,10 +212,28 @@ def test_jaccard_classes_of_plain_texts_need_one_round(spark, monkeypatch):
         words = [f"v{i}-{j}" for j in range(40)]
         texts[i], texts[i + 1] = " ".join(["one", "very", "common", "line", *words]), " ".join(["one", "very", "common", "line", *words[:-1]])
     monkeypatch.setattr(jaccard, "HEAVY", 1000)
-    verified, labelled, verify, label = [], [], jaccard._verified, jaccard.connected_components
+    verified, labelled, held, verify, label, counts = [], [], [], jaccard._verified, jaccard.connected_components, jaccard._root_counts
+    rows = lambda: spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
     monkeypatch.setattr(jaccard, "_verified", lambda *a: verified.append(a) or verify(*a))
     monkeypatch.setattr(jaccard, "connected_components", lambda *a: labelled.append(a) or label(*a))
+    monkeypatch.setattr(jaccard, "_root_counts", lambda *a: held.append(rows()) or counts(*a))
+    before = rows()
     ids = rng.permutation(list(texts))
     got = {r["doc_id"]: r["component_id"] for r in jaccard.jaccard_classes(_frame(spark, {int(i): texts[i] for i in ids}), 3, 90).collect()}
     assert got == {i: i - i % 2 for i in texts}
     assert len(verified) <= 2 and len(labelled) <= 2
+    assert held == [str(jaccard.BATCH)] and rows() == before
+
+
+def test_workers_give_back_what_earlier_jobs_left(spark):
+    from platewise.llm.common import release, shared
+    held = shared(spark, list(range(1000)))
+
+    def run(batches):
+        import sys
+        for batch in batches:
+            held()
+            release()
+            yield pa.RecordBatch.from_arrays([pa.array([len(sys.modules["_shared_values"].__dict__.get("values", {}))])], ["n"])
+
+    assert [r["n"] for r in spark.range(0, 1, 1, 1).mapInArrow(run, "n long").collect()] == [0]
