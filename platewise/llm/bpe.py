@@ -11,7 +11,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, SparkSession, functions as F
 
-from platewise.llm.common import hash_slices, joined_bytes, ragged, shared, text_chunks
+from platewise.llm.common import hash_slices, joined_bytes, ragged, shared, text_chunks, trim
 
 CACHE = 400_000  # words whose ids a worker remembers at most; beyond that it forgets and computes again
 NO_LIMIT = 1 << 60
@@ -258,6 +258,7 @@ class Vocabulary:
     def tables(self) -> Bpe:
         if self._tables is None:
             self._tables = Bpe(self.text)
+            trim()  # of what the vocabulary took while it was read
         return self._tables
 
 

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import hashlib
 import json
+import sys
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
@@ -69,7 +71,6 @@ def shared(spark: SparkSession, value) -> Callable[[], object]:
     key, held, most = hashlib.sha256(packed).hexdigest(), spark.sparkContext.broadcast(packed), KEPT
 
     def get():
-        import sys
         from types import ModuleType
         # Task functions travel by value, so what is to outlive a task is kept in a module of the worker.
         kept = sys.modules.setdefault("_shared_values", ModuleType("_shared_values")).__dict__.setdefault("values", {})
@@ -82,13 +83,29 @@ def shared(spark: SparkSession, value) -> Callable[[], object]:
     return get
 
 
+def trim() -> None:
+    """Give free memory that Arrow's pool and the C library hold back to the system."""
+    pa.default_memory_pool().release_unused()
+    give_back = getattr(ctypes.CDLL(None), "malloc_trim", None) if sys.platform == "linux" else None
+    if give_back is not None:
+        give_back(0)
+
+
 def release() -> None:
-    """In a task: give back what this worker keeps of earlier jobs, shared values and pooled Arrow memory."""
-    import sys
+    """In a task: give back what this worker keeps of earlier jobs, shared values and free memory."""
     kept = sys.modules.get("_shared_values")
     if kept is not None and kept.__dict__.pop("values", None):
         gc.collect()
-    pa.default_memory_pool().release_unused()
+    trim()
+
+
+def released(run: Callable) -> Callable:
+    """A task function over batches whose worker keeps nothing of earlier jobs, and no free memory between its tasks."""
+    def lean(batches):
+        release()
+        yield from run(batches)
+        trim()
+    return lean
 
 
 @contextmanager

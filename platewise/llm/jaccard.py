@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, Window as W
 
-from platewise.llm.common import PRIME, Words, discard, materialize, mix, ragged, release, small_batches, text_chunks
+from platewise.llm.common import PRIME, Words, discard, materialize, mix, ragged, released, small_batches, text_chunks
 from platewise.llm.components import connected_components
 
 BITS = 2048  # of a token bitmap
@@ -19,7 +19,9 @@ STARS = 3  # centres that a set is compared with at a time
 FEW = 50  # other centres are drawn while the last ones link more than one in so many sets below tall roots,
 SPARSE = 256  # and while sets below tall roots make more than so many pairs a set: fewer are opened at once
 TRIES = 64  # pairs that stand for two classes at first: one link makes the classes one, so the others need no look then
-BATCH = 1024  # rows that a Python worker is given at a time: texts, and pairs of leaves of up to some 25 KB each
+BATCH = 1024  # texts that a Python worker is given at a time,
+LEAVES = 64  # and pairs of leaves: some 25 KB a pair, more where many small classes share a leaf
+BLOCK = 1 << 18  # bytes of texts whose shingles are taken at once: their arrays are several times as large
 MAX_FETCH = 200_000  # sets whose ids (24 bytes each) are broadcast to fetch their texts; more are joined by a shuffle
 
 
@@ -65,14 +67,13 @@ def _roots(grams, doc, bounds, share, heavy):
 def _root_counts(k: int, share: int):
     """Root shingles of the texts and in how many texts each is one, summed within a block."""
     def run(batches):
-        release()
         none = np.zeros(0, np.uint64)
         for batch in batches:
-            for a, b in text_chunks(batch.column("text")):
+            for a, b in text_chunks(batch.column("text"), BLOCK):
                 roots, _ = _roots(*shingle_sets(batch.column("text").slice(a, b - a), k), share, none)
                 token, count = np.unique(roots, return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(token.view(np.int64)), pa.array(count)], ["token", "n"])
-    return run
+    return released(run)
 
 
 def _signatures(k: int, share: int, heavy):
@@ -81,9 +82,8 @@ def _signatures(k: int, share: int, heavy):
     ``hidden`` is how many shingles share a bit with another one.
     """
     def run(batches):
-        release()
         for batch in batches:
-            for a, b in text_chunks(batch.column("text")):
+            for a, b in text_chunks(batch.column("text"), BLOCK):
                 grams, doc, bounds = shingle_sets(batch.column("text").slice(a, b - a), k)
                 n = np.diff(bounds)
                 sums = [np.add.reduceat(np.append(mix(grams + np.uint64(c)), np.uint64(0)), np.minimum(bounds[:-1], len(grams)))
@@ -105,13 +105,13 @@ def _signatures(k: int, share: int, heavy):
                      ragged(roots.view(np.int64), root_bounds), ragged(maps.ravel(), np.arange(b - a + 1) * PARTS),
                      pa.array(n - bits.sum(axis=1, dtype=np.int64)), ragged(np.concatenate(fine), fine_bounds)],
                     ["id", "n", "s1", "s2", "roots", "bitmap", "hidden", "fine"])
-    return run
+    return released(run)
 
 
 def _tokens(k: int):
     def run(batches):
         for batch in batches:
-            for a, b in text_chunks(batch.column("text")):
+            for a, b in text_chunks(batch.column("text"), BLOCK):
                 grams, _, bounds = shingle_sets(batch.column("text").slice(a, b - a), k)
                 n = np.diff(bounds)
                 s1 = np.add.reduceat(np.append(mix(grams + np.uint64(1)), np.uint64(0)), np.minimum(bounds[:-1], len(grams)))
@@ -119,7 +119,7 @@ def _tokens(k: int):
                 rows = pa.RecordBatch.from_arrays(
                     [batch.column("node").slice(a, b - a), pa.array(n), ragged(grams.view(np.int64), bounds)], ["node", "n", "tokens"])
                 yield rows.filter(pa.array(same))
-    return run
+    return released(run)
 
 
 def _needed(a: Column, b: Column, share: int) -> Column:
@@ -263,7 +263,7 @@ def _open_sets(share: int, tries: int):
                 i, j, low, high, more = i[kept], j[kept], low[kept], high[kept], (sizes > tries)[group.ravel()][kept]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(x) for x in (np.minimum(a[i], b[j]), np.maximum(a[i], b[j]), low, high, more)], ["a", "b", "low", "high", "more"])
-    return run
+    return released(run)
 
 
 def _verified(pairs: DataFrame, source: DataFrame, sets: DataFrame, k: int, share: int) -> DataFrame:
@@ -336,7 +336,8 @@ def _open_pairs(placed_mixed: DataFrame, sets: DataFrame, a_maps: DataFrame, b_m
     pairs = pairs.join(a_maps, "a").join(b_maps, "b").withColumn("may", sets_may_link("x", "y", share)).where("may or more")
     place = F.row_number().over(W.partitionBy("low", "high").orderBy("a", "b"))
     pairs = pairs.select("a", "b", "low", "high", "more", "may").withColumn("place", place).where(F.col("place") <= tries + 1)
-    stored = materialize(pairs, "tried")
+    with small_batches(sets.sparkSession, LEAVES):
+        stored = materialize(pairs, "tried")
     discard(leaves, tree, packed)
     return stored
 

@@ -1,6 +1,7 @@
 """Pair operators, search, repeats and the pipeline against brute force."""
 
 import re
+import sys
 
 import numpy as np
 import pyarrow as pa
@@ -239,3 +240,42 @@ def test_workers_give_back_what_earlier_jobs_left(spark):
             yield pa.RecordBatch.from_arrays([pa.array([len(sys.modules["_shared_values"].__dict__.get("values", {}))])], ["n"])
 
     assert [r["n"] for r in spark.range(0, 1, 1, 1).mapInArrow(run, "n long").collect()] == [0]
+
+
+def test_workers_keep_no_free_memory_between_tasks(spark):
+    """100 MB of small arrays are freed below one that stays: the C library would keep the pages."""
+    from platewise.llm.common import released
+
+    def resident():
+        with open("/proc/self/statm") as file:
+            return int(file.read().split()[1]) * 4096 >> 20
+
+    def run(batches):
+        kept = None
+        for batch in batches:
+            arrays = [np.ones(4096) for _ in range(3200)]
+            kept = arrays[-1]
+            del arrays
+            yield pa.RecordBatch.from_arrays([pa.array([resident()])], ["mb"])
+        sys.modules["_kept_by_test"] = kept
+
+    def look(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([resident()])], ["mb"])
+
+    def both(batches):
+        own = list(released(run)(batches))
+        yield from own
+        yield from look(own)
+
+    during, after = [r["mb"] for r in spark.range(0, 1, 1, 1).mapInArrow(both, "mb long").collect()]
+    assert after < during - 50
+
+
+def test_few_pairs_of_leaves_reach_a_worker_at_once(spark, monkeypatch):
+    held, stored = {}, jaccard.materialize
+    rows = lambda: int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"))
+    monkeypatch.setattr(jaccard, "materialize", lambda df, label: held.update({label: rows()}) or stored(df, label))
+    before = rows()
+    jaccard.jaccard_classes(_frame(spark, {1: "a b c d", 2: "a b c d e"}), 3, 60)
+    assert held["tried"] == jaccard.LEAVES and held["signatures"] == jaccard.BATCH and rows() == before
