@@ -281,7 +281,9 @@ class Tokenizer:
 
         @F.arrow_udf("array<int>")
         def bpe_encode(texts: pa.Array) -> pa.Array:
-            return vocabulary().tables().encode(texts)
+            ids = vocabulary().tables().encode(texts)
+            trim()
+            return ids
 
         return bpe_encode(text)
 
@@ -290,6 +292,8 @@ class Tokenizer:
 
         @F.arrow_udf("string")
         def bpe_decode(lists: pa.Array) -> pa.Array:
-            return vocabulary().tables().decode(lists)
+            texts = vocabulary().tables().decode(lists)
+            trim()
+            return texts
 
         return bpe_decode(ids)
