@@ -82,8 +82,8 @@ VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 @query
 def op8_bpe(spark: SparkSession, folder: str) -> DataFrame:
     tokenizer = bpe.Tokenizer(spark, VOCABULARY)
-    docs = table(spark, folder, "documents").select("doc_id", "text").withColumn("ids", tokenizer.encode(F.col("text")))
-    docs = docs.withColumn("decoded", tokenizer.decode(F.col("ids")))
+    docs = table(spark, folder, "documents").select("doc_id", tokenizer.round_trip(F.col("text")).alias("coded"))
+    docs = docs.select("doc_id", "coded.ids", F.col("coded.text").alias("decoded"))
     digest = lambda column: F.sha2(column.cast("binary"), 256)
     return docs.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                        digest(F.concat_ws(",", F.col("ids").cast("array<string>"))).alias("ids_sha256"),
