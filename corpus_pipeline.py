@@ -42,10 +42,10 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def bpe_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text, and whether decoding them gives the text back."""
     tokenizer = bpe.Tokenizer(spark, VOCABULARY)
-    rows = docs.select("doc_id", "source", "lang", "text").withColumn("ids", tokenizer.encode(F.col("text")))
-    same = tokenizer.decode(F.col("ids")) == F.coalesce(F.col("text"), F.lit(""))
-    return rows.withColumn("exact", same).select(
-        "doc_id", "source", "lang", "ids", F.size("ids").cast("long").alias("n_tokens"), "exact")
+    rows = docs.select("doc_id", "source", "lang", "text").withColumn("coded", tokenizer.round_trip(F.col("text")))
+    same = F.col("coded.text") == F.coalesce(F.col("text"), F.lit(""))
+    return rows.select(
+        "doc_id", "source", "lang", "coded.ids", F.size("coded.ids").cast("long").alias("n_tokens"), same.alias("exact"))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
